@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow.functions.columns import flag
+from tapflow.operators import skew
 from tapflow.sources.schemas import BUS_CLEANED_COLUMNS
 
 CARD_DAY = ["trade_date", "card_id"]
@@ -94,12 +95,48 @@ def drop_repeated_direction(kept: DataFrame) -> DataFrame:
             .drop("device_id"))
 
 
-def clean_metro(taps: DataFrame, exact_trip_key: bool = False) -> DataFrame:
+def _clean_metro_windows(taps: DataFrame, exact_trip_key: bool) -> DataFrame:
+    with_ids = metro_trip_ids(taps)
+    kept = anti_single_tap(with_ids) if exact_trip_key else drop_one_tap_trips(with_ids)
+    return drop_repeated_direction(kept)
+
+
+def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
+    """X6 for hot card-days: the same rules as ordered chunk scans."""
+    cols = hot.columns
+    chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")),
+                                 ["trade_time"], chunks)
+    with_ids = (skew.running_sum(chunked, "once_od", ["trade_time"], "tms_id")
+                .withColumn("tct", trip_key()))
+    # taps per trip: a map-side-combined count joined back (a long trip may
+    # span chunks; adaptive execution splits a hot trip in the join)
+    taps_per_trip = with_ids.groupBy(skew.KID, "tms_id").agg(F.count(F.lit(1)).alias("_taps"))
+    kept = (with_ids.join(taps_per_trip, [skew.KID, "tms_id"], "inner")
+            .where(F.col("_taps") > 1).drop("_taps"))
+    last = skew.lag_in_order(kept, "io_type", ["trade_time"] + METRO_TIE,
+                             FIRST_PREVIOUS_DIRECTION, "last_io_type")
+    out = ([c for c in cols if c not in ("device_id", skew.KID)]
+           + ["once_od", "tms_id", "tct", "last_io_type"])
+    return last.where(F.col("io_type") != F.col("last_io_type")).select(*out)
+
+
+def clean_metro(taps: DataFrame, exact_trip_key: bool = False,
+                hot_threshold: int | None = None,
+                rows_per_chunk: int = skew.ROWS_PER_CHUNK) -> DataFrame:
     """Number trips, drop one-tap trips, drop repeated directions.
 
     ``exact_trip_key=True`` removes one-tap trips by the string key ``tct``
     (anti join, two more exchanges); the default uses the window form.
+
+    With ``hot_threshold`` set, card-days above that many taps are split
+    out and cleaned in ordered chunks (``tapflow.operators.skew``); the rest
+    take the one-exchange window plan.  Results are identical.
     """
-    with_ids = metro_trip_ids(taps)
-    kept = anti_single_tap(with_ids) if exact_trip_key else drop_one_tap_trips(with_ids)
-    return drop_repeated_direction(kept)
+    if hot_threshold is None:
+        return _clean_metro_windows(taps, exact_trip_key)
+    split = skew.split_hot(taps, CARD_DAY, hot_threshold)
+    cold = _clean_metro_windows(split.cold, exact_trip_key)
+    if split.hot is None:
+        return cold
+    chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
+    return cold.unionByName(_clean_metro_chunked(split.hot, chunks))

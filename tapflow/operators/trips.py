@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow.functions.columns import epoch_seconds, flag
+from tapflow.operators import skew
 from tapflow.sources.schemas import OD_COLUMNS
 
 CARD_DAY = ["trade_date", "card_id"]
@@ -93,6 +94,65 @@ def od_from_marks(marks: DataFrame) -> DataFrame:
     return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
 
 
-def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
-    """Merged taps -> OD records (13 columns)."""
+def _od_windows(taps: DataFrame, gap_seconds: int) -> DataFrame:
     return od_from_marks(endpoint_marks(trip_segments(tap_gaps(taps), gap_seconds)))
+
+
+def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int) -> DataFrame:
+    """X10 for hot card-days: ordered chunk scans plus group aggregates.
+
+    ``lag`` and the trip numbering run as chunk scans; the rank markers are
+    the group minimum of the order key per OD trip, and the first and last
+    station are ``min_by``/``max_by`` per card-day -- aggregates that combine
+    map-side, so no card-day or trip is gathered into one task.
+    """
+    kid = skew.KID
+    order = ["tms_id", EPOCH]
+    base = (hot.withColumn(EPOCH, epoch_seconds(hot, "mark_trade_time"))
+            .withColumn("mask", flag(F.col("IO_TYPE") == "I")))
+    chunked = skew.assign_chunks(base, order, chunks)
+    gaps = (skew.lag_in_order(chunked, EPOCH, order + GAP_TIE, 0, "_prev_epoch")
+            .withColumn("duration", F.col(EPOCH) - F.col("_prev_epoch")).drop("_prev_epoch")
+            .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds)))
+    segs = skew.running_sum(gaps, "new_mask", order, "new_tms_id")
+    # rank() == 1 in (tms_id, epoch) order  <=>  the key equals the trip minimum;
+    # (tms_id asc, epoch desc nulls last) is ascending in (tms_id, epoch is null, -epoch)
+    ends = segs.groupBy(kid, "new_tms_id").agg(
+        F.min(F.struct("tms_id", EPOCH)).alias("_lo"),
+        F.min(F.struct(F.col("tms_id"), F.col(EPOCH).isNull(), (-F.col(EPOCH)).alias("neg")))
+        .alias("_hi"))
+    first_mark = (F.col("tms_id").eqNullSafe(F.col("_lo.tms_id"))
+                  & F.col(EPOCH).eqNullSafe(F.col("_lo." + EPOCH)))
+    last_mark = (F.col("tms_id").eqNullSafe(F.col("_hi.tms_id"))
+                 & F.col(EPOCH).eqNullSafe(-F.col("_hi.neg")))
+    marks = (segs.join(ends, [kid, "new_tms_id"], "inner")
+             .where(first_mark | last_mark))
+    by_time = F.struct("mark_trade_time", *STATION_TIE)
+    stations = marks.groupBy(kid).agg(
+        F.min_by("station_name", by_time).alias("_first_station"),
+        F.max_by("station_name", by_time).alias("_last_station"))
+    # one row per hot card-day; adaptive execution broadcasts it when small
+    od = (marks.join(stations, [kid], "inner")
+          .withColumn("od_desc", F.concat(F.col("_first_station"), F.lit("-"),
+                                          F.col("_last_station")))
+          .withColumn("od_type", F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1))))
+    return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
+
+
+def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS,
+               hot_threshold: int | None = None,
+               rows_per_chunk: int = skew.ROWS_PER_CHUNK) -> DataFrame:
+    """Merged taps -> OD records (13 columns).
+
+    With ``hot_threshold`` set, card-days above that many taps are cut in
+    ordered chunks (``tapflow.operators.skew``); the rest take the
+    one-exchange window plan.  Results are identical.
+    """
+    if hot_threshold is None:
+        return _od_windows(taps, gap_seconds)
+    split = skew.split_hot(taps, CARD_DAY, hot_threshold)
+    cold = _od_windows(split.cold, gap_seconds)
+    if split.hot is None:
+        return cold
+    chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
+    return cold.unionByName(_od_chunked(split.hot, chunks, gap_seconds))

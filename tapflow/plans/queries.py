@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tapflow.operators import clean, flow, merge, sites, trips
+from tapflow.operators import clean, flow, merge, sites, skew, trips
 from tapflow.session import shared_dir
 from tapflow.sources import delimited, fixtures, schemas, tables
 
@@ -27,10 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 class TapFlow:
     """The chain of derived tables for one input folder (all lazy)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
+                 rows_per_chunk: int = skew.ROWS_PER_CHUNK):
         self.spark = spark
         self.sf_dir = sf_dir
         self.inputs = fixtures.domain_tables(spark, sf_dir)
+        # card-days above hot_threshold rows take the chunked path
+        self.skew = {"hot_threshold": hot_threshold, "rows_per_chunk": rows_per_chunk}
 
     @cached_property
     def bus_cleaned(self) -> DataFrame:
@@ -42,7 +46,7 @@ class TapFlow:
 
     @cached_property
     def metro_cleaned(self) -> DataFrame:
-        return clean.clean_metro(self.inputs["metro_taps"])
+        return clean.clean_metro(self.inputs["metro_taps"], **self.skew)
 
     @cached_property
     def bus_with_site(self) -> DataFrame:
@@ -70,7 +74,7 @@ class TapFlow:
 
     @cached_property
     def od_records(self) -> DataFrame:
-        return trips.od_records(self.all_taps)
+        return trips.od_records(self.all_taps, **self.skew)
 
     @cached_property
     def passenger_flow(self) -> DataFrame:
