@@ -95,15 +95,20 @@ def drop_repeated_direction(kept: DataFrame) -> DataFrame:
             .drop("device_id"))
 
 
+def _cleaned_columns(taps: DataFrame) -> list[str]:
+    # raw tap columns minus device_id, then the derived ones (reference order)
+    raw = [c for c in taps.columns if c not in ("device_id", skew.KID)]
+    return raw + ["once_od", "tms_id", "tct", "last_io_type"]
+
+
 def _clean_metro_windows(taps: DataFrame, exact_trip_key: bool) -> DataFrame:
     with_ids = metro_trip_ids(taps)
     kept = anti_single_tap(with_ids) if exact_trip_key else drop_one_tap_trips(with_ids)
-    return drop_repeated_direction(kept)
+    return drop_repeated_direction(kept).select(*_cleaned_columns(taps))
 
 
 def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
     """X6 for hot card-days: the same rules as ordered chunk scans."""
-    cols = hot.columns
     chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")),
                                  ["trade_time"], chunks)
     with_ids = (skew.running_sum(chunked, "once_od", ["trade_time"], "tms_id")
@@ -115,9 +120,8 @@ def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
             .where(F.col("_taps") > 1).drop("_taps"))
     last = skew.lag_in_order(kept, "io_type", ["trade_time"] + METRO_TIE,
                              FIRST_PREVIOUS_DIRECTION, "last_io_type")
-    out = ([c for c in cols if c not in ("device_id", skew.KID)]
-           + ["once_od", "tms_id", "tct", "last_io_type"])
-    return last.where(F.col("io_type") != F.col("last_io_type")).select(*out)
+    return (last.where(F.col("io_type") != F.col("last_io_type"))
+            .select(*_cleaned_columns(hot)))
 
 
 def clean_metro(taps: DataFrame, exact_trip_key: bool = False,
