@@ -25,12 +25,13 @@ FIRST_PREVIOUS_DIRECTION = "O"
 
 def clean_bus(rides: DataFrame) -> DataFrame:
     """Event time, trip id and direction of each bus ride; keeps every row."""
-    return (rides
-            .withColumn("mark_trade_time", F.coalesce("mark_time", "trade_time"))
-            .withColumn("tms_id", F.coalesce("mark_tms_id", "trade_tms_id"))
-            .withColumn("IO_TYPE", F.when(F.col("mark_time").isNotNull(), F.lit("I"))
-                        .otherwise(F.lit("O")))
-            .select(*BUS_CLEANED_COLUMNS))
+    derived = {
+        "tms_id": F.coalesce("mark_tms_id", "trade_tms_id"),
+        "mark_trade_time": F.coalesce("mark_time", "trade_time"),
+        "IO_TYPE": F.when(F.col("mark_time").isNotNull(), F.lit("I")).otherwise(F.lit("O")),
+    }
+    return rides.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                          for c in BUS_CLEANED_COLUMNS])
 
 
 def _card_day_by_time() -> Window:
@@ -54,9 +55,10 @@ def metro_trip_ids(taps: DataFrame) -> DataFrame:
     The running sum uses the default RANGE frame, so taps with equal
     ``trade_time`` share a trip number.
     """
+    entry = flag(F.col("io_type") == "I")
     return (taps
-            .withColumn("once_od", flag(F.col("io_type") == "I"))
-            .withColumn("tms_id", F.sum("once_od").over(_card_day_by_time()))
+            .withColumns({"once_od": entry,
+                          "tms_id": F.sum(entry).over(_card_day_by_time())})
             .withColumn("tct", trip_key()))
 
 
@@ -79,7 +81,7 @@ def drop_one_tap_trips(with_ids: DataFrame) -> DataFrame:
     """
     trip = Window.partitionBy(*CARD_DAY, "tms_id")
     return (with_ids.withColumn("_taps", F.count(F.lit(1)).over(trip))
-            .where(F.col("_taps") > 1).drop("_taps"))
+            .where(F.col("_taps") > 1))
 
 
 def drop_repeated_direction(kept: DataFrame) -> DataFrame:
@@ -90,9 +92,10 @@ def drop_repeated_direction(kept: DataFrame) -> DataFrame:
     null.
     """
     last = F.lag("io_type", 1, FIRST_PREVIOUS_DIRECTION).over(_card_day_total_order())
+    cols = [c for c in kept.columns if c not in ("device_id", "_taps")]
     return (kept.withColumn("last_io_type", last)
             .where(F.col("io_type") != F.col("last_io_type"))
-            .drop("device_id"))
+            .select(*cols, "last_io_type"))
 
 
 def _cleaned_columns(taps: DataFrame) -> list[str]:
@@ -103,8 +106,10 @@ def _cleaned_columns(taps: DataFrame) -> list[str]:
 
 def _clean_metro_windows(taps: DataFrame, exact_trip_key: bool) -> DataFrame:
     with_ids = metro_trip_ids(taps)
-    kept = anti_single_tap(with_ids) if exact_trip_key else drop_one_tap_trips(with_ids)
-    return drop_repeated_direction(kept).select(*_cleaned_columns(taps))
+    if exact_trip_key:
+        with_ids = with_ids.select(*_cleaned_columns(taps)[:-1], "device_id")
+        return drop_repeated_direction(anti_single_tap(with_ids)).select(*_cleaned_columns(taps))
+    return drop_repeated_direction(drop_one_tap_trips(with_ids))
 
 
 def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:

@@ -23,7 +23,7 @@ sums and ranks keep their peer semantics untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow.functions.columns import epoch_seconds, flag
@@ -49,37 +49,41 @@ def _gap_order() -> Window:
     return Window.partitionBy(*CARD_DAY).orderBy("tms_id", EPOCH)
 
 
-def _gap_total_order() -> Window:
-    return Window.partitionBy(*CARD_DAY).orderBy("tms_id", EPOCH, *GAP_TIE)
-
-
 def tap_gaps(taps: DataFrame) -> DataFrame:
     """Epoch second, entry mask and distance to the previous tap."""
-    return (taps
-            .withColumn(EPOCH, epoch_seconds(taps, "mark_trade_time"))
-            .withColumn("mask", flag(F.col("IO_TYPE") == "I"))
-            .withColumn("duration",
-                        F.col(EPOCH) - F.lag(EPOCH, 1, 0).over(_gap_total_order())))
+    epoch = epoch_seconds(taps, "mark_trade_time")
+    order = Window.partitionBy(*CARD_DAY).orderBy(F.col("tms_id"), epoch,
+                                                  *[F.col(c) for c in GAP_TIE])
+    return taps.withColumns({
+        EPOCH: epoch,
+        "mask": flag(F.col("IO_TYPE") == "I"),
+        "duration": epoch - F.lag(epoch, 1, 0).over(order),
+    })
 
 
 def trip_segments(gaps: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     """``new_mask`` opens a trip; ``new_tms_id`` numbers trips."""
-    return (gaps
-            .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds))
-            .withColumn("new_tms_id", F.sum("new_mask").over(_gap_order()))
-            .withColumn("new_io_type", F.when(F.col("new_mask") == 1, F.lit("I"))
-                        .otherwise(F.lit("O"))))
+    opens = flag(F.col("duration") * F.col("mask") > gap_seconds)
+    return gaps.withColumns({
+        "new_mask": opens,
+        "new_tms_id": F.sum(opens).over(_gap_order()),
+        "new_io_type": F.when(opens == 1, F.lit("I")).otherwise(F.lit("O")),
+    })
 
 
-def endpoint_marks(segments: DataFrame) -> DataFrame:
-    """0 for a trip's first tap, 999 for its end, 9 otherwise."""
+def _marker() -> Column:
     trip = Window.partitionBy(*CARD_DAY, "new_tms_id")
     first = trip.orderBy("tms_id", EPOCH)
     last = trip.orderBy(F.col("tms_id"), F.col(EPOCH).desc())
-    marker = F.when(F.rank().over(first) == 1, F.lit(ORIGIN)).otherwise(F.lit(INNER))
-    return (segments.withColumn("marker", marker)
-            .withColumn("marker", F.when(F.rank().over(last) == 1, F.lit(DESTINATION))
-                        .otherwise(F.col("marker"))))
+    # the destination mark wins over the origin mark (a one-row trip is 999)
+    return (F.when(F.rank().over(last) == 1, F.lit(DESTINATION))
+            .when(F.rank().over(first) == 1, F.lit(ORIGIN))
+            .otherwise(F.lit(INNER)))
+
+
+def endpoint_marks(segments: DataFrame) -> DataFrame:
+    """0 for a trip's first tap, 999 for its end, 9 otherwise."""
+    return segments.withColumn("marker", _marker())
 
 
 def od_from_marks(marks: DataFrame) -> DataFrame:
@@ -88,10 +92,13 @@ def od_from_marks(marks: DataFrame) -> DataFrame:
     day = Window.partitionBy(*CARD_DAY)
     first_station = F.first("station_name").over(day.orderBy(*by_time))
     last_station = F.first("station_name").over(day.orderBy(*[c.desc() for c in by_time]))
-    od = (marks.where(F.col("marker").isin(ORIGIN, DESTINATION)).drop("marker")
-          .withColumn("od_desc", F.concat(first_station, F.lit("-"), last_station))
-          .withColumn("od_type", F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1))))
-    return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
+    derived = {
+        "od_desc": F.concat(first_station, F.lit("-"), last_station),
+        "od_type": F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1)),
+    }
+    return (marks.where(F.col("marker").isin(ORIGIN, DESTINATION))
+            .select(*[(derived[src] if src in derived else F.col(src)).alias(name)
+                      for name, src in OD_COLUMNS]))
 
 
 def _od_windows(taps: DataFrame, gap_seconds: int) -> DataFrame:
