@@ -51,18 +51,19 @@ def _gap_order() -> Window:
 
 def tap_gaps(taps: DataFrame) -> DataFrame:
     """Epoch second, entry mask and distance to the previous tap."""
-    epoch = epoch_seconds(taps, "mark_trade_time")
-    order = Window.partitionBy(*CARD_DAY).orderBy(F.col("tms_id"), epoch,
-                                                  *[F.col(c) for c in GAP_TIE])
-    return taps.withColumns({
-        EPOCH: epoch,
-        "mask": flag(F.col("IO_TYPE") == "I"),
-        "duration": epoch - F.lag(epoch, 1, 0).over(order),
-    })
+    order = Window.partitionBy(*CARD_DAY).orderBy("tms_id", EPOCH, *GAP_TIE)
+    return (taps
+            .withColumns({EPOCH: epoch_seconds(taps, "mark_trade_time"),
+                          "mask": flag(F.col("IO_TYPE") == "I")})
+            .withColumn("duration", F.col(EPOCH) - F.lag(EPOCH, 1, 0).over(order)))
 
 
 def trip_segments(gaps: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
-    """``new_mask`` opens a trip; ``new_tms_id`` numbers trips."""
+    """``new_mask`` opens a trip; ``new_tms_id`` numbers trips.
+
+    The running sum orders by a prefix of the ``lag`` order, so it reuses
+    that sort.
+    """
     opens = flag(F.col("duration") * F.col("mask") > gap_seconds)
     return gaps.withColumns({
         "new_mask": opens,
@@ -71,29 +72,58 @@ def trip_segments(gaps: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     })
 
 
-def _marker() -> Column:
-    trip = Window.partitionBy(*CARD_DAY, "new_tms_id")
-    first = trip.orderBy("tms_id", EPOCH)
-    last = trip.orderBy(F.col("tms_id"), F.col(EPOCH).desc())
-    # the destination mark wins over the origin mark (a one-row trip is 999)
-    return (F.when(F.rank().over(last) == 1, F.lit(DESTINATION))
-            .when(F.rank().over(first) == 1, F.lit(ORIGIN))
+def trip_first_key() -> Column:
+    """Aggregate: smallest (tms_id, epoch) of a group, nulls first."""
+    return F.min(F.struct("tms_id", EPOCH))
+
+
+def trip_last_key() -> Column:
+    """Aggregate: first row in (tms_id asc, epoch desc nulls last) order."""
+    return F.min(F.struct(F.col("tms_id"), F.col(EPOCH).isNull(),
+                          (-F.col(EPOCH)).alias("neg")))
+
+
+def marker_of(first_key: Column, last_key: Column) -> Column:
+    """P20 from the trip's first and last order keys.
+
+    ``rank() == 1`` holds exactly for the rows whose order key equals the
+    group's smallest key, so the two rank windows are group minima; the
+    destination mark wins over the origin mark (a one-row trip is 999).
+    """
+    is_first = (F.col("tms_id").eqNullSafe(first_key.getField("tms_id"))
+                & F.col(EPOCH).eqNullSafe(first_key.getField(EPOCH)))
+    is_last = (F.col("tms_id").eqNullSafe(last_key.getField("tms_id"))
+               & F.col(EPOCH).eqNullSafe(-last_key.getField("neg")))
+    return (F.when(is_last, F.lit(DESTINATION)).when(is_first, F.lit(ORIGIN))
             .otherwise(F.lit(INNER)))
 
 
 def endpoint_marks(segments: DataFrame) -> DataFrame:
-    """0 for a trip's first tap, 999 for its end, 9 otherwise."""
-    return segments.withColumn("marker", _marker())
+    """0 for a trip's first tap, 999 for its end, 9 otherwise.
+
+    Both minima run over one unordered window per OD trip: one sort.
+    """
+    trip = Window.partitionBy(*CARD_DAY, "new_tms_id")
+    return segments.withColumn(
+        "marker", marker_of(trip_first_key().over(trip), trip_last_key().over(trip)))
+
+
+def station_order() -> Column:
+    """Order of taps for the first/last station: time, then a total tie-break."""
+    return F.struct("mark_trade_time", *STATION_TIE)
 
 
 def od_from_marks(marks: DataFrame) -> DataFrame:
-    """Keep endpoints, label them, project 13 columns."""
-    by_time = [F.col("mark_trade_time")] + [F.col(c) for c in STATION_TIE]
+    """Keep endpoints, label them, project 13 columns.
+
+    ``first(station) over (order by time)`` is the station of the earliest
+    tap: ``min_by`` over the unordered card-day window, which needs no sort
+    of its own (the previous sort already clusters card-days).
+    """
     day = Window.partitionBy(*CARD_DAY)
-    first_station = F.first("station_name").over(day.orderBy(*by_time))
-    last_station = F.first("station_name").over(day.orderBy(*[c.desc() for c in by_time]))
     derived = {
-        "od_desc": F.concat(first_station, F.lit("-"), last_station),
+        "od_desc": F.concat(F.min_by("station_name", station_order()).over(day), F.lit("-"),
+                            F.max_by("station_name", station_order()).over(day)),
         "od_type": F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1)),
     }
     return (marks.where(F.col("marker").isin(ORIGIN, DESTINATION))
@@ -122,22 +152,13 @@ def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int) -> DataFrame:
             .withColumn("duration", F.col(EPOCH) - F.col("_prev_epoch")).drop("_prev_epoch")
             .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds)))
     segs = skew.running_sum(gaps, "new_mask", order, "new_tms_id")
-    # rank() == 1 in (tms_id, epoch) order  <=>  the key equals the trip minimum;
-    # (tms_id asc, epoch desc nulls last) is ascending in (tms_id, epoch is null, -epoch)
-    ends = segs.groupBy(kid, "new_tms_id").agg(
-        F.min(F.struct("tms_id", EPOCH)).alias("_lo"),
-        F.min(F.struct(F.col("tms_id"), F.col(EPOCH).isNull(), (-F.col(EPOCH)).alias("neg")))
-        .alias("_hi"))
-    first_mark = (F.col("tms_id").eqNullSafe(F.col("_lo.tms_id"))
-                  & F.col(EPOCH).eqNullSafe(F.col("_lo." + EPOCH)))
-    last_mark = (F.col("tms_id").eqNullSafe(F.col("_hi.tms_id"))
-                 & F.col(EPOCH).eqNullSafe(-F.col("_hi.neg")))
+    ends = segs.groupBy(kid, "new_tms_id").agg(trip_first_key().alias("_lo"),
+                                               trip_last_key().alias("_hi"))
     marks = (segs.join(ends, [kid, "new_tms_id"], "inner")
-             .where(first_mark | last_mark))
-    by_time = F.struct("mark_trade_time", *STATION_TIE)
+             .where(marker_of(F.col("_lo"), F.col("_hi")).isin(ORIGIN, DESTINATION)))
     stations = marks.groupBy(kid).agg(
-        F.min_by("station_name", by_time).alias("_first_station"),
-        F.max_by("station_name", by_time).alias("_last_station"))
+        F.min_by("station_name", station_order()).alias("_first_station"),
+        F.max_by("station_name", station_order()).alias("_last_station"))
     # one row per hot card-day; adaptive execution broadcasts it when small
     od = (marks.join(stations, [kid], "inner")
           .withColumn("od_desc", F.concat(F.col("_first_station"), F.lit("-"),
