@@ -131,7 +131,8 @@ def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
 
 def clean_metro(taps: DataFrame, exact_trip_key: bool = False,
                 hot_threshold: int | None = None,
-                rows_per_chunk: int = skew.ROWS_PER_CHUNK) -> DataFrame:
+                rows_per_chunk: int = skew.ROWS_PER_CHUNK,
+                hot_keys: skew.HotKeys | None = None) -> DataFrame:
     """Number trips, drop one-tap trips, drop repeated directions.
 
     ``exact_trip_key=True`` removes one-tap trips by the string key ``tct``
@@ -139,11 +140,14 @@ def clean_metro(taps: DataFrame, exact_trip_key: bool = False,
 
     With ``hot_threshold`` set, card-days above that many taps are split
     out and cleaned in ordered chunks (``tapflow.operators.skew``); the rest
-    take the one-exchange window plan.  Results are identical.
+    take the one-exchange window plan.  Results are identical.  A caller
+    that already knows a superset of the hot card-days passes ``hot_keys``.
     """
-    if hot_threshold is None:
+    if hot_keys is None and hot_threshold is None:
         return _clean_metro_windows(taps, exact_trip_key)
-    split = skew.split_hot(taps, CARD_DAY, hot_threshold)
+    if hot_keys is None:
+        hot_keys = skew.find_hot_keys(taps, CARD_DAY, hot_threshold)
+    split = skew.split_hot(taps, hot_keys)
     cold = _clean_metro_windows(split.cold, exact_trip_key)
     if split.hot is None:
         return cold

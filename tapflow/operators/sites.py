@@ -80,3 +80,20 @@ def duplicate_site_keys(sites: DataFrame) -> DataFrame:
                           F.trim("station_name").alias("station_name"))
             .agg(F.count(F.lit(1)).alias("rows"))
             .where(F.col("rows") > 1))
+
+
+def _key_rows(sites: DataFrame) -> DataFrame:
+    return (sites.where(F.col("line_no").isNotNull() & F.col("station_name").isNotNull())
+            .groupBy(F.trim("line_no").alias("k_line"), F.trim("station_name").alias("k_name"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def max_key_multiplicity(bus_sites: DataFrame, metro_sites: DataFrame) -> int:
+    """Largest number of station rows sharing one join key, over both tables.
+
+    A tap matches at most this many station rows, so it bounds how much the
+    station joins can multiply the taps of a card-day.  One small job.
+    """
+    both = _key_rows(bus_sites).unionByName(_key_rows(site_line_no(metro_sites)))
+    top = both.agg(F.max("rows")).first()[0]
+    return int(top or 0)

@@ -51,6 +51,17 @@ KID = "_kid"
 CHUNK = "_chunk"
 
 
+@dataclass
+class HotKeys:
+    """Keys taking the chunked path: ``ids`` holds the key columns (prefixed
+    ``_hk_``) and a stable integer ``_kid``; ``rows`` bounds their row total."""
+
+    ids: DataFrame
+    keys: list[str]
+    count: int
+    rows: int
+
+
 @dataclass
 class HotSplit:
     """Result of ``split_hot``: ``hot`` is None when no key is hot."""
@@ -60,34 +71,52 @@ class HotSplit:
     hot_rows: int
 
 
+_PREFIX = "_hk_"
+
+
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b,
                   [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def split_hot(df: DataFrame, keys: list[str], threshold: int = HOT_ROWS_PER_KEY,
-              max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> HotSplit:
-    """Split ``df`` into rows of cold keys and rows of keys above ``threshold``.
+def hot_keys_from_counts(counts: DataFrame, keys: list[str], rows: str) -> HotKeys | None:
+    """Turn a table of hot keys (already filtered) into ``HotKeys``.
 
-    Costs one small job (a map-side-combined count per key) when no key is
-    hot; then the plan is the plain one.
+    One small job when the table is empty; otherwise the keys (at most
+    rows / threshold of them) are checkpointed so every use sees the same ids.
     """
-    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-              .where(F.col("_rows") > threshold))
-    stats = counts.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
+    stats = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(rows).alias("rows")).first()
     if not stats["n"]:
-        return HotSplit(df, None, 0)
-    # at most rows / threshold keys; checkpointed so every use sees the same ids
-    prefix = "_hk_"
-    ids = (counts.select(*[F.col(k).alias(prefix + k) for k in keys])
+        return None
+    ids = (counts.select(*[F.col(k).alias(_PREFIX + k) for k in keys])
            .checkpoint(eager=True)
            .withColumn(KID, F.monotonically_increasing_id()))
-    if stats["n"] <= max_broadcast_keys:
-        ids = F.broadcast(ids)
-    cond = _null_safe(df, ids, keys, prefix)
-    hot = df.join(ids, cond, "inner").drop(*[prefix + k for k in keys])
+    return HotKeys(ids, list(keys), int(stats["n"]), int(stats["rows"]))
+
+
+def find_hot_keys(df: DataFrame, keys: list[str],
+                  threshold: int = HOT_ROWS_PER_KEY) -> HotKeys | None:
+    """Keys of ``df`` with more than ``threshold`` rows (map-side-combined count)."""
+    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+              .where(F.col("_rows") > threshold))
+    return hot_keys_from_counts(counts, keys, "_rows")
+
+
+def split_hot(df: DataFrame, hot: HotKeys | None,
+              max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> HotSplit:
+    """Rows of cold keys, and rows of hot keys tagged with ``_kid``.
+
+    The key match is null-safe, so a null card id can be hot too.  The key
+    table is broadcast only when its proven count is small; otherwise both
+    sides are joined by shuffle.
+    """
+    if hot is None:
+        return HotSplit(df, None, 0)
+    ids = F.broadcast(hot.ids) if hot.count <= max_broadcast_keys else hot.ids
+    cond = _null_safe(df, ids, hot.keys, _PREFIX)
+    tagged = df.join(ids, cond, "inner").drop(*[_PREFIX + k for k in hot.keys])
     cold = df.join(ids, cond, "left_anti")
-    return HotSplit(cold, hot, int(stats["rows"]))
+    return HotSplit(cold, tagged, hot.rows)
 
 
 def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:

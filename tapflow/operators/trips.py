@@ -169,16 +169,20 @@ def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int) -> DataFrame:
 
 def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS,
                hot_threshold: int | None = None,
-               rows_per_chunk: int = skew.ROWS_PER_CHUNK) -> DataFrame:
+               rows_per_chunk: int = skew.ROWS_PER_CHUNK,
+               hot_keys: skew.HotKeys | None = None) -> DataFrame:
     """Merged taps -> OD records (13 columns).
 
     With ``hot_threshold`` set, card-days above that many taps are cut in
     ordered chunks (``tapflow.operators.skew``); the rest take the
-    one-exchange window plan.  Results are identical.
+    one-exchange window plan.  Results are identical.  A caller that
+    already knows a superset of the hot card-days passes ``hot_keys``.
     """
-    if hot_threshold is None:
+    if hot_keys is None and hot_threshold is None:
         return _od_windows(taps, gap_seconds)
-    split = skew.split_hot(taps, CARD_DAY, hot_threshold)
+    if hot_keys is None:
+        hot_keys = skew.find_hot_keys(taps, CARD_DAY, hot_threshold)
+    split = skew.split_hot(taps, hot_keys)
     cold = _od_windows(split.cold, gap_seconds)
     if split.hot is None:
         return cold

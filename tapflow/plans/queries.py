@@ -15,6 +15,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapflow.operators import clean, flow, merge, sites, skew, trips
@@ -22,6 +23,7 @@ from tapflow.session import shared_dir
 from tapflow.sources import delimited, fixtures, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+CARD_DAY = ["trade_date", "card_id"]
 
 
 class TapFlow:
@@ -34,7 +36,34 @@ class TapFlow:
         self.sf_dir = sf_dir
         self.inputs = fixtures.domain_tables(spark, sf_dir)
         # card-days above hot_threshold rows take the chunked path
-        self.skew = {"hot_threshold": hot_threshold, "rows_per_chunk": rows_per_chunk}
+        self.hot_threshold = hot_threshold
+        self.rows_per_chunk = rows_per_chunk
+
+    @cached_property
+    def metro_hot(self) -> skew.HotKeys | None:
+        """Hot card-days of the metro taps (exact counts; one scan job)."""
+        if self.hot_threshold is None:
+            return None
+        return skew.find_hot_keys(self.inputs["metro_taps"], CARD_DAY, self.hot_threshold)
+
+    @cached_property
+    def od_hot(self) -> skew.HotKeys | None:
+        """A superset of the hot card-days of the merged taps, without
+        computing them: cleaning only drops rows, the union's distinct only
+        drops rows, and a station join repeats a tap at most ``k`` times (the
+        largest station-key multiplicity).  So merged rows per card-day are at
+        most ``k`` times the raw taps of that card-day.  Two small jobs (the
+        station tables, then a two-column count over the raw taps) instead of
+        a second run of the whole chain."""
+        if self.hot_threshold is None:
+            return None
+        k = sites.max_key_multiplicity(self.inputs["bus_stations"],
+                                       self.inputs["metro_stations"])
+        raw = (self.inputs["bus_rides"].select(*CARD_DAY)
+               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY)))
+        bound = (raw.groupBy(*CARD_DAY).agg((F.count(F.lit(1)) * k).alias("_bound"))
+                 .where(F.col("_bound") > self.hot_threshold))
+        return skew.hot_keys_from_counts(bound, CARD_DAY, "_bound")
 
     @cached_property
     def bus_cleaned(self) -> DataFrame:
@@ -46,7 +75,8 @@ class TapFlow:
 
     @cached_property
     def metro_cleaned(self) -> DataFrame:
-        return clean.clean_metro(self.inputs["metro_taps"], **self.skew)
+        return clean.clean_metro(self.inputs["metro_taps"], hot_keys=self.metro_hot,
+                                 rows_per_chunk=self.rows_per_chunk)
 
     @cached_property
     def bus_with_site(self) -> DataFrame:
@@ -74,7 +104,8 @@ class TapFlow:
 
     @cached_property
     def od_records(self) -> DataFrame:
-        return trips.od_records(self.all_taps, **self.skew)
+        return trips.od_records(self.all_taps, hot_keys=self.od_hot,
+                                rows_per_chunk=self.rows_per_chunk)
 
     @cached_property
     def passenger_flow(self) -> DataFrame:
