@@ -22,7 +22,11 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tapflow") -> SparkSession:
-    """Build (or reuse) a session with the settings this engine is tuned for."""
+    """Build (or reuse) a local session for tests, the bench and the CLI.
+
+    On a cluster the session comes from ``spark-submit`` and its settings;
+    library functions never depend on these values.
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
@@ -34,6 +38,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small local shuffles: keep every core busy instead of merging
+        # partitions up to the 1 MB default minimum
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
