@@ -214,6 +214,8 @@ def oracle_sql() -> dict[str, str]:
             "metro_aligned", "all_taps", "tap_gaps", "trip_segments", "endpoint_marks",
             "od_records", "passenger_flow"]
     out = {k: sql_for(k) for k in keys}
+    out["metro_cleaned_chunked"] = out["metro_cleaned"]
+    out["od_records_chunked"] = out["od_records"]
     out["table_scan"] = "SELECT * FROM events"
     out["delimited_scan"] = sql_for("bus_rides")
     out["file_to_table"] = sql_for("metro_taps")

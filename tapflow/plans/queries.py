@@ -190,6 +190,22 @@ def q_flow_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.flow_preview(flow.passenger_flow(TapFlow(spark, sf_dir).od_records, sort=False))
 
 
+# Chunked-path keys: every card-day is treated as hot and cut into chunks of
+# CHECK_ROWS_PER_CHUNK rows, so the skew path runs on the whole tables and is
+# checked against the same oracle as the window path.
+CHECK_ROWS_PER_CHUNK = 1000
+
+
+def q_metro_cleaned_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TapFlow(spark, sf_dir, hot_threshold=0,
+                   rows_per_chunk=CHECK_ROWS_PER_CHUNK).metro_cleaned
+
+
+def q_od_records_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TapFlow(spark, sf_dir, hot_threshold=0,
+                   rows_per_chunk=CHECK_ROWS_PER_CHUNK).od_records
+
+
 def queries() -> dict[str, Query]:
     return {
         "table_scan": q_table_scan,
@@ -213,4 +229,6 @@ def queries() -> dict[str, Query]:
         "od_records": _chain("od_records"),
         "passenger_flow": _chain("passenger_flow"),
         "flow_preview": q_flow_preview,
+        "metro_cleaned_chunked": q_metro_cleaned_chunked,
+        "od_records_chunked": q_od_records_chunked,
     }
