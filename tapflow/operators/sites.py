@@ -12,6 +12,8 @@ keys *before* the broadcast, so only what the join needs is shipped.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +29,20 @@ def site_line_no(metro_sites: DataFrame) -> DataFrame:
 
 
 def _site_side(sites: DataFrame) -> DataFrame:
-    return sites.select(
-        F.trim("line_no").alias("_site_line"),
-        F.trim("station_name").alias("_site_name"),
-        *SITE_COLUMNS)
-
-
-def _attach(taps: DataFrame, sites: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    right = broadcast_if_small(_site_side(sites), max_broadcast_rows)
+    # a station row with a null key never matches the inner join
+    return (sites.where(F.col("line_no").isNotNull() & F.col("station_name").isNotNull())
+            .select(F.trim("line_no").alias("_site_line"),
+                    F.trim("station_name").alias("_site_name"),
+                    *SITE_COLUMNS))
+
+
+def _attach(taps: DataFrame, sites: DataFrame, max_broadcast_rows: int,
+            broadcast: bool | None) -> DataFrame:
+    side = _site_side(sites)
+    if broadcast is None:  # prove the bound here
+        right = broadcast_if_small(side, max_broadcast_rows)
+    else:  # the caller proved it (or ruled it out)
+        right = F.broadcast(side) if broadcast else side
     left_cols = taps.columns
     # keys are computed once per tap row; trimmed site keys were computed
     # before the broadcast
@@ -47,19 +55,22 @@ def _attach(taps: DataFrame, sites: DataFrame, max_broadcast_rows: int) -> DataF
 
 
 def attach_bus_sites(rides: DataFrame, sites: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                     broadcast: bool | None = None) -> DataFrame:
     """Cleaned bus rides with station id and coordinates; unmatched rides drop.
 
     The ride's line and station are the boarding values, else the alighting
-    values (P8).
+    values (P8).  ``broadcast`` is the caller's proven decision (see
+    ``site_facts``); by default the bound is checked here.
     """
     rides = (rides.withColumn("line_no", F.coalesce("mark_line_id", "trade_line_id"))
              .withColumn("station_name", F.coalesce("mark_station", "trade_station")))
-    return _attach(rides, sites, max_broadcast_rows)
+    return _attach(rides, sites, max_broadcast_rows, broadcast)
 
 
 def attach_metro_sites(taps: DataFrame, sites: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       broadcast: bool | None = None) -> DataFrame:
     """Cleaned metro taps with station id and coordinates.
 
     In metro taps ``line_id``/``station_id`` hold the line number and the
@@ -67,7 +78,7 @@ def attach_metro_sites(taps: DataFrame, sites: DataFrame,
     ``line_no`` comes from its line name (P9).
     """
     taps = taps.withColumnsRenamed({"line_id": "line_no", "station_id": "station_name"})
-    return _attach(taps, site_line_no(sites), max_broadcast_rows)
+    return _attach(taps, site_line_no(sites), max_broadcast_rows, broadcast)
 
 
 def duplicate_site_keys(sites: DataFrame) -> DataFrame:
@@ -82,18 +93,32 @@ def duplicate_site_keys(sites: DataFrame) -> DataFrame:
             .where(F.col("rows") > 1))
 
 
-def _key_rows(sites: DataFrame) -> DataFrame:
-    return (sites.where(F.col("line_no").isNotNull() & F.col("station_name").isNotNull())
-            .groupBy(F.trim("line_no").alias("k_line"), F.trim("station_name").alias("k_name"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+@dataclass
+class SiteFacts:
+    """Proven facts about both station tables (one job)."""
+
+    bus_rows: int        # rows that can match (non-null keys)
+    metro_rows: int
+    multiplicity: int    # most station rows sharing one join key
+
+
+def _key_rows(sites: DataFrame, name: str) -> DataFrame:
+    side = _site_side(sites)
+    per_key = side.groupBy("_site_line", "_site_name").agg(F.count(F.lit(1)).alias("rows"))
+    return per_key.agg(F.lit(name).alias("table"),
+                       F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                       F.coalesce(F.max("rows"), F.lit(0)).alias("multiplicity"))
 
 
-def max_key_multiplicity(bus_sites: DataFrame, metro_sites: DataFrame) -> int:
-    """Largest number of station rows sharing one join key, over both tables.
+def site_facts(bus_sites: DataFrame, metro_sites: DataFrame) -> SiteFacts:
+    """Row counts and the largest key multiplicity of both station tables.
 
-    A tap matches at most this many station rows, so it bounds how much the
-    station joins can multiply the taps of a card-day.  One small job.
+    The counts decide the broadcasts; the multiplicity bounds how often a
+    station join can repeat one tap.  One job with a map-side-combined count
+    per key, two result rows.
     """
-    both = _key_rows(bus_sites).unionByName(_key_rows(site_line_no(metro_sites)))
-    top = both.agg(F.max("rows")).first()[0]
-    return int(top or 0)
+    both = (_key_rows(bus_sites, "bus")
+            .unionByName(_key_rows(site_line_no(metro_sites), "metro")))
+    got = {r["table"]: r for r in both.collect()}
+    return SiteFacts(int(got["bus"]["rows"]), int(got["metro"]["rows"]),
+                     int(max(got["bus"]["multiplicity"], got["metro"]["multiplicity"])))

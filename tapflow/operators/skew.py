@@ -37,6 +37,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapflow.session import shared_dir
+
 # A card-day above this many rows is processed in chunks.
 HOT_ROWS_PER_KEY = 2_000_000
 # Target rows per chunk of a hot key (one task each).
@@ -79,27 +81,47 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
                   [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def hot_keys_from_counts(counts: DataFrame, keys: list[str], rows: str) -> HotKeys | None:
-    """Turn a table of hot keys (already filtered) into ``HotKeys``.
+def hot_keys_by(counts: DataFrame, keys: list[str],
+                tests: dict[str, tuple[Column, Column]]) -> dict[str, HotKeys | None]:
+    """Several hot-key sets from one table of per-key counts.
 
-    One small job when the table is empty; otherwise the keys (at most
-    rows / threshold of them) are checkpointed so every use sees the same ids.
+    ``tests`` maps a name to (is-hot predicate, row bound) over ``counts``.
+    One job computes how many keys each test selects; when none does, that
+    is all.  Otherwise the keys selected by any test (at most rows /
+    threshold of them) are checkpointed once, so every use sees the same ids.
     """
-    stats = counts.agg(F.count(F.lit(1)).alias("n"), F.sum(rows).alias("rows")).first()
-    if not stats["n"]:
-        return None
-    ids = (counts.select(*[F.col(k).alias(_PREFIX + k) for k in keys])
-           .checkpoint(eager=True)
-           .withColumn(KID, F.monotonically_increasing_id()))
-    return HotKeys(ids, list(keys), int(stats["n"]), int(stats["rows"]))
+    aggs = []
+    for name, (hot, rows) in tests.items():
+        aggs += [F.count_if(hot).alias(f"n_{name}"),
+                 F.sum(F.when(hot, rows)).alias(f"r_{name}")]
+    stats = counts.agg(*aggs).first()
+    found = {name: int(stats[f"n_{name}"] or 0) for name in tests}
+    if not any(found.values()):
+        return dict.fromkeys(tests)
+    shared_dir(counts.sparkSession)
+    any_hot = reduce(lambda a, b: a | b, [hot for hot, _ in tests.values()])
+    flagged = (counts.where(any_hot)
+               .select(*[F.col(k).alias(_PREFIX + k) for k in keys],
+                       *[hot.alias(f"_is_{name}") for name, (hot, _) in tests.items()])
+               .checkpoint(eager=True))
+    out: dict[str, HotKeys | None] = {}
+    for name in tests:
+        if not found[name]:
+            out[name] = None
+            continue
+        ids = (flagged.where(F.col(f"_is_{name}"))
+               .select(*[_PREFIX + k for k in keys])
+               .withColumn(KID, F.monotonically_increasing_id()))
+        out[name] = HotKeys(ids, list(keys), found[name], int(stats[f"r_{name}"]))
+    return out
 
 
 def find_hot_keys(df: DataFrame, keys: list[str],
                   threshold: int = HOT_ROWS_PER_KEY) -> HotKeys | None:
     """Keys of ``df`` with more than ``threshold`` rows (map-side-combined count)."""
-    counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-              .where(F.col("_rows") > threshold))
-    return hot_keys_from_counts(counts, keys, "_rows")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = F.col("_rows")
+    return hot_keys_by(counts, keys, {"hot": (rows > threshold, rows)})["hot"]
 
 
 def split_hot(df: DataFrame, hot: HotKeys | None,
@@ -131,6 +153,7 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int) -> DataFrame:
     Equal (key, order) values share a chunk.  Checkpointed: chunk ids must
     not change between the uses of the result.
     """
+    shared_dir(hot.sparkSession)
     ranged = hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
     return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True)
 

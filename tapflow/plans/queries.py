@@ -40,30 +40,42 @@ class TapFlow:
         self.rows_per_chunk = rows_per_chunk
 
     @cached_property
-    def metro_hot(self) -> skew.HotKeys | None:
-        """Hot card-days of the metro taps (exact counts; one scan job)."""
-        if self.hot_threshold is None:
-            return None
-        return skew.find_hot_keys(self.inputs["metro_taps"], CARD_DAY, self.hot_threshold)
+    def site_facts(self) -> sites.SiteFacts:
+        """Station row counts (broadcast proofs) and key multiplicity: one job."""
+        return sites.site_facts(self.inputs["bus_stations"], self.inputs["metro_stations"])
 
     @cached_property
-    def od_hot(self) -> skew.HotKeys | None:
-        """A superset of the hot card-days of the merged taps, without
-        computing them: cleaning only drops rows, the union's distinct only
-        drops rows, and a station join repeats a tap at most ``k`` times (the
-        largest station-key multiplicity).  So merged rows per card-day are at
-        most ``k`` times the raw taps of that card-day.  Two small jobs (the
-        station tables, then a two-column count over the raw taps) instead of
-        a second run of the whole chain."""
+    def _hot(self) -> dict[str, skew.HotKeys | None]:
+        """Hot card-days of both windowed stages from one count over raw taps.
+
+        Metro cleaning sees exactly the metro taps.  The OD stage's rows per
+        card-day are bounded without computing them: cleaning only drops rows,
+        the union's distinct only drops rows, and a station join repeats a tap
+        at most ``k`` times (the largest station-key multiplicity), so merged
+        rows are at most ``k`` times the raw taps of that card-day.  The bound
+        may flag a card-day that is not hot; the chunked path is exact for any
+        key.
+        """
         if self.hot_threshold is None:
-            return None
-        k = sites.max_key_multiplicity(self.inputs["bus_stations"],
-                                       self.inputs["metro_stations"])
-        raw = (self.inputs["bus_rides"].select(*CARD_DAY)
-               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY)))
-        bound = (raw.groupBy(*CARD_DAY).agg((F.count(F.lit(1)) * k).alias("_bound"))
-                 .where(F.col("_bound") > self.hot_threshold))
-        return skew.hot_keys_from_counts(bound, CARD_DAY, "_bound")
+            return {"metro": None, "od": None}
+        k = self.site_facts.multiplicity
+        raw = (self.inputs["bus_rides"].select(*CARD_DAY, F.lit(0).alias("_metro"))
+               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY, F.lit(1).alias("_metro"))))
+        counts = raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_all"),
+                                            F.sum("_metro").alias("_metro"))
+        metro, bound = F.col("_metro"), F.col("_all") * k
+        return skew.hot_keys_by(counts, CARD_DAY, {
+            "metro": (metro > self.hot_threshold, metro),
+            "od": (bound > self.hot_threshold, bound),
+        })
+
+    @property
+    def metro_hot(self) -> skew.HotKeys | None:
+        return self._hot["metro"]
+
+    @property
+    def od_hot(self) -> skew.HotKeys | None:
+        return self._hot["od"]
 
     @cached_property
     def bus_cleaned(self) -> DataFrame:
@@ -80,11 +92,15 @@ class TapFlow:
 
     @cached_property
     def bus_with_site(self) -> DataFrame:
-        return sites.attach_bus_sites(self.bus_cleaned, self.inputs["bus_stations"])
+        ok = self.site_facts.bus_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
+        return sites.attach_bus_sites(self.bus_cleaned, self.inputs["bus_stations"],
+                                      broadcast=ok)
 
     @cached_property
     def metro_with_site(self) -> DataFrame:
-        return sites.attach_metro_sites(self.metro_cleaned, self.inputs["metro_stations"])
+        ok = self.site_facts.metro_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
+        return sites.attach_metro_sites(self.metro_cleaned, self.inputs["metro_stations"],
+                                        broadcast=ok)
 
     @cached_property
     def all_taps(self) -> DataFrame:
