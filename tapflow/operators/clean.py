@@ -118,11 +118,10 @@ def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
                                  ["trade_time"], chunks)
     with_ids = (skew.running_sum(chunked, "once_od", ["trade_time"], "tms_id")
                 .withColumn("tct", trip_key()))
-    # taps per trip: a map-side-combined count joined back (a long trip may
-    # span chunks; adaptive execution splits a hot trip in the join)
-    taps_per_trip = with_ids.groupBy(skew.KID, "tms_id").agg(F.count(F.lit(1)).alias("_taps"))
-    kept = (with_ids.join(taps_per_trip, [skew.KID, "tms_id"], "inner")
-            .where(F.col("_taps") > 1).drop("_taps"))
+    # taps per trip: counted inside chunks, corrected across chunk edges
+    counted = skew.segment_agg(with_ids, "tms_id",
+                               {"_taps": (F.count(F.lit(1)), F.sum)})
+    kept = counted.where(F.col("_taps") > 1).drop("_taps")
     last = skew.lag_in_order(kept, "io_type", ["trade_time"] + METRO_TIE,
                              FIRST_PREVIOUS_DIRECTION, "last_io_type")
     return (last.where(F.col("io_type") != F.col("last_io_type"))

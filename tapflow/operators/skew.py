@@ -21,7 +21,10 @@ ordered scan in Spark:
    chunk ids stay stable if an executor is lost and work is recomputed.
 4. **Carry** between chunks through per-chunk summaries (one row per key and
    chunk, bounded by the chunk count): running-sum offsets and the last row
-   of the previous chunk, joined back by broadcast.
+   of the previous chunk, joined back by broadcast.  Per-trip aggregates are
+   computed inside each chunk and corrected from the chunk-edge trips only
+   (``segment_agg``), so after the range exchange the hot rows are shuffled
+   once, by (key, chunk), and never by key or trip.
 
 Residual limit: rows sharing one key *and* one exact order value (same card,
 same day, same second and trip) are never split, as their relative order is
@@ -31,6 +34,7 @@ part of the result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -71,6 +75,7 @@ class HotSplit:
     cold: DataFrame
     hot: DataFrame | None
     hot_rows: int
+    hot_keys: int = 0
 
 
 _PREFIX = "_hk_"
@@ -138,7 +143,7 @@ def split_hot(df: DataFrame, hot: HotKeys | None,
     cond = _null_safe(df, ids, hot.keys, _PREFIX)
     tagged = df.join(ids, cond, "inner").drop(*[_PREFIX + k for k in hot.keys])
     cold = df.join(ids, cond, "left_anti")
-    return HotSplit(cold, tagged, hot.rows)
+    return HotSplit(cold, tagged, hot.rows, hot.count)
 
 
 def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
@@ -150,12 +155,27 @@ def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
 def assign_chunks(hot: DataFrame, order: list[str], chunks: int) -> DataFrame:
     """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order).
 
-    Equal (key, order) values share a chunk.  Checkpointed: chunk ids must
-    not change between the uses of the result.
+    Equal (key, order) values share a chunk.  Checkpointed into the shared
+    checkpoint folder: chunk ids must not change between the uses of the
+    result, also when an executor is lost.
     """
-    shared_dir(hot.sparkSession)
+    spark = hot.sparkSession
+    shared_dir(spark)
     ranged = hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
-    return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True)
+    # cluster by (key, chunk) before the checkpoint: the checkpoint keeps that
+    # partitioning, so every later window and aggregate keyed by (key, chunk)
+    # reads it in place -- hot rows are shuffled exactly twice in total.  A
+    # checkpoint taken under adaptive execution forgets its partitioning, so
+    # this one job runs with fixed partition counts and AQE off.
+    clustered = (ranged.withColumn(CHUNK, F.spark_partition_id())
+                 .repartition(chunks, KID, CHUNK))
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return clustered.checkpoint(eager=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def _chunk_window() -> Window:
@@ -207,3 +227,30 @@ def lag_in_order(chunked: DataFrame, value: str, order: list[str], default,
     return (attach(rows, carry)
             .withColumn(name, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev")))
             .drop("_prev", "_pos", "_carry"))
+
+
+def segment_agg(rows: DataFrame, seg: str,
+                specs: dict[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
+    """Exact per-(key, ``seg``) aggregates on rows clustered by (key, chunk).
+
+    ``seg`` (a trip number) never decreases along the chunk order and is
+    never null, so a segment can continue into another chunk only as that
+    chunk's first or last segment.  Each ``specs`` entry is (partial
+    aggregate, combine function): the partial runs per (key, chunk, seg) as
+    a window on the existing clustering; only edge segments (at most two per
+    chunk) are combined across chunks and broadcast back.  No hot row is
+    shuffled by segment, so a segment holding most of a key stays split.
+    """
+    within = Window.partitionBy(KID, CHUNK, seg)
+    chunk = Window.partitionBy(KID, CHUNK)
+    s = F.col(seg)
+    local = (rows.withColumns({f"_p_{n}": agg.over(within) for n, (agg, _) in specs.items()})
+             .withColumn("_edge", (s == F.min(s).over(chunk)) | (s == F.max(s).over(chunk))))
+    edges = (local.where(F.col("_edge")).groupBy(KID, CHUNK, seg)
+             .agg(*[F.max(f"_p_{n}").alias(f"_p_{n}") for n in specs]))
+    # at most two rows per chunk: bounded by MAX_CHUNKS
+    totals = edges.groupBy(KID, seg).agg(
+        *[combine(F.col(f"_p_{n}")).alias(f"_t_{n}") for n, (_, combine) in specs.items()])
+    out = local.join(F.broadcast(totals), [KID, seg], "left")
+    return (out.withColumns({n: F.coalesce(f"_t_{n}", f"_p_{n}") for n in specs})
+            .drop("_edge", *[f"_p_{n}" for n in specs], *[f"_t_{n}" for n in specs]))

@@ -135,7 +135,7 @@ def _od_windows(taps: DataFrame, gap_seconds: int) -> DataFrame:
     return od_from_marks(endpoint_marks(trip_segments(tap_gaps(taps), gap_seconds)))
 
 
-def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int) -> DataFrame:
+def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int, hot_keys: int) -> DataFrame:
     """X10 for hot card-days: ordered chunk scans plus group aggregates.
 
     ``lag`` and the trip numbering run as chunk scans; the rank markers are
@@ -152,14 +152,16 @@ def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int) -> DataFrame:
             .withColumn("duration", F.col(EPOCH) - F.col("_prev_epoch")).drop("_prev_epoch")
             .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds)))
     segs = skew.running_sum(gaps, "new_mask", order, "new_tms_id")
-    ends = segs.groupBy(kid, "new_tms_id").agg(trip_first_key().alias("_lo"),
-                                               trip_last_key().alias("_hi"))
-    marks = (segs.join(ends, [kid, "new_tms_id"], "inner")
-             .where(marker_of(F.col("_lo"), F.col("_hi")).isin(ORIGIN, DESTINATION)))
+    # trip minima per OD trip: inside chunks, corrected across chunk edges
+    ends = skew.segment_agg(segs, "new_tms_id", {"_lo": (trip_first_key(), F.min),
+                                                 "_hi": (trip_last_key(), F.min)})
+    marks = ends.where(marker_of(F.col("_lo"), F.col("_hi")).isin(ORIGIN, DESTINATION))
+    # first/last station per card-day: map-side-combined, one row per hot key
     stations = marks.groupBy(kid).agg(
         F.min_by("station_name", station_order()).alias("_first_station"),
         F.max_by("station_name", station_order()).alias("_last_station"))
-    # one row per hot card-day; adaptive execution broadcasts it when small
+    if hot_keys <= skew.MAX_BROADCAST_HOT_KEYS:
+        stations = F.broadcast(stations)
     od = (marks.join(stations, [kid], "inner")
           .withColumn("od_desc", F.concat(F.col("_first_station"), F.lit("-"),
                                           F.col("_last_station")))
@@ -187,4 +189,4 @@ def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS,
     if split.hot is None:
         return cold
     chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
-    return cold.unionByName(_od_chunked(split.hot, chunks, gap_seconds))
+    return cold.unionByName(_od_chunked(split.hot, chunks, gap_seconds, split.hot_keys))
