@@ -2,8 +2,9 @@
 
 Bus cleaning is a 1:1 projection.  Metro cleaning numbers the trips of each
 card-day, removes one-tap trips and removes taps that repeat the previous
-direction.  All windows share the partitioning (trade_date, card_id), so the
-whole metro cleaning costs one hash exchange.
+direction.  All windows share the partitioning (trade_date, card_id) and
+order by prefixes of one tap order, so the whole metro cleaning costs one
+hash exchange and one sort.
 """
 
 from __future__ import annotations
@@ -34,10 +35,6 @@ def clean_bus(rides: DataFrame) -> DataFrame:
                           for c in BUS_CLEANED_COLUMNS])
 
 
-def _card_day_by_time() -> Window:
-    return Window.partitionBy(*CARD_DAY).orderBy("trade_time")
-
-
 def _card_day_total_order() -> Window:
     return Window.partitionBy(*CARD_DAY).orderBy(
         F.col("trade_time"), *[F.col(c) for c in METRO_TIE])
@@ -52,13 +49,20 @@ def trip_key() -> Column:
 def metro_trip_ids(taps: DataFrame) -> DataFrame:
     """Each entry starts a trip; ``tms_id`` = entries so far.
 
-    The running sum uses the default RANGE frame, so taps with equal
-    ``trade_time`` share a trip number.
+    The reference's running sum uses the default RANGE frame, so taps with
+    equal ``trade_time`` share a trip number.  Here it is a ROWS running sum
+    in the total tap order, then the largest value among taps with the same
+    time (the count is non-decreasing, so that is the value at the last
+    peer).  Both windows order by a prefix of one sort, which the later
+    ``lag``/``lead`` windows reuse: the whole cleaning sorts once.
     """
     entry = flag(F.col("io_type") == "I")
+    upto = _card_day_total_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    peers = Window.partitionBy(*CARD_DAY, "trade_time")
     return (taps
-            .withColumns({"once_od": entry,
-                          "tms_id": F.sum(entry).over(_card_day_by_time())})
+            .withColumns({"once_od": entry, "_run": F.sum(entry).over(upto)})
+            .withColumn("tms_id", F.max("_run").over(peers))
+            .drop("_run")
             .withColumn("tct", trip_key()))
 
 
@@ -75,13 +79,18 @@ def anti_single_tap(with_ids: DataFrame) -> DataFrame:
 def drop_one_tap_trips(with_ids: DataFrame) -> DataFrame:
     """Window form of J3: keep taps whose (card-day, trip) has > 1 tap.
 
-    Same rows as the anti join unless two different (date, card, trip)
-    tuples print to the same ``tct`` string (ids holding '_' or nulls), and
-    it runs on the exchange the trip numbering already made.
+    Trip numbers never decrease in time order, so a trip's taps are
+    neighbours: a trip has one tap exactly when the taps before and after
+    it belong to other trips.  ``lag``/``lead`` on the existing sort decide
+    that; no window per trip (and no sort by trip) is needed.  Same rows as
+    the anti join unless two different (date, card, trip) tuples print to
+    the same ``tct`` string (ids holding '_' or nulls).
     """
-    trip = Window.partitionBy(*CARD_DAY, "tms_id")
-    return (with_ids.withColumn("_taps", F.count(F.lit(1)).over(trip))
-            .where(F.col("_taps") > 1))
+    order = _card_day_total_order()
+    trip = F.col("tms_id")
+    before, after = F.lag(trip).over(order), F.lead(trip).over(order)
+    alone = (before.isNull() | (before != trip)) & (after.isNull() | (after != trip))
+    return with_ids.withColumn("_alone", alone).where(~F.col("_alone")).drop("_alone")
 
 
 def drop_repeated_direction(kept: DataFrame) -> DataFrame:
@@ -92,7 +101,7 @@ def drop_repeated_direction(kept: DataFrame) -> DataFrame:
     null.
     """
     last = F.lag("io_type", 1, FIRST_PREVIOUS_DIRECTION).over(_card_day_total_order())
-    cols = [c for c in kept.columns if c not in ("device_id", "_taps")]
+    cols = [c for c in kept.columns if c != "device_id"]
     return (kept.withColumn("last_io_type", last)
             .where(F.col("io_type") != F.col("last_io_type"))
             .select(*cols, "last_io_type"))
