@@ -101,11 +101,36 @@ def marker_of(first_key: Column, last_key: Column) -> Column:
 def endpoint_marks(segments: DataFrame) -> DataFrame:
     """0 for a trip's first tap, 999 for its end, 9 otherwise.
 
-    Both minima run over one unordered window per OD trip: one sort.
+    ``rank() == 1`` in (trip id, epoch) order holds for the taps equal to
+    the OD trip's first key; in (trip id, epoch desc) order for the taps
+    equal to the last key among the trip's smallest trip id.  OD trips are
+    contiguous in the gap order, so both come from the sort the gaps already
+    made: the first key is carried forward from each trip's first tap, and
+    the end of the smallest-trip-id run is found with ``lead`` and spread to
+    its equal-key peers by a window over (trip id, epoch) -- a prefix of the
+    same order.  No second sort.
     """
-    trip = Window.partitionBy(*CARD_DAY, "new_tms_id")
-    return segments.withColumn(
-        "marker", marker_of(trip_first_key().over(trip), trip_last_key().over(trip)))
+    order = Window.partitionBy(*CARD_DAY).orderBy("tms_id", EPOCH, *GAP_TIE)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    peers = Window.partitionBy(*CARD_DAY, "tms_id", EPOCH)
+    seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
+    prev_seg = F.lag(seg).over(order)
+    step1 = segments.withColumns({
+        "_start": prev_seg.isNull() | (prev_seg != seg),
+        "_next_seg": F.lead(seg).over(order),
+        "_next_tms": F.lead(tms).over(order),
+    })
+    step2 = step1.withColumn("_first", F.last(
+        F.when(F.col("_start"), F.struct(tms.alias("t"), epoch.alias("e"))),
+        ignorenulls=True).over(upto))
+    in_run = tms.eqNullSafe(F.col("_first.t"))
+    run_end = in_run & (F.col("_next_seg").isNull() | (F.col("_next_seg") != seg)
+                        | ~F.col("_next_tms").eqNullSafe(tms))
+    is_first = in_run & epoch.eqNullSafe(F.col("_first.e"))
+    is_last = in_run & (F.max(flag(run_end)).over(peers) == 1)
+    marked = step2.withColumn("marker", F.when(is_last, F.lit(DESTINATION))
+                              .when(is_first, F.lit(ORIGIN)).otherwise(F.lit(INNER)))
+    return marked.drop("_start", "_next_seg", "_next_tms", "_first")
 
 
 def station_order() -> Column:

@@ -78,6 +78,31 @@ OD_ROWS = [
     ("E", "10", t(8), "I", "S1"), ("E", "9", t(9, 30), "I", "S2"),
 ]
 
+# rank ties (T11) and null trip ids: several rows per endpoint
+TIE_ROWS = [
+    ("F", "1", t(8), "I", "S1"), ("F", "1", t(8), "O", "S2"), ("F", "1", t(8, 30), "O", "S3"),
+    ("H", "1", t(8), "I", "S1"), ("H", "1", t(9), "O", "S2"), ("H", "1", t(9), "O", "S3"),
+    ("G", None, t(8), "I", "S1"), ("G", None, t(8, 10), "O", "S2"), ("G", "1", t(9, 30), "I", "S3"),
+]
+
+
+def test_od_cut_rank_ties_and_null_trip_ids(spark):
+    taps = merged(spark, TIE_ROWS)
+    marks = endpoint_marks(trip_segments(tap_gaps(taps)))
+    got = sorted((r.card_id, r.tms_id or "", r.mark_trade_time, r.station_name, r.marker)
+                 for r in marks.collect())
+    want = sorted([
+        ("F", "1", t(8), "S1", 0), ("F", "1", t(8), "S2", 0), ("F", "1", t(8, 30), "S3", 999),
+        ("H", "1", t(8), "S1", 0), ("H", "1", t(9), "S2", 999), ("H", "1", t(9), "S3", 999),
+        ("G", "", t(8), "S1", 0), ("G", "", t(8, 10), "S2", 999), ("G", "1", t(9, 30), "S3", 999),
+    ])
+    assert got == want
+    desc = {"F": "S1-S3", "H": "S1-S3", "G": "S1-S3"}
+    for variant in (od_records(taps), od_records(taps, hot_threshold=0, rows_per_chunk=2)):
+        rows = variant.collect()
+        assert len(rows) == 9
+        assert {r.card_id: r.od_desc for r in rows} == desc
+
 
 def test_od_cut_golden(spark):
     taps = merged(spark, OD_ROWS)
