@@ -69,3 +69,12 @@ def test_file_to_table_prunes_by_date(spark):
     assert one_day.count() == 4
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "20240102" in plan
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    # option handling only: no database is started
+    import pytest
+
+    from tapflow.sources.jdbc import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, {"url": "jdbc:none", "dbtable": "t"}, partition_column="id")
