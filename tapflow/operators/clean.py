@@ -122,17 +122,23 @@ def _clean_metro_windows(taps: DataFrame, exact_trip_key: bool) -> DataFrame:
 
 
 def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
-    """X6 for hot card-days: the same rules as ordered chunk scans."""
+    """X6 for hot card-days: the same rules as ordered chunk scans.
+
+    The steps are those of the window plan -- ROWS/RANGE trip numbers,
+    one-tap trips by ``lag``/``lead`` of the trip number, ``lag`` of the
+    direction -- with carries across chunk edges (``tapflow.operators.skew``).
+    """
+    total = ["trade_time"] + METRO_TIE
     chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")),
-                                 ["trade_time"], chunks)
+                                 ["trade_time"], chunks, tie=METRO_TIE)
     with_ids = (skew.running_sum(chunked, "once_od", ["trade_time"], "tms_id")
                 .withColumn("tct", trip_key()))
-    # taps per trip: counted inside chunks, corrected across chunk edges
-    counted = skew.segment_agg(with_ids, "tms_id",
-                               {"_taps": (F.count(F.lit(1)), F.sum)})
-    kept = counted.where(F.col("_taps") > 1).drop("_taps")
-    last = skew.lag_in_order(kept, "io_type", ["trade_time"] + METRO_TIE,
-                             FIRST_PREVIOUS_DIRECTION, "last_io_type")
+    around = skew.lead_in_order(skew.lag_in_order(with_ids, "tms_id", total, None, "_before"),
+                                "tms_id", total, None, "_after")
+    trip, before, after = F.col("tms_id"), F.col("_before"), F.col("_after")
+    alone = (before.isNull() | (before != trip)) & (after.isNull() | (after != trip))
+    kept = around.where(~alone).drop("_before", "_after")
+    last = skew.lag_in_order(kept, "io_type", total, FIRST_PREVIOUS_DIRECTION, "last_io_type")
     return (last.where(F.col("io_type") != F.col("last_io_type"))
             .select(*_cleaned_columns(hot)))
 

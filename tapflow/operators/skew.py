@@ -20,11 +20,13 @@ ordered scan in Spark:
    RANGE-frame peer semantics exact.  The chunked rows are checkpointed, so
    chunk ids stay stable if an executor is lost and work is recomputed.
 4. **Carry** between chunks through per-chunk summaries (one row per key and
-   chunk, bounded by the chunk count): running-sum offsets and the last row
-   of the previous chunk, joined back by broadcast.  Per-trip aggregates are
-   computed inside each chunk and corrected from the chunk-edge trips only
-   (``segment_agg``), so after the range exchange the hot rows are shuffled
-   once, by (key, chunk), and never by key or trip.
+   chunk, bounded by the chunk count): running-sum offsets, the last row of
+   the previous chunk (``lag``), the first row of the next one (``lead``)
+   and the last non-null value so far (forward fill), joined back by
+   broadcast.  The chunks are hash-clustered by (key, chunk) and sorted in
+   the scan order before the checkpoint, so every later window reads them
+   in place: hot rows are shuffled twice and sorted once in total, and never
+   grouped by key or trip.
 
 Residual limit: rows sharing one key *and* one exact order value (same card,
 same day, same second and trip) are never split, as their relative order is
@@ -34,7 +36,6 @@ part of the result.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -152,7 +153,8 @@ def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
     return max(1, min(MAX_CHUNKS, math.ceil(hot_rows / max(1, rows_per_chunk))))
 
 
-def assign_chunks(hot: DataFrame, order: list[str], chunks: int) -> DataFrame:
+def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
+                  tie: list[str] | None = None) -> DataFrame:
     """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order).
 
     Equal (key, order) values share a chunk.  Checkpointed into the shared
@@ -167,8 +169,11 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int) -> DataFrame:
     # reads it in place -- hot rows are shuffled exactly twice in total.  A
     # checkpoint taken under adaptive execution forgets its partitioning, so
     # this one job runs with fixed partition counts and AQE off.
+    # sorted by (key, chunk, order, tie) as well: windows over (key, chunk)
+    # ordered by a prefix of that read the rows without sorting them again
     clustered = (ranged.withColumn(CHUNK, F.spark_partition_id())
-                 .repartition(chunks, KID, CHUNK))
+                 .repartition(chunks, KID, CHUNK)
+                 .sortWithinPartitions(KID, CHUNK, *order, *(tie or [])))
     key = "spark.sql.adaptive.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
@@ -190,12 +195,19 @@ def chunk_offsets(chunked: DataFrame, value: str, name: str) -> DataFrame:
                                                 F.lit(0)).alias(name))
 
 
-def previous_chunk_last(chunked: DataFrame, value: str, order: list[Column],
+def previous_chunk_last(chunked: DataFrame, value: str, order: list[str],
                         default, name: str) -> DataFrame:
     """(``_kid``, ``_chunk``, name): ``value`` of the last row of the previous
-    non-empty chunk in ``order``; ``default`` for a key's first chunk."""
-    last = chunked.groupBy(KID, CHUNK).agg(
-        F.max_by(value, F.struct(*order)).alias("_last"))
+    non-empty chunk in ``order``; ``default`` for a key's first chunk.
+
+    The last row of a chunk is the one without a successor in its chunk
+    window (no aggregate over the hot rows), so the summary has one row per
+    chunk.
+    """
+    w = Window.partitionBy(KID, CHUNK).orderBy(*order)
+    last = (chunked.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+            .where(F.col("_is_last"))
+            .select(KID, CHUNK, F.col(value).alias("_last")))
     return last.select(KID, CHUNK, F.lag("_last", 1, default).over(_chunk_window()).alias(name))
 
 
@@ -221,7 +233,7 @@ def lag_in_order(chunked: DataFrame, value: str, order: list[str], default,
                  name: str) -> DataFrame:
     """``lag(value, 1, default)`` per key in the total ``order``, across chunks."""
     w = Window.partitionBy(KID, CHUNK).orderBy(*order)
-    carry = previous_chunk_last(chunked, value, [F.col(c) for c in order], default, "_carry")
+    carry = previous_chunk_last(chunked, value, order, default, "_carry")
     rows = (chunked.withColumn("_prev", F.lag(value).over(w))
             .withColumn("_pos", F.row_number().over(w)))
     return (attach(rows, carry)
@@ -229,28 +241,67 @@ def lag_in_order(chunked: DataFrame, value: str, order: list[str], default,
             .drop("_prev", "_pos", "_carry"))
 
 
-def segment_agg(rows: DataFrame, seg: str,
-                specs: dict[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
-    """Exact per-(key, ``seg``) aggregates on rows clustered by (key, chunk).
 
-    ``seg`` (a trip number) never decreases along the chunk order and is
-    never null, so a segment can continue into another chunk only as that
-    chunk's first or last segment.  Each ``specs`` entry is (partial
-    aggregate, combine function): the partial runs per (key, chunk, seg) as
-    a window on the existing clustering; only edge segments (at most two per
-    chunk) are combined across chunks and broadcast back.  No hot row is
-    shuffled by segment, so a segment holding most of a key stays split.
+def _in_chunk(order: list[str]) -> Window:
+    return Window.partitionBy(KID, CHUNK).orderBy(*order)
+
+
+def next_chunk_first(chunked: DataFrame, value: str, order: list[str],
+                     default, name: str) -> DataFrame:
+    """(``_kid``, ``_chunk``, name): ``value`` of the first row of the next
+    non-empty chunk in ``order``; ``default`` for a key's last chunk."""
+    first = (chunked.withColumn("_is_first", F.lag(F.lit(1)).over(_in_chunk(order)).isNull())
+             .where(F.col("_is_first"))
+             .select(KID, CHUNK, F.col(value).alias("_first")))
+    return first.select(KID, CHUNK,
+                        F.lead("_first", 1, default).over(_chunk_window()).alias(name))
+
+
+def lead_in_order(chunked: DataFrame, value: str, order: list[str], default,
+                  name: str) -> DataFrame:
+    """``lead(value, 1, default)`` per key in the total ``order``, across chunks."""
+    w = _in_chunk(order)
+    carry = next_chunk_first(chunked, value, order, default, "_carry")
+    rows = chunked.withColumns({"_next": F.lead(value).over(w),
+                                "_is_end": F.lead(F.lit(1)).over(w).isNull()})
+    return (attach(rows, carry)
+            .withColumn(name, F.when(F.col("_is_end"), F.col("_carry")).otherwise(F.col("_next")))
+            .drop("_next", "_is_end", "_carry"))
+
+
+def fill_forward(chunked: DataFrame, value: Column, order: list[str], name: str) -> DataFrame:
+    """``last(value, ignorenulls)`` over all rows up to this one, across chunks.
+
+    Inside a chunk it is a running window; a chunk without any non-null
+    value takes the last one of the chunks before it (per-chunk summary).
+    """
+    w = _in_chunk(order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = chunked.withColumn("_fill", F.last(value, ignorenulls=True).over(upto))
+    ends = (rows.withColumn("_is_end", F.lead(F.lit(1)).over(w).isNull())
+            .where(F.col("_is_end")).select(KID, CHUNK, "_fill"))
+    before = _chunk_window().rowsBetween(Window.unboundedPreceding, -1)
+    prior = ends.select(KID, CHUNK,
+                        F.last("_fill", ignorenulls=True).over(before).alias("_prior"))
+    return (attach(rows, prior)
+            .withColumn(name, F.coalesce(F.col("_fill"), F.col("_prior")))
+            .drop("_fill", "_prior"))
+
+
+def per_key(rows: DataFrame, order: list[str], lowest: dict[str, Column],
+            highest: dict[str, Column]) -> DataFrame:
+    """(``_kid``, names...): the min of each ``lowest`` and the max of each
+    ``highest`` expression over all rows of each hot key.
+
+    Each runs as an unordered window per chunk (no sort beyond the one the
+    rows already have); one row per chunk is kept and the chunk results are
+    combined per key, a table of one row per chunk.
     """
-    within = Window.partitionBy(KID, CHUNK, seg)
     chunk = Window.partitionBy(KID, CHUNK)
-    s = F.col(seg)
-    local = (rows.withColumns({f"_p_{n}": agg.over(within) for n, (agg, _) in specs.items()})
-             .withColumn("_edge", (s == F.min(s).over(chunk)) | (s == F.max(s).over(chunk))))
-    edges = (local.where(F.col("_edge")).groupBy(KID, CHUNK, seg)
-             .agg(*[F.max(f"_p_{n}").alias(f"_p_{n}") for n in specs]))
-    # at most two rows per chunk: bounded by MAX_CHUNKS
-    totals = edges.groupBy(KID, seg).agg(
-        *[combine(F.col(f"_p_{n}")).alias(f"_t_{n}") for n, (_, combine) in specs.items()])
-    out = local.join(F.broadcast(totals), [KID, seg], "left")
-    return (out.withColumns({n: F.coalesce(f"_t_{n}", f"_p_{n}") for n in specs})
-            .drop("_edge", *[f"_p_{n}" for n in specs], *[f"_t_{n}" for n in specs]))
+    parts = {**{n: F.min(e) for n, e in lowest.items()},
+             **{n: F.max(e) for n, e in highest.items()}}
+    partial = (rows.withColumns({n: a.over(chunk) for n, a in parts.items()})
+               .withColumn("_is_end", F.lead(F.lit(1)).over(_in_chunk(order)).isNull())
+               .where(F.col("_is_end")))
+    return partial.groupBy(KID).agg(*[F.min(n).alias(n) for n in lowest],
+                                     *[F.max(n).alias(n) for n in highest])

@@ -72,32 +72,6 @@ def trip_segments(gaps: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     })
 
 
-def trip_first_key() -> Column:
-    """Aggregate: smallest (tms_id, epoch) of a group, nulls first."""
-    return F.min(F.struct("tms_id", EPOCH))
-
-
-def trip_last_key() -> Column:
-    """Aggregate: first row in (tms_id asc, epoch desc nulls last) order."""
-    return F.min(F.struct(F.col("tms_id"), F.col(EPOCH).isNull(),
-                          (-F.col(EPOCH)).alias("neg")))
-
-
-def marker_of(first_key: Column, last_key: Column) -> Column:
-    """P20 from the trip's first and last order keys.
-
-    ``rank() == 1`` holds exactly for the rows whose order key equals the
-    group's smallest key, so the two rank windows are group minima; the
-    destination mark wins over the origin mark (a one-row trip is 999).
-    """
-    is_first = (F.col("tms_id").eqNullSafe(first_key.getField("tms_id"))
-                & F.col(EPOCH).eqNullSafe(first_key.getField(EPOCH)))
-    is_last = (F.col("tms_id").eqNullSafe(last_key.getField("tms_id"))
-               & F.col(EPOCH).eqNullSafe(-last_key.getField("neg")))
-    return (F.when(is_last, F.lit(DESTINATION)).when(is_first, F.lit(ORIGIN))
-            .otherwise(F.lit(INNER)))
-
-
 def endpoint_marks(segments: DataFrame) -> DataFrame:
     """0 for a trip's first tap, 999 for its end, 9 otherwise.
 
@@ -161,35 +135,46 @@ def _od_windows(taps: DataFrame, gap_seconds: int) -> DataFrame:
 
 
 def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int, hot_keys: int) -> DataFrame:
-    """X10 for hot card-days: ordered chunk scans plus group aggregates.
+    """X10 for hot card-days: the window plan's steps as ordered chunk scans.
 
-    ``lag`` and the trip numbering run as chunk scans; the rank markers are
-    the group minimum of the order key per OD trip, and the first and last
-    station are ``min_by``/``max_by`` per card-day -- aggregates that combine
-    map-side, so no card-day or trip is gathered into one task.
+    ``lag`` of the epoch, the trip numbering, the carried first key and the
+    ``lead`` that finds the end of the smallest-trip-id run all continue
+    across chunk edges through per-chunk summaries; equal (trip id, epoch)
+    keys never straddle a chunk, so the peer window stays local.  The first
+    and last station are minima/maxima per chunk combined per card-day.
     """
     kid = skew.KID
     order = ["tms_id", EPOCH]
+    total = order + GAP_TIE
     base = (hot.withColumn(EPOCH, epoch_seconds(hot, "mark_trade_time"))
             .withColumn("mask", flag(F.col("IO_TYPE") == "I")))
-    chunked = skew.assign_chunks(base, order, chunks)
-    gaps = (skew.lag_in_order(chunked, EPOCH, order + GAP_TIE, 0, "_prev_epoch")
+    chunked = skew.assign_chunks(base, order, chunks, tie=GAP_TIE)
+    gaps = (skew.lag_in_order(chunked, EPOCH, total, 0, "_prev_epoch")
             .withColumn("duration", F.col(EPOCH) - F.col("_prev_epoch")).drop("_prev_epoch")
             .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds)))
     segs = skew.running_sum(gaps, "new_mask", order, "new_tms_id")
-    # trip minima per OD trip: inside chunks, corrected across chunk edges
-    ends = skew.segment_agg(segs, "new_tms_id", {"_lo": (trip_first_key(), F.min),
-                                                 "_hi": (trip_last_key(), F.min)})
-    marks = ends.where(marker_of(F.col("_lo"), F.col("_hi")).isin(ORIGIN, DESTINATION))
-    # first/last station per card-day: map-side-combined, one row per hot key
-    stations = marks.groupBy(kid).agg(
-        F.min_by("station_name", station_order()).alias("_first_station"),
-        F.max_by("station_name", station_order()).alias("_last_station"))
+    seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
+    steps = skew.lag_in_order(segs, "new_tms_id", total, None, "_prev_seg")
+    steps = skew.lead_in_order(steps, "new_tms_id", total, None, "_next_seg")
+    steps = skew.lead_in_order(steps, "tms_id", total, None, "_next_tms")
+    starts = F.col("_prev_seg").isNull() | (F.col("_prev_seg") != seg)
+    firsts = skew.fill_forward(
+        steps, F.when(starts, F.struct(tms.alias("t"), epoch.alias("e"))), total, "_first")
+    in_run = tms.eqNullSafe(F.col("_first.t"))
+    run_end = in_run & (F.col("_next_seg").isNull() | (F.col("_next_seg") != seg)
+                        | ~F.col("_next_tms").eqNullSafe(tms))
+    peers = Window.partitionBy(kid, skew.CHUNK, "tms_id", EPOCH)
+    is_first = in_run & epoch.eqNullSafe(F.col("_first.e"))
+    is_last = in_run & (F.max(flag(run_end)).over(peers) == 1)
+    marks = (firsts.withColumn("_endpoint", is_first | is_last)
+             .where(F.col("_endpoint")))
+    stations = skew.per_key(marks, total, {"_first_key": station_order()},
+                            {"_last_key": station_order()})
     if hot_keys <= skew.MAX_BROADCAST_HOT_KEYS:
         stations = F.broadcast(stations)
     od = (marks.join(stations, [kid], "inner")
-          .withColumn("od_desc", F.concat(F.col("_first_station"), F.lit("-"),
-                                          F.col("_last_station")))
+          .withColumn("od_desc", F.concat(F.col("_first_key.station_name"), F.lit("-"),
+                                          F.col("_last_key.station_name")))
           .withColumn("od_type", F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1))))
     return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
 
