@@ -1,5 +1,5 @@
 """Shared column expressions."""
 
-from tapflow.functions.columns import epoch_seconds, flag, line_number, trimmed
+from tapflow.functions.columns import epoch_seconds, flag, line_number
 
-__all__ = ["epoch_seconds", "flag", "line_number", "trimmed"]
+__all__ = ["epoch_seconds", "flag", "line_number"]

@@ -40,7 +40,3 @@ def epoch_seconds(df: DataFrame, column: str) -> Column:
 def flag(cond: Column) -> Column:
     """1 where ``cond`` holds, else 0 (null counts as 0)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
-
-
-def trimmed(c: str) -> Column:
-    return F.trim(F.col(c))

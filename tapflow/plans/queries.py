@@ -69,9 +69,13 @@ class TapFlow:
             "od": (bound > self.hot_threshold, bound),
         })
 
-    @property
+    @cached_property
     def metro_hot(self) -> skew.HotKeys | None:
-        return self._hot["metro"]
+        # with the station facts needed anyway, one job serves both stages;
+        # the metro cleaning alone counts only the metro taps
+        if self.hot_threshold is None or "site_facts" in self.__dict__:
+            return self._hot["metro"]
+        return skew.find_hot_keys(self.inputs["metro_taps"], CARD_DAY, self.hot_threshold)
 
     @property
     def od_hot(self) -> skew.HotKeys | None:
