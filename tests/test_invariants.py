@@ -65,3 +65,16 @@ def test_od_cut_single_exchange(spark):
         *[F.lit(None).cast("decimal(10,7)").alias(c) for c in ("station_longitude", "station_latitude")])
     plan = trips.od_records(taps)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1
+
+
+def test_metro_clean_single_exchange_single_sort(spark):
+    taps = spark.read.parquet(f"{SF0001}/events.parquet").select(
+        F.col("user_id").cast("string").alias("card_id"),
+        F.col("event_type").alias("card_type"), F.col("event_type").alias("line_id"),
+        F.col("props").alias("station_id"), F.col("props").alias("device_id"),
+        F.col("ts").alias("trade_time"), F.col("event_type").alias("io_type"),
+        F.date_format("ts", "yyyyMMdd").alias("trade_date"))
+    plan = clean.clean_metro(taps)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1
