@@ -1,0 +1 @@
+"""Named batch steps, the query registry and the DuckDB oracle SQL."""

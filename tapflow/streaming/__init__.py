@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a set of batch jobs over daily partitions; it has no
+stream source, watermark, streaming window or state.  Its one-hour gap rule
+is a batch session cut over a card's day, done with windows in
+``tapflow.operators.trips``.  No streaming operator is added beyond what the
+reference does.
+"""
