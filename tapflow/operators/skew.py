@@ -39,6 +39,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,16 +164,19 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
     """
     spark = hot.sparkSession
     shared_dir(spark)
-    ranged = hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
-    # cluster by (key, chunk) before the checkpoint: the checkpoint keeps that
-    # partitioning, so every later window and aggregate keyed by (key, chunk)
-    # reads it in place -- hot rows are shuffled exactly twice in total.  A
-    # checkpoint taken under adaptive execution forgets its partitioning, so
-    # this one job runs with fixed partition counts and AQE off.
-    # sorted by (key, chunk, order, tie) as well: windows over (key, chunk)
-    # ordered by a prefix of that read the rows without sorting them again
-    clustered = (ranged.withColumn(CHUNK, F.spark_partition_id())
-                 .repartition(chunks, KID, CHUNK)
+    # 1. range chunks, computed with adaptive execution on (the upstream keeps
+    #    coalescing and skew splitting) and kept on executor disk briefly
+    ranged = (hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
+              .withColumn(CHUNK, F.spark_partition_id())
+              .persist(StorageLevel.DISK_ONLY))
+    ranged.count()
+    # 2. cluster by (key, chunk) and sort in scan order, then checkpoint: the
+    #    checkpoint keeps that partitioning and order, so every later window
+    #    keyed by (key, chunk) reads it in place -- hot rows are shuffled twice
+    #    and sorted once in total.  A checkpoint taken under adaptive execution
+    #    forgets its partitioning, so this short job (cached rows -> shuffle ->
+    #    sort -> write) runs with AQE off and fixed partition counts.
+    clustered = (ranged.repartition(chunks, KID, CHUNK)
                  .sortWithinPartitions(KID, CHUNK, *order, *(tie or [])))
     key = "spark.sql.adaptive.enabled"
     before = spark.conf.get(key)
@@ -181,6 +185,7 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
         return clustered.checkpoint(eager=True)
     finally:
         spark.conf.set(key, before)
+        ranged.unpersist()
 
 
 def _chunk_window() -> Window:
