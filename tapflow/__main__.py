@@ -53,7 +53,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.appName(f"tapflow {args.step}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"tapflow {args.step}")
+             .config("spark.ui.enabled", "false")  # batch step: no web UI server
+             .getOrCreate())
     try:
         out = run_step(spark, args.step, args.names, options)
         if not args.no_preview:
