@@ -34,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="environment variable holding the JDBC password")
     p.add_argument("--hot-threshold", type=int, default=None,
                    help="rows above which a card-day is processed in chunks")
+    p.add_argument("--rows-per-chunk", type=int, default=None,
+                   help="target rows per chunk of a hot card-day")
     p.add_argument("--no-preview", action="store_true")
     return p
 
@@ -50,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     options = StepOptions(db=args.db, jdbc=jdbc, path=args.path)
     if args.hot_threshold is not None:
         options.hot_threshold = args.hot_threshold
+    if args.rows_per_chunk is not None:
+        options.rows_per_chunk = args.rows_per_chunk
 
     from pyspark.sql import SparkSession
 
