@@ -110,6 +110,18 @@ def _key_rows(sites: DataFrame, name: str) -> DataFrame:
                        F.coalesce(F.max("rows"), F.lit(0)).alias("multiplicity"))
 
 
+def site_fact_rows(bus_sites: DataFrame, metro_sites: DataFrame) -> DataFrame:
+    """(table, rows, multiplicity) for both station tables, as a DataFrame, so
+    a caller can compute it in one job together with other counts."""
+    return (_key_rows(bus_sites, "bus")
+            .unionByName(_key_rows(site_line_no(metro_sites), "metro")))
+
+
+def facts_from_rows(rows: dict) -> SiteFacts:
+    return SiteFacts(int(rows["bus"]["rows"]), int(rows["metro"]["rows"]),
+                     int(max(rows["bus"]["multiplicity"], rows["metro"]["multiplicity"])))
+
+
 def site_facts(bus_sites: DataFrame, metro_sites: DataFrame) -> SiteFacts:
     """Row counts and the largest key multiplicity of both station tables.
 
@@ -117,8 +129,5 @@ def site_facts(bus_sites: DataFrame, metro_sites: DataFrame) -> SiteFacts:
     station join can repeat one tap.  One job with a map-side-combined count
     per key, two result rows.
     """
-    both = (_key_rows(bus_sites, "bus")
-            .unionByName(_key_rows(site_line_no(metro_sites), "metro")))
-    got = {r["table"]: r for r in both.collect()}
-    return SiteFacts(int(got["bus"]["rows"]), int(got["metro"]["rows"]),
-                     int(max(got["bus"]["multiplicity"], got["metro"]["multiplicity"])))
+    return facts_from_rows({r["table"]: r for r in
+                            site_fact_rows(bus_sites, metro_sites).collect()})

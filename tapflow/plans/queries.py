@@ -39,10 +39,22 @@ class TapFlow:
         self.hot_threshold = hot_threshold
         self.rows_per_chunk = rows_per_chunk
 
+    @cached_property
+    def _facts(self) -> dict:
+        """One job: station row counts and key multiplicity, and the number of
+        raw bus and metro taps (a plain row count of each)."""
+        def taps(name: str) -> DataFrame:
+            return self.inputs[name].agg(F.lit(name).alias("table"),
+                                         F.count(F.lit(1)).alias("rows"),
+                                         F.lit(0).cast("bigint").alias("multiplicity"))
+        rows = (sites.site_fact_rows(self.inputs["bus_stations"], self.inputs["metro_stations"])
+                .unionByName(taps("bus_rides")).unionByName(taps("metro_taps")))
+        return {r["table"]: r for r in rows.collect()}
+
     @cached_property
     def site_facts(self) -> sites.SiteFacts:
-        """Station row counts (broadcast proofs) and key multiplicity: one job."""
-        return sites.site_facts(self.inputs["bus_stations"], self.inputs["metro_stations"])
+        """Station row counts (broadcast proofs) and key multiplicity."""
+        return sites.facts_from_rows(self._facts)
 
     @cached_property
     def _hot(self) -> dict[str, skew.HotKeys | None]:
@@ -59,6 +71,11 @@ class TapFlow:
         if self.hot_threshold is None:
             return {"metro": None, "od": None}
         k = self.site_facts.multiplicity
+        metro_n = int(self._facts["metro_taps"]["rows"])
+        all_n = int(self._facts["bus_rides"]["rows"]) + metro_n
+        if metro_n <= self.hot_threshold and all_n * k <= self.hot_threshold:
+            # no card-day can hold more rows than all taps together
+            return {"metro": None, "od": None}
         raw = (self.inputs["bus_rides"].select(*CARD_DAY, F.lit(0).alias("_metro"))
                .unionByName(self.inputs["metro_taps"].select(*CARD_DAY, F.lit(1).alias("_metro"))))
         counts = raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_all"),
