@@ -78,3 +78,9 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     from tapflow.sources.jdbc import read_jdbc
     with pytest.raises(ValueError):
         read_jdbc(spark, {"url": "jdbc:none", "dbtable": "t"}, partition_column="id")
+
+
+def test_shared_dir_uses_session_checkpoint_dir(spark):
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert configured and shared_dir(spark) == configured.rstrip("/")
+    assert spark.sparkContext.getCheckpointDir() is not None
