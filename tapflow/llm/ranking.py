@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows per bucket aimed at; a window task holds a few such buckets.
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 #: Most rows of the bucket-count table that are broadcast; beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 

@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import minhash, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_superminhash": minhash.op3_superminhash,
         "op6_stratified_shards": sharding.op6_stratified_shards,
+        "op9_quality_trees": quality.op9_quality_trees,
         "op10_block_mix": mixing.op10_block_mix,
     }
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapflow.session import shared_dir
@@ -38,3 +42,41 @@ def with_rows(placed: DataFrame, df: DataFrame) -> DataFrame:
     repeated rows stay as many as ``placed`` has."""
     one = row_key(df).dropDuplicates(["_k1", "_k2"])
     return placed.join(one, ["_k1", "_k2"])
+
+
+def key_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The runs of rows with equal first ``keys`` columns (non-null integers) of
+    a stream of batches that is sorted by them, one table per run."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.zeros(b.num_rows, dtype=bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        bounds = [0, *np.flatnonzero(new).tolist(), b.num_rows]
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            key = tuple(int(c[low]) for c in cols)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(low, high - low))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def tile_pairs(df: DataFrame, key: list[str], size: Column, member: Column, tile_rows: int) -> DataFrame:
+    """Split groups of ``size`` rows into tiles of about ``tile_rows`` and send
+    every row to each pair of tiles that holds its own, as columns ``_lo`` <=
+    ``_hi`` (the pair) and ``_tile`` (the row's tile).  Each pair of rows of a
+    group then meets in exactly one (key, _lo, _hi), and no task needs a whole
+    group."""
+    n = F.ceil(size / F.lit(tile_rows)).cast("long")
+    own = df.withColumn("_n", F.greatest(n, F.lit(1).cast("long")))
+    own = own.withColumn("_tile", F.pmod(F.xxhash64(F.lit(11), member), F.col("_n")))
+    other = own.withColumn("_u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    return other.withColumns({"_lo": F.least("_tile", "_u"), "_hi": F.greatest("_tile", "_u")}).drop(
+        "_n", "_u")
