@@ -179,7 +179,8 @@ class Plan:
         """Pieces of documents with ``times`` > 0, the number of slots that hold their block."""
         times = self.slots.groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
         pieces = self.pieces.withColumn("src", F.col("src").cast("long"))
-        return pieces.join(times, ["src", "block"])
+        # the slots' size is unknown to the planner, which takes them for a small table
+        return pieces.join(times.hint("merge"), ["src", "block"])
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -201,7 +202,7 @@ def mix_blocks(docs: DataFrame, **options) -> DataFrame:
     slot, source, block, doc_id, first_word, n_words (the piece's words)."""
     plan = Plan(docs, **options)
     pieces = plan.pieces.withColumn("src", F.col("src").cast("long"))
-    return pieces.join(plan.slots, ["src", "block"]).select(
+    return pieces.join(plan.slots.hint("merge"), ["src", "block"]).select(
         "out_shard", "slot", "source", "block", "doc_id", F.col("_from").alias("first_word"),
         F.col("_n").alias("n_words"))
 
