@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, quality, sharding
+from . import decontaminate, minhash, mixing, pii, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_spaced_seeds": decontaminate.op1_spaced_seeds,
         "op3_superminhash": minhash.op3_superminhash,
+        "op4_weak_supervision": pii.op4_weak_supervision,
         "op6_stratified_shards": sharding.op6_stratified_shards,
         "op9_quality_trees": quality.op9_quality_trees,
         "op10_block_mix": mixing.op10_block_mix,
@@ -21,4 +23,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_spaced_seeds": decontaminate.ORACLE}
