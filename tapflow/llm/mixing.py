@@ -168,7 +168,7 @@ class Plan:
                     done[i] += int(k)
         ranges = spark.createDataFrame(plan, "src int, low long, k long, n long, out_shard int")
         chunk = (ranges.withColumn("_c", F.explode(F.expr(f"sequence(0, (k - 1) div {SLOT_CHUNK})")))
-                 .repartition("src", "low", "_c"))
+                 .repartition(max(1, sum(slots) // (5 * SLOT_CHUNK)), "src", "low", "_c"))
         low = F.col("low") + F.col("_c") * SLOT_CHUNK
         slot = F.explode(F.sequence(low, F.least(low + SLOT_CHUNK, F.col("low") + F.col("k")) - 1))
         self.slots = chunk.select(F.col("src").cast("long"), slot.alias("slot"), "n",
