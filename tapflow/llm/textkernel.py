@@ -58,7 +58,10 @@ def text_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     """The column's UTF-8 bytes as uint8, and row offsets (n + 1) into them."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.fill_null("").cast(pa.large_string())
+    if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type):
+        col = col.fill_null(b"").cast(pa.large_binary())
+    else:
+        col = col.fill_null("").cast(pa.large_string())
     _, off, data = col.buffers()
     offs = np.frombuffer(off, dtype=np.int64)[col.offset: col.offset + len(col) + 1]
     if data is None or not len(col):
@@ -159,3 +162,31 @@ def shingle_sets(words: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray,
         new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
         value, row = value[new], row[new]
     return value, np.searchsorted(row, np.arange(rows + 1))
+
+
+def sequence_hashes(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of hash of every row's whole word sequence."""
+    place = (np.arange(len(hashes)) - words.first[words.row]).astype(np.uint64)
+    out = []
+    for odd in (0xD1B54A32D192ED03, 0xAEF17502108EF2D9):
+        total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(mix64(hashes + mix64(place * np.uint64(odd) + np.uint64(odd))), out=total[1:])
+        out.append(total[words.first[1:]] - total[words.first[:-1]])
+    return out[0].view(np.int64), out[1].view(np.int64)
+
+
+def minimizers(words: Words, hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of ``window`` consecutive words of one row: index of their
+    first word, the smallest hash of the ``k``-word runs inside, and the index
+    of the (first) run that has it."""
+    run, _ = runs_of(words, hashes, k)
+    n = len(hashes)
+    left = words.first[words.row + 1] - np.arange(n)
+    at = np.flatnonzero(left >= window)
+    best, where = run[at], at.copy()
+    for j in range(1, window - k + 1):
+        other = run[at + j]
+        less = other < best
+        best = np.where(less, other, best)
+        where = np.where(less, at + j, where)
+    return at, best, where
