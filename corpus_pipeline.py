@@ -12,11 +12,26 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapflow.llm import mixing, sharding
+from tapflow.llm import decontaminate, minhash, mixing, quality, sharding
 from tapflow.llm.tables import table
 from tapflow.session import shared_dir
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on ``labels``, does not reject."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, 0.8)."""
+    return minhash.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no item of ``benchmark``."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the source mix takes them (a copy per round, see ``mix_documents``)."""
     return mixing.mix_documents(docs)
@@ -28,6 +43,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_quality),
+    ("minhash near-dedup", one_of_each),
+    ("benchmark decontamination", decontaminated),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]
@@ -43,7 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_dir(spark)}/corpus-pipeline-{uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
-        path = f"{root}/{i}-{name}"
+        path = f"{root}/{i}-{name.replace(' ', '-')}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
