@@ -10,16 +10,29 @@ a count and a checksum per round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import cut
 
 
+#: A group of a link table of at most so many rows (pairs of longs) fits any task.
+SMALL = 2_000_000
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _lowest(df: DataFrame, by: str, of: str, small: bool) -> DataFrame:
+    """``df`` with ``m``, the smallest ``of`` of each ``by``: by a window when the
+    whole table is small, else by a partially aggregated minimum and a join whose
+    hot keys adaptive execution can split."""
+    if small:
+        return df.withColumn("m", F.min(of).over(Window.partitionBy(by)))
+    return df.join(cut(df.groupBy(by).agg(F.min(of).alias("m"))), by)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (columns a, b), where
     component is the smallest node reachable.  Links may repeat, point either
@@ -29,15 +42,13 @@ def components(links: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = _mark(edges)
     while mark[0]:
-        both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(
-            edges.select("v", "u"))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
-        large = both.join(low, "x").where("y > x and y <> m").select(
-            F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = cut(small)
+        small = mark[0] <= SMALL
+        both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
+        large = _lowest(both, "x", "y", small).withColumn("m", F.least("x", "m")).where(
+            "y > x and y <> m").select(F.col("y").alias("u"), F.col("m").alias("v"))
+        star = _lowest(large, "u", "v", small).select(
+            F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
+        edges = cut(star.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct())
         before, mark = mark, _mark(edges)
         if mark == before:
             break

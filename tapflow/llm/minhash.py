@@ -12,18 +12,18 @@ when ``100 * intersection >= threshold * union`` of their full sets.
   share a slot, which lowers the variance of the estimate.
 * Banding: ``BANDS`` keys of ``ROWS`` slots; at similarity 0.8 a pair shares no
   key with probability 5e-8.
-* Verification in two passes.  First every member of a bucket against the
-  bucket's smallest id: most groups are connected by that alone, with one pair
-  per member instead of all pairs.  Then, in the buckets that still hold more
-  than one component, every pair of members from different components whose
-  signatures agree in ``NEAR`` of the slots (5 standard deviations below the
-  threshold).  Pairs are always confirmed on full sets, recomputed from texts.
+* Verification in two passes, on full sets recomputed from the texts.  First
+  every member of a bucket against the bucket's smallest id, its leader: most
+  groups are connected by that alone, with one pair per member instead of all
+  pairs.  Then, where a leader's partners still belong to several components,
+  all pairs of them from different components, tile by tile inside the tasks,
+  which return links between components only.
 * Union-find grouping by ``components``.
 
 Scale: texts are shuffled once per verification pass and reduced to sets in
-the tasks; signatures (256 bytes) and band keys are all that is kept per
-document.  A leader with many partners is split over salted groups, each with
-a copy of its text; a large bucket is split into pairs of tiles.
+the tasks; the band keys are all that is kept per document.  A leader with many
+partners is split over salted groups, each with a copy of its text; in the
+second pass its partners are split into pairs of tiles.
 
 Defined cases: null and empty texts have no shingle and link with nothing;
 rows with one id are one document (they stay or go together); a null id links
@@ -46,9 +46,10 @@ from .textkernel import Words, chunks, mix64, shingle_sets
 
 BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
-NEAR = 0.62
-#: Partners that one copy of a leader's text serves; rows of a bucket per tile.
-PARTNERS, TILE = 256, 512
+#: Partners that one copy of a leader's text serves; partners per tile.
+PARTNERS, TILE = 256, 256
+#: Shingles that are multiplied at once when a tile's sets are intersected.
+COLUMNS = 4096
 
 
 def signatures(value: np.ndarray, bounds: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -110,9 +111,8 @@ def _sign(k: int):
                 offs = np.concatenate([[0], np.cumsum(np.where(full, BANDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [c.column(0), pa.array(n.astype(np.int64)), pa.array(k1), pa.array(k2),
-                     pa.ListArray.from_arrays(pa.array(offs), pa.array(keys[full].ravel())),
-                     pa.array([s.tobytes() for s in (sig & 0xFFFF).astype(np.uint16)], pa.binary())],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "sig"])
+                     pa.ListArray.from_arrays(pa.array(offs), pa.array(keys[full].ravel()))],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands"])
     return sign
 
 
@@ -158,68 +158,92 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Data
             .mapInArrow(_confirm(k, threshold), "a long, b long"))
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one tile pair, from different components, whose signatures are near."""
-    for group in key_groups(batches, 3):
-        lo, hi = group.column("_lo")[0].as_py(), group.column("_hi")[0].as_py()
-        tile, rep, lab = (group.column(x).to_numpy() for x in ("_tile", "rep", "lab"))
-        sig = np.stack([np.frombuffer(s, np.uint16) for s in group.column("sig").to_pylist()])
-        left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
-        same = np.zeros((len(left), len(right)), dtype=np.uint16)
-        for s in range(sig.shape[1]):
-            same += sig[left, s][:, None] == sig[right, s][None, :]
-        x, y = np.nonzero((same >= NEAR * sig.shape[1]) & (lab[left][:, None] != lab[right][None, :]))
-        p, q = rep[left[x]], rep[right[y]]
-        if len(p):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+def shared_counts(value: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``."""
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    _, code, times = np.unique(value, return_inverse=True, return_counts=True)
+    several = times[code] > 1  # what one set alone holds is in no intersection
+    row, code = row[several], np.unique(code[several], return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    for low in range(0, int(code.max(initial=-1)) + 1, COLUMNS):
+        at = slice(*np.searchsorted(code, [low, low + COLUMNS]))
+        held = np.zeros((len(bounds) - 1, COLUMNS), dtype=np.float32)
+        held[row[at], code[at] - low] = 1
+        out += held[left] @ held[right].T
+    return out.astype(np.int64)
+
+
+def _merge(k: int, threshold: int):
+    """Rows (a, _lo, _hi, _tile, lab, text) of tile pairs -> links between the
+    components ``lab`` that a pair of their texts joins."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in key_groups(batches, 3):
+            lo, hi = group.column("_lo")[0].as_py(), group.column("_hi")[0].as_py()
+            tile, lab = group.column("_tile").to_numpy(), group.column("lab").to_numpy()
+            if (lab == lab[0]).all():
+                continue
+            sets = [shingle_sets(w, w.hashes(lower=True), k) for c in group.to_batches()
+                    for w in [Words(c.column(5))]]
+            value = np.concatenate([v for v, _ in sets])
+            size = np.concatenate([np.diff(b) for _, b in sets])
+            left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
+            both = shared_counts(value, np.concatenate([[0], np.cumsum(size)]), left, right)
+            either = size[left][:, None] + size[right][None, :] - both
+            near = (100 * both >= threshold * either) & (lab[left][:, None] != lab[right][None, :])
+            pairs = np.unique(np.stack([np.minimum(lab[left][:, None], lab[right][None, :])[near],
+                                        np.maximum(lab[left][:, None], lab[right][None, :])[near]], axis=1), axis=0)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    return merge
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles (set size), component_id
     (smallest id reachable over links), kept (doc_id = component_id)."""
     signed = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _sign(k), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig binary"))
+        _sign(k), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
     classes = cut(signed.where("n_shingles > 0 and doc_id is not null").groupBy(
         "k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")))
     # a document id with several texts represents several classes
     reps = cut(signed.join(classes, (F.col("doc_id") == F.col("rep")) & (
         signed.k1 == classes.k1) & (signed.k2 == classes.k2), "left_semi").select(
-            F.col("doc_id").alias("rep"), "bands", "sig"))
+            F.col("doc_id").alias("rep"), "bands"))
     keys = reps.select(F.explode("bands").alias("key"), "rep")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("leader"),
-                                     F.max("rep").alias("other")).where("leader < other").drop("other")
-    bucketed = cut(keys.join(shared, "key"))
-    pairs = cut(bucketed.where("rep <> leader").select(
-        F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+    shared = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("_last")).where("a < _last")
+    pairs = cut(keys.join(shared, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
     links = cut(confirmed(pairs, docs, k, threshold))
     found = components(links)
-    members = bucketed.where("c > 2").join(found, F.col("rep") == F.col("node"), "left").select(
-        "key", "c", "rep", F.coalesce("component", "rep").alias("lab"))
-    split = members.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi")).where("lo < hi")
-    open_ = members.join(split.select("key"), "key").join(reps.select("rep", "sig"), "rep")
-    tiled = tile_pairs(open_, ["key"], F.col("c"), F.col("rep"), TILE)
-    more = (tiled.select("key", "_lo", "_hi", "_tile", "rep", "lab", "sig")
-            .repartition("key", "_lo", "_hi").sortWithinPartitions("key", "_lo", "_hi")
-            .mapInArrow(_near_pairs, "a long, b long").distinct())
-    more = cut(more.join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        late = confirmed(more, docs, k, threshold)
-        found = components(links.union(late))
+    # partners of one leader that are still in several components
+    partners = pairs.join(found, F.col("b") == F.col("node"), "left").select(
+        "a", "b", F.coalesce("component", "b").alias("lab"))
+    split = partners.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("lab").alias("lo"),
+                                      F.max("lab").alias("hi")).where("lo < hi").select("a", "n")
+    open_ = partners.join(split, "a")
+    texts = docs.select(F.col("doc_id").cast("long").alias("b"), "text").where("b is not null")
+    late = cut(tile_pairs(open_, ["a"], F.col("n"), F.col("b"), TILE).join(texts, "b")
+               .select("a", "_lo", "_hi", "_tile", "lab", "text")
+               .repartition("a", "_lo", "_hi").sortWithinPartitions("a", "_lo", "_hi")
+               .mapInArrow(_merge(k, threshold), "a long, b long"))
+    if not late.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
     placed = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     # rows of one id stay together: an id takes the smallest component of its texts
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(
         placed, ["k1", "k2", "n_shingles"], "left").select(
-            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(
+                "component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, whose document represents its group."""
-    gone = near_duplicates(docs, k, threshold).where("not kept").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, k, threshold).where("not kept").select("doc_id").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return rows.join(gone, "doc_id", "left_anti").select("_row.*")
 
 
 def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
