@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import cut, row_key, table
+from .tables import cut, keyed, table
 
 WINDOW = 13
 MIN_WORDS = 8
@@ -67,16 +67,24 @@ def _seeds(df: DataFrame, at: str) -> DataFrame:
             .where("_s is not null").select(*df.columns, at, "_s.seed", "_s.span"))
 
 
-def _windows(span: str) -> Column:
-    """First words (in the segment) of the windows that hold the hit and agree."""
-    w = f"least({WINDOW}, size(_g))"
-    low = f"greatest(0, _q + {span} - {w}, _q - _p)"
-    high = f"least(_q, size(_g) - {w}, size(_h) - {w} - _p + _q)"
-    most = f"case when size(_g) >= 13 then {allowed(13)} when size(_g) >= 9 then {allowed(9)} else 0 end"
+def _windows() -> Column:
+    """First words (in the segment) of the windows that hold the hit and agree:
+    ``_x`` and ``_y`` are the words around it from ``_from`` on in the document
+    (of ``_n`` words) and from ``_start`` on in the segment (of ``_m`` words)."""
+    w = f"least({WINDOW}, _m)"
+    low = f"greatest(0, _q + span - {w}, _q - _p)"
+    high = f"least(_q, _m - {w}, _n - {w} - _p + _q)"
+    most = f"case when _m >= 13 then {allowed(13)} when _m >= 9 then {allowed(9)} else 0 end"
     return F.expr(
         f"case when {low} <= {high} then filter(sequence({low}, {high}), a -> aggregate("
-        f"sequence(0, {w} - 1), 0, (c, x) -> c + "
-        f"case when get(_h, _p - _q + a + x) = get(_g, a + x) then 0 else 1 end) <= {most}) end")
+        f"sequence(0, {w} - 1), 0, (c, x) -> c + case when get(_x, _p - _q + a + x - _from) = "
+        f"get(_y, a + x - _start) then 0 else 1 end) <= {most}) end")
+
+
+def _around(words: str, at: str) -> tuple[Column, Column]:
+    """The words that a window holding the seed at ``at`` can reach, and where they start."""
+    start = F.greatest(F.lit(0), F.col(at) + F.col("span") - WINDOW)
+    return F.slice(words, start + 1, F.lit(2 * WINDOW)), start
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame:
@@ -97,14 +105,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame
     for i in range(blocks):
         part = segments.where(F.pmod(F.col("_segment"), F.lit(blocks)) == i)
         keyed = _seeds(part.select("_segment", F.col("_g").alias("_h")), "_q").drop("_h", "span")
-        # both broadcasts hold one block: about MAX_SEEDS seeds, and their words
-        hits = (_seeds(words, "_p").join(F.broadcast(keyed), "seed")
-                .join(F.broadcast(part.select("_segment", "_g", "_items")), "_segment"))
-        good = hits.select(*ids, "_items", (F.col("_p") - F.col("_q")).alias("_d"), "_g",
-                           F.explode_outer(_windows("span")).alias("_a")).where("_a is not null")
+        # both broadcasts hold one block: about MAX_SEEDS seeds, and their words; a hit
+        # keeps the words around it only, as a long text may have very many
+        words_x, from_x = _around("_h", "_p")
+        hits = _seeds(words, "_p").join(F.broadcast(keyed), "seed").select(
+            *ids, "_p", "_q", "span", "_segment", words_x.alias("_x"), from_x.alias("_from"),
+            F.size("_h").alias("_n"))
+        words_y, from_y = _around("_g", "_q")
+        hits = hits.join(F.broadcast(part.select("_segment", "_g", "_items")), "_segment").select(
+            *ids, "_p", "_q", "span", "_x", "_from", "_n", "_items", words_y.alias("_y"),
+            from_y.alias("_start"), F.size("_g").alias("_m"))
+        good = hits.select(*ids, "_items", (F.col("_p") - F.col("_q")).alias("_d"), "_m",
+                           F.explode_outer(_windows()).alias("_a")).where("_a is not null")
         found.append(good.select(
             *ids, "_items", (F.col("_d") + F.col("_a")).alias("first_word"),
-            (F.col("_d") + F.col("_a") + F.least(F.lit(WINDOW), F.size("_g")) - 1).alias("last_word")))
+            (F.col("_d") + F.col("_a") + F.least(F.lit(WINDOW), F.col("_m")) - 1).alias("last_word")))
     every = reduce(DataFrame.unionByName, found)
     return (every.select(*ids, F.explode("_items").alias("item_id"), "first_word", "last_word")
             .groupBy(*ids, "item_id").agg(F.min("first_word").alias("first_word"),
@@ -113,9 +128,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that overlap no benchmark item."""
-    keyed = row_key(docs)
-    bad = overlaps(keyed, benchmark, ["_k1", "_k2"]).select("_k1", "_k2").distinct()
-    return keyed.join(bad, ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    bad = overlaps(rows.select("_k1", "_k2", "_row.text"), benchmark, ["_k1", "_k2"])
+    return rows.join(bad.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_anti").select("_row.*")
 
 
 def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ranking
-from .tables import cut, row_key, table, with_rows
+from .tables import cut, keyed, table, with_rows
 from .textkernel import mix64
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -127,11 +127,11 @@ class Plan:
                  block_words: int = BLOCK_WORDS, out_shards: int = OUT_SHARDS, seed: int = SEED,
                  per_bucket: int = ranking.ROWS_PER_BUCKET):
         spark = docs.sparkSession
-        keys = row_key(docs).select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string"),
-            F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), F.lit(0))
-            .cast("long").alias("size"), "_k1", "_k2")
-        keys = keys.withColumn("size", F.greatest("size", F.lit(0).cast("long")))
+        words = F.regexp_extract_all(F.coalesce("_row.text", F.lit("")), F.lit(WORD), F.lit(0))
+        keys = keyed(docs).select(
+            F.col("_row.doc_id").cast("long").alias("doc_id"),
+            F.col("_row.source").cast("string").alias("source"),
+            F.size(words).cast("long").alias("size"), "_k1", "_k2")
         keys = cut(keys.withColumn("_h", F.shiftrightunsigned(
             F.xxhash64(F.lit(seed), "_k1", "_k2"), 2)))
         rows = keys.groupBy("source").agg(F.sum("size"), F.count(F.lit(1))).collect()
@@ -220,17 +220,17 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         F.lit(1).cast("long"), F.array_max(F.transform("_pieces", lambda p: p["t"])))))
     copies = copies.withColumn("_pieces", F.filter("_pieces", lambda p: p["t"] >= F.col("_c")))
     whole = F.aggregate("_pieces", F.lit(0).cast("long"), lambda a, p: a + p["n"]) == F.col("size")
-    full = with_rows(copies.drop("src", "start"), docs)
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    full = with_rows(copies.drop("src", "start"), docs).withColumn("_whole", whole)
+    words = F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0))
+    full = full.withColumn("_words", F.when(~F.col("_whole"), words))
     part = F.expr("array_join(flatten(transform(_pieces, p -> "
                   "slice(_words, cast(p.f as int) + 1, cast(p.n as int)))), ' ')")
-    full = full.withColumns({"_whole": whole}).withColumn(
-        "_words", F.when(~F.col("_whole"), words)).withColumn(
-        "text", F.when(F.col("_whole"), F.col("text")).otherwise(part))
+    full = full.withColumn("_text", F.when(F.col("_whole"), F.col("_row.text")).otherwise(part))
+    changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        full = full.withColumn("n_chars", F.when(F.col("_whole"), F.col("n_chars")).otherwise(
-            F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return full.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("_whole"), F.col("_row.n_chars")).otherwise(F.length("_text")).cast(
+            docs.schema["n_chars"].dataType)
+    return full.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op10_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ranking
-from .tables import cut, row_key, table, with_rows
+from .tables import cut, keyed, table, with_rows
 
 SHARDS = 8
 SEED = 17
@@ -63,10 +63,11 @@ def _placed(keys: DataFrame, shards: int, seed: int, per_bucket: int) -> DataFra
 
 
 def _keys(docs: DataFrame) -> DataFrame:
-    return row_key(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+    text = F.col("_row.text")
+    return keyed(docs).select(
+        F.col("_row.doc_id").cast("long").alias("doc_id"), F.col("_row.source").alias("source"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         "_k1", "_k2")
 
 
@@ -83,7 +84,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
     (columns of the input with those names are replaced)."""
     docs = docs.drop("shard", "slot")
     placed = _placed(_keys(docs), shards, seed, per_bucket).select("_k1", "_k2", "shard", "slot")
-    return with_rows(placed, docs).select(*docs.columns, "shard", "slot")
+    return with_rows(placed, docs).select("_row.*", "shard", "slot")
 
 
 def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,22 +26,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def row_key(df: DataFrame, seed: int = 5) -> DataFrame:
-    """``df`` with ``_k1``/``_k2``: 128 bits of hash over all its columns.
-
-    Rows that agree in every column share a key; other rows differ in it.
+def keyed(df: DataFrame, seed: int = 5) -> DataFrame:
+    """``df`` as (_row, _k1, _k2): each row as one struct, so that its columns may
+    have any names, and 128 bits of hash over all its columns (and which of them
+    are null).  Rows that agree in every column share a key; others differ in it.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    return df.withColumns({"_k1": F.xxhash64(F.lit(seed), *cols),
-                           "_k2": F.xxhash64(F.lit(~seed), *cols)})
+    every = [c.isNull() for c in cols] + cols
+    return df.select(F.struct(*cols).alias("_row"), F.xxhash64(F.lit(seed), *every).alias("_k1"),
+                     F.xxhash64(F.lit(~seed), *every).alias("_k2"))
 
 
 def with_rows(placed: DataFrame, df: DataFrame) -> DataFrame:
-    """The columns of ``df`` joined to ``placed`` by the row key: each row of
-    ``placed`` meets exactly one of the (identical) rows with its key, so
+    """``placed`` (with _k1 and _k2) and the ``_row`` of ``df`` with that key: each
+    row of ``placed`` meets exactly one of the (identical) rows with its key, so
     repeated rows stay as many as ``placed`` has."""
-    one = row_key(df).dropDuplicates(["_k1", "_k2"])
-    return placed.join(one, ["_k1", "_k2"])
+    return placed.join(keyed(df).dropDuplicates(["_k1", "_k2"]), ["_k1", "_k2"])
 
 
 def key_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
