@@ -20,7 +20,8 @@ window that also starts in a document with a smaller id are removed.
 5. The marked windows return to the documents, whose words are cut there.
 
 Scale: texts are shuffled twice (for candidates and for the cut); what else
-moves are 16 bytes per minimizer and the candidate segments.  Shards and
+moves are 12 bytes per minimizer (48 bits of its hash, which may only make a
+candidate too many, and 48 of its class's) and the candidate segments.  Shards and
 buckets have bounded sizes, as their number grows with the words.
 
 Defined cases: null and empty texts have no words; texts under ``WINDOW``
@@ -39,11 +40,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fmindex import FMIndex, repeated_windows
-from .tables import cut, key_groups, table
+from .tables import cut, key_groups, table, written
 from .textkernel import Words, chunks, minimizers, mix64, runs_of, sequence_hashes
 
 WINDOW = 13
-KMER = 6
+KMER = 5
 #: Classes from which on a minimizer is split; minimizers per bucket, and words
 #: per shard, aimed at; minimizers that a task settles at once.
 HOT, PER_BUCKET, PER_SHARD, AT_ONCE = 2_000, 400_000, 250_000, 1_500_000
@@ -60,6 +61,21 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_words", "h1", "h2"])
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """The upper 48 bits of 64-bit values, 6 bytes each."""
+    x = x.view(np.uint64) >> np.uint64(16)
+    return (x & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (x >> np.uint64(32)).astype("<u2").tobytes()
+
+
+def _unpack(parts: list[bytes]) -> np.ndarray:
+    out = []
+    for raw in parts:
+        n = len(raw) // 6
+        low = np.frombuffer(raw, "<u4", n).astype(np.uint64)
+        out.append(low | (np.frombuffer(raw, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32)))
+    return np.concatenate(out)
+
+
 def _runs(value: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (value, of) pairs sorted by value, and whether the value has several ``of``."""
     order = np.lexsort((of, value))
@@ -89,8 +105,8 @@ def _deal(buckets: int):
 
         def put(key: int, mz: np.ndarray, cl: np.ndarray) -> None:
             rows[0].append(key)
-            rows[1].append(mz.tobytes())
-            rows[2].append(cl.tobytes())
+            rows[1].append(_pack(mz))
+            rows[2].append(_pack(cl))
 
         sv, sc, sb = v[edge], c[edge], bucket[edge]
         cuts = np.flatnonzero(np.diff(sb)) + 1
@@ -129,17 +145,17 @@ def _deal(buckets: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one bucket -> (h1, mz) of the minimizers seen in several classes."""
+    """Rows of one bucket -> (class, mz), 48 bits each, of the minimizers seen in
+    several classes."""
     for group in key_groups(batches, 1):
-        mz = np.frombuffer(b"".join(group.column(1).to_pylist()), dtype=np.uint64)
-        of = np.frombuffer(b"".join(group.column(2).to_pylist()), dtype=np.int64)
+        mz, of = _unpack(group.column(1).to_pylist()), _unpack(group.column(2).to_pylist())
         if group.column(0)[0].as_py() >= 0:
             mz, of, several = _runs(mz, of)
             mz, of = mz[several], of[several]
         for low in range(0, len(mz), 50_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(of[low: low + 50_000]), pa.array(mz[low: low + 50_000].view(np.int64))],
-                names=["h1", "mz"])
+                [pa.array(x[low: low + 50_000].astype(np.int64)) for x in (of, mz)],
+                names=["of", "mz"])
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +176,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = words.row[at]
             order = np.argsort(known)
             known, hot = known[order], hot[order]
-            key = best ^ salt[row]
+            key = (best >> np.uint64(16)) ^ salt[row]
             place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
             candidate = (known[place] == key) & (own == asked)[row] if len(known) else np.zeros(len(at), bool)
             split = hot[place] & candidate if len(known) else candidate
@@ -257,14 +273,15 @@ def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     total = classes.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     buckets = max(1, total // (4 * PER_BUCKET))  # about two minimizers for nine words
     dealt = docs.where("doc_id is not null").mapInArrow(_deal(buckets), "bucket long, mz binary, of binary")
-    shared = cut(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _shared, "h1 long, mz long").distinct())
+    shared = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _shared, "of long, mz long").distinct())
     often = shared.groupBy("mz").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select(
         "mz", F.lit(True).alias("hot"))
-    marks = (shared.join(often, "mz", "left").groupBy("h1").agg(F.collect_list(
+    marks = (shared.join(often, "mz", "left").groupBy("of").agg(F.collect_list(
         F.struct("mz", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
-        .join(classes, "h1").select(F.col("rep").alias("doc_id"), "h1", "marks"))
-    segments = cut(docs.join(marks, "doc_id").select("doc_id", "text", "h1", "marks").mapInArrow(
+        .join(classes.withColumn("of", F.shiftrightunsigned("h1", 16)), "of")
+        .select(F.col("rep").alias("doc_id"), "h1", "marks"))
+    segments = written(docs.join(marks, "doc_id").select("doc_id", "text", "h1", "marks").mapInArrow(
         _segments, "shard long, s1 long, doc_id long, h1 long, start long, n long, words binary"))
     distinct = segments.groupBy("shard", "s1").agg(F.min(F.struct("doc_id", "words")).alias("_m"))
     shards = max(1, total // PER_SHARD)

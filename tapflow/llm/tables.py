@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared checkpoint folder, read back from
+    there: for wide or long intermediates, of which a checkpoint's plain rows take
+    several times the disk.  Hadoop deletes the folder when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def keyed(df: DataFrame, seed: int = 5) -> DataFrame:
     """``df`` as (_row, _k1, _k2): each row as one struct, so that its columns may
     have any names, and 128 bits of hash over all its columns (and which of them
