@@ -1,7 +1,9 @@
 """Command line: ``python -m tapflow <step> <names...> [options]``.
 
-Runs one named step (see ``tapflow.plans.steps``), then shows a short,
-ordered preview of the written table.  A wrong number of names prints the
+Runs one named step (see ``tapflow.plans.steps``), then shows a short preview
+of the written table.  Names are Parquet folders (with a slash), or tables of
+the session's catalog; without ``--hive`` or another catalog that outlives the
+process, only folders are seen by the next step.  A wrong number of names prints the
 step's usage and exits with status 255, as a scheduler expects.
 
 JDBC connection options are passed as ``--option key=value`` (repeatable);
@@ -25,7 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m tapflow", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=sorted(STEPS))
-    p.add_argument("names", nargs="*", help="input path / table names, then the output table")
+    p.add_argument("names", nargs="*", help="input paths or table names, then the output")
     p.add_argument("--db", default=None, help="database of every table")
     p.add_argument("--path", default=None, help="external location of the output table")
     p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
@@ -36,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="rows above which a card-day is processed in chunks")
     p.add_argument("--rows-per-chunk", type=int, default=None,
                    help="target rows per chunk of a hot card-day")
+    p.add_argument("--hive", action="store_true",
+                   help="use the Hive catalog of the submitted session")
     p.add_argument("--no-preview", action="store_true")
     return p
 
@@ -59,11 +63,17 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = (SparkSession.builder.appName(f"tapflow {args.step}")
              .config("spark.ui.enabled", "false")  # batch step: no web UI server
-             .getOrCreate())
+             .config("spark.sql.parquet.writeLegacyFormat", "true"))
+    if args.hive:
+        spark = spark.enableHiveSupport()
+    spark = spark.getOrCreate()
     try:
         out = run_step(spark, args.step, args.names, options)
         if not args.no_preview:
-            out.orderBy(*step.preview_order).show(step.preview_rows, truncate=False)
+            # only the small flow table is ordered; the others show any first rows
+            if step.preview_order:
+                out = out.orderBy(*step.preview_order)
+            out.limit(step.preview_rows).show(truncate=False)
     finally:
         spark.stop()
     return 0

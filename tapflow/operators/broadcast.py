@@ -1,11 +1,10 @@
 """Broadcast only behind a size check.
 
 ``F.broadcast`` ships a whole table to every executor, so it is only safe for
-a side whose size is *known* to be small.  ``broadcast_if_small`` proves the
-bound cheaply: ``limit(n + 1).count()`` stops reading after ``n + 1`` rows, so
-the check costs at most ``n + 1`` rows even when the table turns out large.
-Beyond the bound the plain DataFrame is returned and the join becomes a
-shuffle join, where adaptive execution splits skewed keys.
+a side whose size is *known* to be small.  ``broadcast_if_small`` counts the
+side first (a partial count per task and a sum of the counts).  Beyond the
+bound the plain DataFrame is returned and the join becomes a shuffle join,
+where adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
@@ -18,11 +17,6 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads <= max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    """``F.broadcast(df)`` when it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.count() <= max_rows else df

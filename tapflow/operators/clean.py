@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tapflow.functions.columns import flag
 from tapflow.operators import skew
+from tapflow.session import shared_dir
 from tapflow.sources.schemas import BUS_CLEANED_COLUMNS
 
 CARD_DAY = ["trade_date", "card_id"]
@@ -76,21 +77,81 @@ def anti_single_tap(with_ids: DataFrame) -> DataFrame:
     return with_ids.join(single_tap_trips(with_ids), on="tct", how="left_anti")
 
 
-def drop_one_tap_trips(with_ids: DataFrame) -> DataFrame:
-    """Window form of J3: keep taps whose (card-day, trip) has > 1 tap.
+def with_alone(with_ids: DataFrame) -> DataFrame:
+    """``_alone``: the tap is the only one of its trip in its card-day.
 
     Trip numbers never decrease in time order, so a trip's taps are
     neighbours: a trip has one tap exactly when the taps before and after
     it belong to other trips.  ``lag``/``lead`` on the existing sort decide
-    that; no window per trip (and no sort by trip) is needed.  Same rows as
-    the anti join unless two different (date, card, trip) tuples print to
-    the same ``tct`` string (ids holding '_' or nulls).
+    that; no window per trip (and no sort by trip) is needed.
     """
     order = _card_day_total_order()
     trip = F.col("tms_id")
     before, after = F.lag(trip).over(order), F.lead(trip).over(order)
-    alone = (before.isNull() | (before != trip)) & (after.isNull() | (after != trip))
-    return with_ids.withColumn("_alone", alone).where(~F.col("_alone")).drop("_alone")
+    return with_ids.withColumn("_alone", _is_alone(trip, before, after))
+
+
+def _is_alone(trip: Column, before: Column, after: Column) -> Column:
+    return (before.isNull() | (before != trip)) & (after.isNull() | (after != trip))
+
+
+def ambiguous() -> Column:
+    """Whether a card-day's trip keys may print like another card-day's: only a
+    null date or card, or one that holds the separator, can cause that."""
+    def odd(c: str) -> Column:
+        return F.col(c).isNull() | F.contains(F.col(c), F.lit("_"))
+    return odd("trade_date") | odd("card_id")
+
+
+class TripKeys:
+    """J3 by the string key, without a shuffle of all taps.
+
+    The rule drops a tap when its ``tct`` string occurs once in the whole
+    table.  A tap that has company in its own trip is kept.  One that is alone
+    there is kept only if another card-day prints the same string, and then one
+    of the two card-days is ``ambiguous``:
+
+    * a plain tap's string must be among the strings of ambiguous taps;
+    * an ambiguous tap's string must occur twice among ambiguous taps, or be
+      that of a plain card-day, which the string itself names.
+
+    ``numbered(taps)`` numbers the trips of a subset of whole card-days.  Where
+    no ambiguous tap exists -- one narrow count says so -- nothing else runs.
+    """
+
+    def __init__(self, taps: DataFrame, numbered):
+        self.strings = None
+        odd = taps.where(ambiguous())
+        if odd.isEmpty():
+            return
+        shared_dir(taps.sparkSession)
+        own = numbered(odd).groupBy("tct").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+        # the plain card-days that an ambiguous string may also name: date_card_trip
+        part = F.split("tct", "_")
+        named = own.where((F.size(part) == 3)).select(
+            part[0].alias("_d"), part[1].alias("_c")).distinct().checkpoint(eager=True)
+        plain = taps.where(~ambiguous())
+        plain = plain.join(_sized(named), (plain["trade_date"] == F.col("_d"))
+                           & (plain["card_id"] == F.col("_c")), "left_semi")
+        other = numbered(plain).select("tct").distinct().withColumn("_also", F.lit(True))
+        self.strings = own.join(other, "tct", "left").select(
+            F.col("tct").alias("_tct"), "_n", F.coalesce("_also", F.lit(False)).alias("_also")
+        ).checkpoint(eager=True)
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``_alone`` -> the rows that stay (clustering and order are kept)."""
+        if self.strings is None:
+            return rows.where(~F.col("_alone")).drop("_alone")
+        joined = rows.join(_sized(self.strings), F.col("tct") == F.col("_tct"), "left")
+        printed_twice = F.when(ambiguous(), (F.col("_n") > 1) | F.col("_also")).otherwise(
+            F.col("_n").isNotNull())
+        return (joined.where(~F.col("_alone") | F.coalesce(printed_twice, F.lit(False)))
+                .drop("_alone", "_tct", "_n", "_also"))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """``df`` broadcast when its counted rows allow, else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= skew.MAX_BROADCAST_ROWS else df.hint("merge")
 
 
 def drop_repeated_direction(kept: DataFrame) -> DataFrame:
@@ -107,63 +168,110 @@ def drop_repeated_direction(kept: DataFrame) -> DataFrame:
             .select(*cols, "last_io_type"))
 
 
-def _cleaned_columns(taps: DataFrame) -> list[str]:
-    # raw tap columns minus device_id, then the derived ones (reference order)
-    raw = [c for c in taps.columns if c not in ("device_id", skew.KID)]
-    return raw + ["once_od", "tms_id", "tct", "last_io_type"]
+def _id_columns(taps: DataFrame) -> list[str]:
+    return [c for c in taps.columns if c != skew.KID] + ["once_od", "tms_id", "tct"]
 
 
-def _clean_metro_windows(taps: DataFrame, exact_trip_key: bool) -> DataFrame:
-    with_ids = metro_trip_ids(taps)
-    if exact_trip_key:
-        with_ids = with_ids.select(*_cleaned_columns(taps)[:-1], "device_id")
-        return drop_repeated_direction(anti_single_tap(with_ids)).select(*_cleaned_columns(taps))
-    return drop_repeated_direction(drop_one_tap_trips(with_ids))
+def _cleaned_columns(taps: DataFrame) -> list[str]:
+    # raw tap columns minus device_id, then the derived ones (reference order)
+    return [c for c in _id_columns(taps) if c != "device_id"] + ["last_io_type"]
 
 
-def _clean_metro_chunked(hot: DataFrame, chunks: int) -> DataFrame:
-    """X6 for hot card-days: the same rules as ordered chunk scans.
+def _numbered_chunks(hot: DataFrame, chunks: int) -> DataFrame:
+    """Hot taps with trip number, key and ``_alone``: one edge table.
 
-    The steps are those of the window plan -- ROWS/RANGE trip numbers,
-    one-tap trips by ``lag``/``lead`` of the trip number, ``lag`` of the
-    direction -- with carries across chunk edges (``tapflow.operators.skew``).
+    The RANGE sum inside a chunk plus the entries of earlier chunks numbers the
+    trips; the numbers of the neighbouring chunks' edge taps follow from the
+    same table.
     """
     total = ["trade_time"] + METRO_TIE
     chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")),
                                  ["trade_time"], chunks, tie=METRO_TIE)
-    with_ids = (skew.running_sum(chunked, "once_od", ["trade_time"], "tms_id")
-                .withColumn("tct", trip_key()))
-    around = skew.lead_in_order(skew.lag_in_order(with_ids, "tms_id", total, None, "_before"),
-                                "tms_id", total, None, "_after")
-    trip, before, after = F.col("tms_id"), F.col("_before"), F.col("_after")
-    alone = (before.isNull() | (before != trip)) & (after.isNull() | (after != trip))
-    kept = around.where(~alone).drop("_before", "_after")
-    last = skew.lag_in_order(kept, "io_type", total, FIRST_PREVIOUS_DIRECTION, "last_io_type")
-    return (last.where(F.col("io_type") != F.col("last_io_type"))
+    w = skew.in_chunk(total)
+    rows = chunked.withColumn("_inner", F.sum("once_od").over(skew.in_chunk(["trade_time"])))
+    edge = skew.edges(rows, total, ["_inner"], ["_inner"], ["once_od"])
+    across = skew.across_chunks()
+    offset = F.coalesce(F.sum("once_od").over(across.rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0))
+    edge = edge.withColumn("_offset", offset).select(
+        skew.KID, skew.CHUNK, "_offset",
+        F.lag(F.col("_offset") + F.col("last._inner")).over(across).alias("_edge_before"),
+        F.lead(F.col("_offset") + F.col("first._inner")).over(across).alias("_edge_after"))
+    rows = skew.attach(rows, edge).withColumn("tms_id", F.col("_inner") + F.col("_offset"))
+    trip = F.col("tms_id")
+    before = F.when(F.row_number().over(w) == 1, F.col("_edge_before")).otherwise(F.lag(trip).over(w))
+    after = F.when(F.lead(F.lit(1)).over(w).isNull(), F.col("_edge_after")).otherwise(
+        F.lead(trip).over(w))
+    return (rows.withColumn("tct", trip_key())
+            .withColumns({"_before": before, "_after": after})
+            .withColumn("_alone", _is_alone(trip, F.col("_before"), F.col("_after")))
+            .select(*_id_columns(hot), "_alone", skew.KID, skew.CHUNK))
+
+
+def _clean_chunks(hot: DataFrame, chunks: int, keys: TripKeys) -> DataFrame:
+    """X6 for hot card-days: the window plan's rules as ordered chunk scans, with
+    two edge tables (three reads of the checkpoint)."""
+    total = ["trade_time"] + METRO_TIE
+    kept = keys.keep(_numbered_chunks(hot, chunks))
+    edge = skew.edges(kept, total, [], ["io_type"])
+    across = skew.across_chunks()
+    carry = F.when(F.row_number().over(across) == 1, F.lit(FIRST_PREVIOUS_DIRECTION)).otherwise(
+        F.lag("last.io_type").over(across))
+    rows = skew.attach(kept, edge.select(skew.KID, skew.CHUNK, carry.alias("_carry")))
+    w = skew.in_chunk(total)
+    last = F.when(F.row_number().over(w) == 1, F.col("_carry")).otherwise(F.lag("io_type").over(w))
+    return (rows.withColumn("last_io_type", last)
+            .where(F.col("io_type") != F.col("last_io_type"))
             .select(*_cleaned_columns(hot)))
 
 
-def clean_metro(taps: DataFrame, exact_trip_key: bool = False,
-                hot_threshold: int | None = None,
+def _split(taps: DataFrame, hot_threshold: int | None,
+           hot_keys: skew.HotKeys | None) -> skew.HotSplit:
+    if hot_keys is None and hot_threshold is not None:
+        hot_keys = skew.find_hot_keys(taps, CARD_DAY, hot_threshold)
+    return skew.split_hot(taps, hot_keys)
+
+
+def number_trips(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
+                 rows_per_chunk: int = skew.ROWS_PER_CHUNK,
+                 hot_keys: skew.HotKeys | None = None) -> DataFrame:
+    """``metro_trip_ids`` with hot card-days numbered in ordered chunks."""
+    split = _split(taps, hot_threshold, hot_keys)
+    cold = metro_trip_ids(split.cold)
+    if split.hot is None:
+        return cold
+    hot = _numbered_chunks(split.hot, skew.chunk_count(split.hot_rows, rows_per_chunk))
+    return cold.unionByName(hot.select(*cold.columns))
+
+
+def trip_keys(taps: DataFrame, hot_threshold: int | None, rows_per_chunk: int,
+              hot_keys: skew.HotKeys | None) -> TripKeys:
+    """``TripKeys`` of all taps, numbering their subsets with the same hot split."""
+    return TripKeys(taps, lambda part: number_trips(part, hot_threshold, rows_per_chunk, hot_keys))
+
+
+def clean_part(taps: DataFrame, keys: TripKeys, chunks: int | None = None) -> DataFrame:
+    """X6 of taps that are all of hot card-days (``chunks`` given, with key ids) or none."""
+    if chunks is None:
+        return drop_repeated_direction(keys.keep(with_alone(metro_trip_ids(taps))))
+    return _clean_chunks(taps, chunks, keys)
+
+
+def clean_metro(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
                 rows_per_chunk: int = skew.ROWS_PER_CHUNK,
                 hot_keys: skew.HotKeys | None = None) -> DataFrame:
-    """Number trips, drop one-tap trips, drop repeated directions.
-
-    ``exact_trip_key=True`` removes one-tap trips by the string key ``tct``
-    (anti join, two more exchanges); the default uses the window form.
+    """Number trips, drop one-tap trips by their key, drop repeated directions.
 
-    With ``hot_threshold`` set, card-days above that many taps are split
-    out and cleaned in ordered chunks (``tapflow.operators.skew``); the rest
-    take the one-exchange window plan.  Results are identical.  A caller
-    that already knows a superset of the hot card-days passes ``hot_keys``.
+    Card-days above ``hot_threshold`` taps are split out and cleaned in ordered
+    chunks (``tapflow.operators.skew``); the rest take the one-exchange window
+    plan.  The rule is the same for both (``TripKeys``), and so is the result.
+    A caller that already knows a superset of the hot card-days passes
+    ``hot_keys``; ``hot_threshold=None`` without them means no split.
     """
-    if hot_keys is None and hot_threshold is None:
-        return _clean_metro_windows(taps, exact_trip_key)
-    if hot_keys is None:
-        hot_keys = skew.find_hot_keys(taps, CARD_DAY, hot_threshold)
-    split = skew.split_hot(taps, hot_keys)
-    cold = _clean_metro_windows(split.cold, exact_trip_key)
+    split = _split(taps, hot_threshold, hot_keys)
+    keys = trip_keys(taps, hot_threshold, rows_per_chunk, hot_keys)
+    cold = clean_part(split.cold, keys)
     if split.hot is None:
         return cold
-    chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
-    return cold.unionByName(_clean_metro_chunked(split.hot, chunks))
+    return cold.unionByName(
+        clean_part(split.hot, keys, skew.chunk_count(split.hot_rows, rows_per_chunk)))

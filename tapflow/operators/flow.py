@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tapflow.sources.schemas import FLOW_KEY
 
+# Fixed value: the order of the flow table.
 FLOW_ORDER = ["trade_date", "od_desc", "od_type"]
 # Fixed value: the preview length of the flow table.
 PREVIEW_ROWS = 20

@@ -7,8 +7,11 @@ text; they are cast to text explicitly, so the union does not depend on the
 session's ANSI setting and ids like ``T7`` survive.  Trip ids therefore sort
 as text downstream.
 
-The duplicate removal is a whole-row distinct: Spark aggregates map-side
-first, so even a row copied a billion times leaves each map task once.
+The duplicate removal is a whole-row distinct.  Card-days of ordinary size
+are clustered by (trade_date, card_id) first: the distinct, and every later
+window of the card-day, then runs on that one exchange.  Rows of hot card-days
+take the plain distinct, which aggregates map-side first, so even a row copied
+a billion times leaves each map task once.
 """
 
 from __future__ import annotations
@@ -51,6 +54,12 @@ def align_bus(bus: DataFrame) -> DataFrame:
     return _layout(bus)
 
 
-def merge_taps(bus: DataFrame, metro: DataFrame) -> DataFrame:
-    """X9 (U1, U2, A3): union of both modes without duplicate rows."""
-    return align_bus(bus).unionByName(align_metro(metro)).distinct()
+def merge_taps(bus: DataFrame, metro: DataFrame, by_card_day: bool = False) -> DataFrame:
+    """X9 (U1, U2, A3): union of both modes without duplicate rows.
+
+    ``by_card_day`` clusters the rows by card-day before the distinct; only for
+    taps without hot card-days."""
+    taps = align_bus(bus).unionByName(align_metro(metro))
+    if by_card_day:
+        taps = taps.repartition("trade_date", "card_id")
+    return taps.distinct()

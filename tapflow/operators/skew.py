@@ -7,9 +7,9 @@ would put that share into a single task.  The remedy is the usual one for an
 ordered scan in Spark:
 
 1. **Detect** hot keys with a map-side-combined count per key.  Only keys
-   above ``threshold`` rows are kept, so their number is bounded by
-   ``rows / threshold``; the table is checkpointed once and broadcast only
-   after its row count is proven small (else the split is a shuffle join).
+   above ``threshold`` rows are kept; should they be more than 100,000, the
+   threshold rises to their mean size, so the key table is bounded by
+   construction.  It is checkpointed once and broadcast.
 2. **Split** rows into a cold part (plain windows, one exchange) and a hot
    part, which carries a small integer key id ``_kid`` (null-safe match on
    the original key, so a null card id can be hot too).
@@ -17,16 +17,13 @@ ordered scan in Spark:
    range partitioner samples the keys, so a hot key is cut into contiguous,
    balanced chunks of its order; ``spark_partition_id`` names the chunk.
    Rows with an equal order value always land in the same chunk, which keeps
-   RANGE-frame peer semantics exact.  The chunked rows are checkpointed, so
-   chunk ids stay stable if an executor is lost and work is recomputed.
-4. **Carry** between chunks through per-chunk summaries (one row per key and
-   chunk, bounded by the chunk count): running-sum offsets, the last row of
-   the previous chunk (``lag``), the first row of the next one (``lead``)
-   and the last non-null value so far (forward fill), joined back by
-   broadcast.  The chunks are hash-clustered by (key, chunk) and sorted in
-   the scan order before the checkpoint, so every later window reads them
-   in place: hot rows are shuffled twice and sorted once in total, and never
-   grouped by key or trip.
+   RANGE-frame peer semantics exact.  The ranged rows are written to the
+   shared checkpoint folder, then clustered by (key, chunk), sorted and
+   checkpointed there, so chunk ids stay stable if an executor is lost.
+4. **Carry** between chunks through edge tables (one row per key and chunk:
+   first row, last row, totals), each written to the checkpoint folder before
+   the next pass reads the rows again.  A scan with ``p`` edge tables reads the
+   checkpoint ``p + 1`` times: the windows of every pass read it in place.
 
 Residual limit: rows sharing one key *and* one exact order value (same card,
 same day, same second and trip) are never split, as their relative order is
@@ -36,10 +33,10 @@ part of the result.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,11 +46,10 @@ from tapflow.session import shared_dir
 HOT_ROWS_PER_KEY = 2_000_000
 # Target rows per chunk of a hot key (one task each).
 ROWS_PER_CHUNK = 1_000_000
-# Hot-key tables up to this many rows are broadcast.
-MAX_BROADCAST_HOT_KEYS = 100_000
-# Upper bound of the chunk count, so a per-chunk table (one row per key and
-# chunk) never exceeds MAX_CHUNKS + MAX_BROADCAST_HOT_KEYS rows.
-MAX_CHUNKS = 200_000
+# At most this many keys can be hot (beyond, the threshold rises to their mean size),
+# and edge tables up to this many rows are broadcast.
+MAX_HOT_KEYS = 100_000
+MAX_BROADCAST_ROWS = 200_000
 
 KID = "_kid"
 CHUNK = "_chunk"
@@ -88,60 +84,45 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], prefix: str)
                   [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def hot_keys_by(counts: DataFrame, keys: list[str],
-                tests: dict[str, tuple[Column, Column]]) -> dict[str, HotKeys | None]:
-    """Several hot-key sets from one table of per-key counts.
+def hot_keys_by(counts: DataFrame, keys: list[str], rows: Column,
+                threshold: int) -> HotKeys | None:
+    """Hot keys of a table of per-key counts: those with ``rows`` > threshold.
 
-    ``tests`` maps a name to (is-hot predicate, row bound) over ``counts``.
-    One job computes how many keys each test selects; when none does, that
-    is all.  Otherwise the keys selected by any test (at most rows /
-    threshold of them) are checkpointed once, so every use sees the same ids.
+    The count (a scan and a shuffle) runs once: its flagged keys are
+    checkpointed, and their number and row total come from that.
     """
-    aggs = []
-    for name, (hot, rows) in tests.items():
-        aggs += [F.count_if(hot).alias(f"n_{name}"),
-                 F.sum(F.when(hot, rows)).alias(f"r_{name}")]
-    stats = counts.agg(*aggs).first()
-    found = {name: int(stats[f"n_{name}"] or 0) for name in tests}
-    if not any(found.values()):
-        return dict.fromkeys(tests)
     shared_dir(counts.sparkSession)
-    any_hot = reduce(lambda a, b: a | b, [hot for hot, _ in tests.values()])
-    flagged = (counts.where(any_hot)
-               .select(*[F.col(k).alias(_PREFIX + k) for k in keys],
-                       *[hot.alias(f"_is_{name}") for name, (hot, _) in tests.items()])
+    flagged = (counts.where(rows > threshold)
+               .select(*[F.col(k).alias(_PREFIX + k) for k in keys], rows.alias("_rows"))
                .checkpoint(eager=True))
-    out: dict[str, HotKeys | None] = {}
-    for name in tests:
-        if not found[name]:
-            out[name] = None
-            continue
-        ids = (flagged.where(F.col(f"_is_{name}"))
-               .select(*[_PREFIX + k for k in keys])
-               .withColumn(KID, F.monotonically_increasing_id()))
-        out[name] = HotKeys(ids, list(keys), found[name], int(stats[f"r_{name}"]))
-    return out
+    stats = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("r")).first()
+    if stats["n"] > MAX_HOT_KEYS:  # no more than that many keys have more than the mean
+        flagged = flagged.where(F.col("_rows") > stats["r"] // MAX_HOT_KEYS)
+        stats = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("r")).first()
+    if not stats["n"]:
+        return None
+    ids = flagged.drop("_rows").withColumn(KID, F.monotonically_increasing_id())
+    return HotKeys(ids, list(keys), int(stats["n"]), int(stats["r"]))
 
 
 def find_hot_keys(df: DataFrame, keys: list[str],
                   threshold: int = HOT_ROWS_PER_KEY) -> HotKeys | None:
     """Keys of ``df`` with more than ``threshold`` rows (map-side-combined count)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    rows = F.col("_rows")
-    return hot_keys_by(counts, keys, {"hot": (rows > threshold, rows)})["hot"]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return hot_keys_by(counts, keys, F.col("_n"), threshold)
 
 
 def split_hot(df: DataFrame, hot: HotKeys | None,
-              max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> HotSplit:
+              max_broadcast_keys: int = MAX_HOT_KEYS) -> HotSplit:
     """Rows of cold keys, and rows of hot keys tagged with ``_kid``.
 
     The key match is null-safe, so a null card id can be hot too.  The key
-    table is broadcast only when its proven count is small; otherwise both
-    sides are joined by shuffle.
+    table is broadcast when its counted size allows; a caller that asked for
+    more hot keys gets a shuffle join.
     """
     if hot is None:
         return HotSplit(df, None, 0)
-    ids = F.broadcast(hot.ids) if hot.count <= max_broadcast_keys else hot.ids
+    ids = F.broadcast(hot.ids) if hot.count <= max_broadcast_keys else hot.ids.hint("merge")
     cond = _null_safe(df, ids, hot.keys, _PREFIX)
     tagged = df.join(ids, cond, "inner").drop(*[_PREFIX + k for k in hot.keys])
     cold = df.join(ids, cond, "left_anti")
@@ -149,164 +130,70 @@ def split_hot(df: DataFrame, hot: HotKeys | None,
 
 
 def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
-    """Chunks for ``hot_rows``; at most ``MAX_CHUNKS`` so that per-chunk tables
-    stay broadcastable (chunks then grow past the target size instead)."""
-    return max(1, min(MAX_CHUNKS, math.ceil(hot_rows / max(1, rows_per_chunk))))
+    """Chunks for ``hot_rows``: as many as keep ``rows_per_chunk``."""
+    return max(1, math.ceil(hot_rows / max(1, rows_per_chunk)))
 
 
 def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
                   tie: list[str] | None = None) -> DataFrame:
     """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order).
 
-    Equal (key, order) values share a chunk.  Checkpointed into the shared
-    checkpoint folder: chunk ids must not change between the uses of the
-    result, also when an executor is lost.
+    Equal (key, order) values share a chunk.  The result is a checkpoint in
+    the shared folder that Spark knows to be hash-clustered by (key, chunk) and
+    sorted in scan order.  A checkpoint taken under adaptive execution forgets
+    its partitioning, so that last short job (read, shuffle, sort, write) runs
+    in a session of its own with adaptive execution off; the caller's session
+    is not touched.
     """
     spark = hot.sparkSession
-    shared_dir(spark)
-    # 1. range chunks, computed with adaptive execution on (the upstream keeps
-    #    coalescing and skew splitting) and kept on executor disk briefly
+    path = f"{shared_dir(spark)}/tapflow-chunks/{uuid.uuid4().hex}"
     ranged = (hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
-              .withColumn(CHUNK, F.spark_partition_id())
-              .persist(StorageLevel.DISK_ONLY))
-    ranged.count()
-    # 2. cluster by (key, chunk) and sort in scan order, then checkpoint: the
-    #    checkpoint keeps that partitioning and order, so every later window
-    #    keyed by (key, chunk) reads it in place -- hot rows are shuffled twice
-    #    and sorted once in total.  A checkpoint taken under adaptive execution
-    #    forgets its partitioning, so this short job (cached rows -> shuffle ->
-    #    sort -> write) runs with AQE off and fixed partition counts.
-    clustered = (ranged.repartition(chunks, KID, CHUNK)
-                 .sortWithinPartitions(KID, CHUNK, *order, *(tie or [])))
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+              .withColumn(CHUNK, F.spark_partition_id()))
+    ranged.write.parquet(path)
     try:
-        return clustered.checkpoint(eager=True)
-    finally:
-        spark.conf.set(key, before)
-        ranged.unpersist()
+        static = spark.newSession()
+        static.conf.set("spark.sql.adaptive.enabled", "false")
+        return (static.read.schema(ranged.schema).parquet(path).repartition(chunks, KID, CHUNK)
+                .sortWithinPartitions(KID, CHUNK, *order, *(tie or []))
+                .checkpoint(eager=True))
+    finally:  # the checkpoint holds the rows now
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _chunk_window() -> Window:
-    return Window.partitionBy(KID).orderBy(CHUNK)
-
-
-def chunk_offsets(chunked: DataFrame, value: str, name: str) -> DataFrame:
-    """(``_kid``, ``_chunk``, name): sum of ``value`` over all earlier chunks."""
-    totals = chunked.groupBy(KID, CHUNK).agg(F.sum(value).alias("_total"))
-    before = _chunk_window().rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(KID, CHUNK, F.coalesce(F.sum("_total").over(before),
-                                                F.lit(0)).alias(name))
-
-
-def previous_chunk_last(chunked: DataFrame, value: str, order: list[str],
-                        default, name: str) -> DataFrame:
-    """(``_kid``, ``_chunk``, name): ``value`` of the last row of the previous
-    non-empty chunk in ``order``; ``default`` for a key's first chunk.
-
-    The last row of a chunk is the one without a successor in its chunk
-    window (no aggregate over the hot rows), so the summary has one row per
-    chunk.
-    """
-    w = Window.partitionBy(KID, CHUNK).orderBy(*order)
-    last = (chunked.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
-            .where(F.col("_is_last"))
-            .select(KID, CHUNK, F.col(value).alias("_last")))
-    return last.select(KID, CHUNK, F.lag("_last", 1, default).over(_chunk_window()).alias(name))
-
-
-def attach(rows: DataFrame, per_chunk: DataFrame) -> DataFrame:
-    """Join a per-chunk table onto hot rows.
-
-    The table has one row per (key, chunk): at most ``MAX_CHUNKS`` plus the
-    hot-key count, so the broadcast is bounded by construction.
-    """
-    return rows.join(F.broadcast(per_chunk), [KID, CHUNK], "inner")
-
-
-def running_sum(chunked: DataFrame, value: str, order: list[str], name: str) -> DataFrame:
-    """RANGE-frame running sum of ``value`` per key in ``order`` (peers share)."""
-    inner = F.sum(value).over(Window.partitionBy(KID, CHUNK).orderBy(*order))
-    offsets = chunk_offsets(chunked, value, "_offset")
-    return (attach(chunked.withColumn("_inner", inner), offsets)
-            .withColumn(name, F.col("_inner") + F.col("_offset"))
-            .drop("_inner", "_offset"))
-
-
-def lag_in_order(chunked: DataFrame, value: str, order: list[str], default,
-                 name: str) -> DataFrame:
-    """``lag(value, 1, default)`` per key in the total ``order``, across chunks."""
-    w = Window.partitionBy(KID, CHUNK).orderBy(*order)
-    carry = previous_chunk_last(chunked, value, order, default, "_carry")
-    rows = (chunked.withColumn("_prev", F.lag(value).over(w))
-            .withColumn("_pos", F.row_number().over(w)))
-    return (attach(rows, carry)
-            .withColumn(name, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev")))
-            .drop("_prev", "_pos", "_carry"))
-
-
-
-def _in_chunk(order: list[str]) -> Window:
+def in_chunk(order: list[str]) -> Window:
     return Window.partitionBy(KID, CHUNK).orderBy(*order)
 
 
-def next_chunk_first(chunked: DataFrame, value: str, order: list[str],
-                     default, name: str) -> DataFrame:
-    """(``_kid``, ``_chunk``, name): ``value`` of the first row of the next
-    non-empty chunk in ``order``; ``default`` for a key's last chunk."""
-    first = (chunked.withColumn("_is_first", F.lag(F.lit(1)).over(_in_chunk(order)).isNull())
-             .where(F.col("_is_first"))
-             .select(KID, CHUNK, F.col(value).alias("_first")))
-    return first.select(KID, CHUNK,
-                        F.lead("_first", 1, default).over(_chunk_window()).alias(name))
-
-
-def lead_in_order(chunked: DataFrame, value: str, order: list[str], default,
-                  name: str) -> DataFrame:
-    """``lead(value, 1, default)`` per key in the total ``order``, across chunks."""
-    w = _in_chunk(order)
-    carry = next_chunk_first(chunked, value, order, default, "_carry")
-    rows = chunked.withColumns({"_next": F.lead(value).over(w),
-                                "_is_end": F.lead(F.lit(1)).over(w).isNull()})
-    return (attach(rows, carry)
-            .withColumn(name, F.when(F.col("_is_end"), F.col("_carry")).otherwise(F.col("_next")))
-            .drop("_next", "_is_end", "_carry"))
-
+def across_chunks() -> Window:
+    """Window over an edge table: the chunks of a key in order."""
+    return Window.partitionBy(KID).orderBy(CHUNK)
 
-def fill_forward(chunked: DataFrame, value: Column, order: list[str], name: str) -> DataFrame:
-    """``last(value, ignorenulls)`` over all rows up to this one, across chunks.
 
-    Inside a chunk it is a running window; a chunk without any non-null
-    value takes the last one of the chunks before it (per-chunk summary).
-    """
-    w = _in_chunk(order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = chunked.withColumn("_fill", F.last(value, ignorenulls=True).over(upto))
-    ends = (rows.withColumn("_is_end", F.lead(F.lit(1)).over(w).isNull())
-            .where(F.col("_is_end")).select(KID, CHUNK, "_fill"))
-    before = _chunk_window().rowsBetween(Window.unboundedPreceding, -1)
-    prior = ends.select(KID, CHUNK,
-                        F.last("_fill", ignorenulls=True).over(before).alias("_prior"))
-    return (attach(rows, prior)
-            .withColumn(name, F.coalesce(F.col("_fill"), F.col("_prior")))
-            .drop("_fill", "_prior"))
-
-
-def per_key(rows: DataFrame, order: list[str], lowest: dict[str, Column],
-            highest: dict[str, Column]) -> DataFrame:
-    """(``_kid``, names...): the min of each ``lowest`` and the max of each
-    ``highest`` expression over all rows of each hot key.
-
-    Each runs as an unordered window per chunk (no sort beyond the one the
-    rows already have); one row per chunk is kept and the chunk results are
-    combined per key, a table of one row per chunk.
-    """
-    chunk = Window.partitionBy(KID, CHUNK)
-    parts = {**{n: F.min(e) for n, e in lowest.items()},
-             **{n: F.max(e) for n, e in highest.items()}}
-    partial = (rows.withColumns({n: a.over(chunk) for n, a in parts.items()})
-               .withColumn("_is_end", F.lead(F.lit(1)).over(_in_chunk(order)).isNull())
-               .where(F.col("_is_end")))
-    return partial.groupBy(KID).agg(*[F.min(n).alias(n) for n in lowest],
-                                     *[F.max(n).alias(n) for n in highest])
+def edges(rows: DataFrame, order: list[str], first: list[str], last: list[str],
+          totals: list[str] = ()) -> DataFrame:
+    """One row per key and chunk: ``first`` and ``last`` (structs of those columns
+    of the chunk's first and last row in ``order``) and the sums of ``totals``.
+
+    One pass over the rows, which are clustered by (key, chunk) already."""
+    place = F.struct(*order)
+    aggs = [F.sum(c).alias(c) for c in totals]
+    if first:
+        aggs.append(F.min_by(F.struct(*first), place).alias("first"))
+    if last:
+        aggs.append(F.max_by(F.struct(*last), place).alias("last"))
+    return rows.groupBy(KID, CHUNK).agg(*aggs)
+
+
+def attach(rows: DataFrame, per_chunk: DataFrame,
+           max_broadcast_rows: int | None = None) -> DataFrame:
+    """Join an edge table onto the rows it was made from.
+
+    The table is written to the checkpoint folder first, so that what reads it
+    does not compute it again; it is broadcast when its counted rows allow, and
+    joined by (key, chunk) -- the rows' own clustering -- otherwise."""
+    shared_dir(rows.sparkSession)
+    table = per_chunk.checkpoint(eager=True)
+    limit = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    right = F.broadcast(table) if table.count() <= limit else table.hint("merge")
+    return rows.join(right, [KID, CHUNK], "inner")

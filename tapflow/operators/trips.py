@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tapflow.functions.columns import epoch_seconds, flag
 from tapflow.operators import skew
+from tapflow.session import shared_dir
 from tapflow.sources.schemas import OD_COLUMNS
 
 CARD_DAY = ["trade_date", "card_id"]
@@ -97,14 +98,20 @@ def endpoint_marks(segments: DataFrame) -> DataFrame:
     step2 = step1.withColumn("_first", F.last(
         F.when(F.col("_start"), F.struct(tms.alias("t"), epoch.alias("e"))),
         ignorenulls=True).over(upto))
+    return _marked(step2, peers).drop("_start", "_next_seg", "_next_tms", "_first")
+
+
+def _marked(rows: DataFrame, peers: Window) -> DataFrame:
+    """``marker`` from each tap's ``_first`` key of its trip and its successor's
+    ``_next_seg`` and ``_next_tms``; ``peers`` are the taps with an equal key."""
+    seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
     in_run = tms.eqNullSafe(F.col("_first.t"))
     run_end = in_run & (F.col("_next_seg").isNull() | (F.col("_next_seg") != seg)
                         | ~F.col("_next_tms").eqNullSafe(tms))
     is_first = in_run & epoch.eqNullSafe(F.col("_first.e"))
     is_last = in_run & (F.max(flag(run_end)).over(peers) == 1)
-    marked = step2.withColumn("marker", F.when(is_last, F.lit(DESTINATION))
-                              .when(is_first, F.lit(ORIGIN)).otherwise(F.lit(INNER)))
-    return marked.drop("_start", "_next_seg", "_next_tms", "_first")
+    return rows.withColumn("marker", F.when(is_last, F.lit(DESTINATION))
+                           .when(is_first, F.lit(ORIGIN)).otherwise(F.lit(INNER)))
 
 
 def station_order() -> Column:
@@ -130,73 +137,149 @@ def od_from_marks(marks: DataFrame) -> DataFrame:
                       for name, src in OD_COLUMNS]))
 
 
-def _od_windows(taps: DataFrame, gap_seconds: int) -> DataFrame:
-    return od_from_marks(endpoint_marks(trip_segments(tap_gaps(taps), gap_seconds)))
-
-
-def _od_chunked(hot: DataFrame, chunks: int, gap_seconds: int, hot_keys: int) -> DataFrame:
+class _Chunks:
     """X10 for hot card-days: the window plan's steps as ordered chunk scans.
 
     ``lag`` of the epoch, the trip numbering, the carried first key and the
     ``lead`` that finds the end of the smallest-trip-id run all continue
-    across chunk edges through per-chunk summaries; equal (trip id, epoch)
-    keys never straddle a chunk, so the peer window stays local.  The first
-    and last station are minima/maxima per chunk combined per card-day.
+    across chunk edges; equal (trip id, epoch) keys never straddle a chunk, so
+    the peer windows stay local.  Two edge tables and one station table per
+    card-day: four reads of the checkpoint for the OD records.
     """
-    kid = skew.KID
-    order = ["tms_id", EPOCH]
-    total = order + GAP_TIE
-    base = (hot.withColumn(EPOCH, epoch_seconds(hot, "mark_trade_time"))
-            .withColumn("mask", flag(F.col("IO_TYPE") == "I")))
-    chunked = skew.assign_chunks(base, order, chunks, tie=GAP_TIE)
-    gaps = (skew.lag_in_order(chunked, EPOCH, total, 0, "_prev_epoch")
-            .withColumn("duration", F.col(EPOCH) - F.col("_prev_epoch")).drop("_prev_epoch")
-            .withColumn("new_mask", flag(F.col("duration") * F.col("mask") > gap_seconds)))
-    segs = skew.running_sum(gaps, "new_mask", order, "new_tms_id")
-    seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
-    steps = skew.lag_in_order(segs, "new_tms_id", total, None, "_prev_seg")
-    steps = skew.lead_in_order(steps, "new_tms_id", total, None, "_next_seg")
-    steps = skew.lead_in_order(steps, "tms_id", total, None, "_next_tms")
-    starts = F.col("_prev_seg").isNull() | (F.col("_prev_seg") != seg)
-    firsts = skew.fill_forward(
-        steps, F.when(starts, F.struct(tms.alias("t"), epoch.alias("e"))), total, "_first")
-    in_run = tms.eqNullSafe(F.col("_first.t"))
-    run_end = in_run & (F.col("_next_seg").isNull() | (F.col("_next_seg") != seg)
-                        | ~F.col("_next_tms").eqNullSafe(tms))
-    peers = Window.partitionBy(kid, skew.CHUNK, "tms_id", EPOCH)
-    is_first = in_run & epoch.eqNullSafe(F.col("_first.e"))
-    is_last = in_run & (F.max(flag(run_end)).over(peers) == 1)
-    marks = (firsts.withColumn("_endpoint", is_first | is_last)
-             .where(F.col("_endpoint")))
-    stations = skew.per_key(marks, total, {"_first_key": station_order()},
-                            {"_last_key": station_order()})
-    if hot_keys <= skew.MAX_BROADCAST_HOT_KEYS:
-        stations = F.broadcast(stations)
-    od = (marks.join(stations, [kid], "inner")
-          .withColumn("od_desc", F.concat(F.col("_first_key.station_name"), F.lit("-"),
-                                          F.col("_last_key.station_name")))
-          .withColumn("od_type", F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1))))
-    return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
+
+    def __init__(self, hot: DataFrame, chunks: int, gap_seconds: int = GAP_SECONDS,
+                 hot_keys: int = 1):
+        self.order = ["tms_id", EPOCH]
+        self.total = self.order + GAP_TIE
+        self.gap_seconds, self.hot_keys = gap_seconds, hot_keys
+        base = (hot.withColumn(EPOCH, epoch_seconds(hot, "mark_trade_time"))
+                .withColumn("mask", flag(F.col("IO_TYPE") == "I")))
+        self.chunked = skew.assign_chunks(base, self.order, chunks, tie=GAP_TIE)
+        self.columns = [c for c in hot.columns if c != skew.KID]
+
+    def segments(self) -> DataFrame:
+        """Gaps and trip numbers, and the neighbours' trip numbers and ids.
+
+        A chunk's first tap is the only one whose gap needs another chunk.  Its
+        opening counts for every tap of the chunk, so the sums inside leave it
+        out, and the edge table adds it with the openings of earlier chunks.
+        """
+        w, across = skew.in_chunk(self.total), skew.across_chunks()
+        epoch = F.col(EPOCH)
+        rows = self.chunked.withColumns({
+            "_is_first": F.row_number().over(w) == 1,
+            "_is_end": F.lead(F.lit(1)).over(w).isNull(),
+            "_prev": F.lag(EPOCH).over(w)})
+        rows = rows.withColumn("_opens", F.when(F.col("_is_first"), F.lit(0)).otherwise(
+            flag((epoch - F.col("_prev")) * F.col("mask") > self.gap_seconds)))
+        rows = rows.withColumn("_inner", F.sum("_opens").over(skew.in_chunk(self.order)))
+        edge = skew.edges(rows, self.total, [EPOCH, "mask", "tms_id", "_inner"], [EPOCH, "_inner"],
+                          ["_opens"])
+        edge = edge.withColumn("_edge_epoch", F.when(
+            F.row_number().over(across) == 1, F.lit(0)).otherwise(F.lag(f"last.{EPOCH}").over(across)))
+        edge = edge.withColumn("_edge_opens", flag(
+            (F.col(f"first.{EPOCH}") - F.col("_edge_epoch")) * F.col("first.mask") > self.gap_seconds))
+        opened = F.sum(F.col("_opens") + F.col("_edge_opens")).over(
+            across.rowsBetween(Window.unboundedPreceding, -1))
+        edge = edge.withColumn("_offset", F.coalesce(opened, F.lit(0)) + F.col("_edge_opens"))
+        edge = edge.select(
+            skew.KID, skew.CHUNK, "_edge_epoch", "_edge_opens", "_offset",
+            F.lag(F.col("_offset") + F.col("last._inner")).over(across).alias("_edge_prev_seg"),
+            F.lead(F.col("_offset") + F.col("first._inner")).over(across).alias("_edge_next_seg"),
+            F.lead("first.tms_id").over(across).alias("_edge_next_tms"))
+        first = F.col("_is_first")
+        rows = skew.attach(rows, edge).withColumns({
+            "duration": epoch - F.when(first, F.col("_edge_epoch")).otherwise(F.col("_prev")),
+            "new_mask": F.when(first, F.col("_edge_opens")).otherwise(F.col("_opens")),
+            "new_tms_id": F.col("_inner") + F.col("_offset")})
+        return rows.withColumn("new_io_type", F.when(F.col("new_mask") == 1, F.lit("I")).otherwise(
+            F.lit("O")))
+
+    def marks(self) -> DataFrame:
+        """Every tap with its marker; one more edge table carries each trip's first key."""
+        w, across = skew.in_chunk(self.total), skew.across_chunks()
+        seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
+        rows = self.segments()
+        rows = rows.withColumns({
+            "_prev_seg": F.when(F.col("_is_first"), F.col("_edge_prev_seg")).otherwise(
+                F.lag(seg).over(w)),
+            "_next_seg": F.when(F.col("_is_end"), F.col("_edge_next_seg")).otherwise(
+                F.lead(seg).over(w)),
+            "_next_tms": F.when(F.col("_is_end"), F.col("_edge_next_tms")).otherwise(
+                F.lead(tms).over(w))})
+        starts = F.col("_prev_seg").isNull() | (F.col("_prev_seg") != seg)
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumn("_fill", F.last(
+            F.when(starts, F.struct(tms.alias("t"), epoch.alias("e"))), ignorenulls=True).over(upto))
+        edge = skew.edges(rows, self.total, [], ["_fill"])
+        prior = F.last("last._fill", ignorenulls=True).over(
+            across.rowsBetween(Window.unboundedPreceding, -1))
+        rows = skew.attach(rows, edge.select(skew.KID, skew.CHUNK, prior.alias("_prior")))
+        rows = rows.withColumn("_first", F.coalesce("_fill", "_prior"))
+        peers = Window.partitionBy(skew.KID, skew.CHUNK, "tms_id", EPOCH)
+        return _marked(rows, peers)
+
+    def od(self) -> DataFrame:
+        marks = self.marks().where(F.col("marker").isin(ORIGIN, DESTINATION))
+        shared_dir(marks.sparkSession)
+        stations = marks.groupBy(skew.KID).agg(
+            F.min(station_order()).alias("_first_key"), F.max(station_order()).alias("_last_key")
+        ).checkpoint(eager=True)
+        # one row per hot card-day
+        stations = (F.broadcast(stations) if self.hot_keys <= skew.MAX_HOT_KEYS
+                    else stations.hint("merge"))
+        od = (marks.join(stations, [skew.KID], "inner")
+              .withColumn("od_desc", F.concat(F.col("_first_key.station_name"), F.lit("-"),
+                                              F.col("_last_key.station_name")))
+              .withColumn("od_type", F.when(F.col("IO_TYPE") == "I", F.lit(0)).otherwise(F.lit(1))))
+        return od.select(*[F.col(src).alias(name) for name, src in OD_COLUMNS])
+
+
+def _windows(taps: DataFrame, step: str, gap_seconds: int) -> DataFrame:
+    out = tap_gaps(taps)
+    if step != "gaps":
+        out = trip_segments(out, gap_seconds)
+    if step in ("marks", "records"):
+        out = endpoint_marks(out)
+    return od_from_marks(out) if step == "records" else out
+
+
+_STEP_COLUMNS = {"gaps": [EPOCH, "mask", "duration"],
+                 "segments": [EPOCH, "mask", "duration", "new_mask", "new_tms_id", "new_io_type"]}
+_STEP_COLUMNS["marks"] = [*_STEP_COLUMNS["segments"], "marker"]
+
+
+def od_part(taps: DataFrame, step: str = "records", hot: skew.HotKeys | None = None,
+            gap_seconds: int = GAP_SECONDS, rows_per_chunk: int = skew.ROWS_PER_CHUNK) -> DataFrame:
+    """One step of the cut (``gaps``, ``segments``, ``marks`` or ``records``) for taps
+    that are all of the hot card-days ``hot``, or (``hot`` None) of none."""
+    if hot is None:
+        return _windows(taps, step, gap_seconds)
+    chunks = _Chunks(skew.split_hot(taps, hot).hot, skew.chunk_count(hot.rows, rows_per_chunk),
+                     gap_seconds, hot.count)
+    if step == "records":
+        return chunks.od()
+    rows = chunks.marks() if step == "marks" else chunks.segments()
+    return rows.select(*taps.columns, *_STEP_COLUMNS[step])
 
 
 def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS,
-               hot_threshold: int | None = None,
+               hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
                rows_per_chunk: int = skew.ROWS_PER_CHUNK,
                hot_keys: skew.HotKeys | None = None) -> DataFrame:
     """Merged taps -> OD records (13 columns).
 
-    With ``hot_threshold`` set, card-days above that many taps are cut in
-    ordered chunks (``tapflow.operators.skew``); the rest take the
-    one-exchange window plan.  Results are identical.  A caller that
-    already knows a superset of the hot card-days passes ``hot_keys``.
+    Card-days above ``hot_threshold`` taps are cut in ordered chunks
+    (``tapflow.operators.skew``); the rest take the one-exchange window plan.
+    Results are identical.  A caller that already knows a superset of the hot
+    card-days passes ``hot_keys``; ``hot_threshold=None`` without them means
+    no split.
     """
-    if hot_keys is None and hot_threshold is None:
-        return _od_windows(taps, gap_seconds)
-    if hot_keys is None:
+    if hot_keys is None and hot_threshold is not None:
         hot_keys = skew.find_hot_keys(taps, CARD_DAY, hot_threshold)
     split = skew.split_hot(taps, hot_keys)
-    cold = _od_windows(split.cold, gap_seconds)
+    cold = _windows(split.cold, "records", gap_seconds)
     if split.hot is None:
         return cold
     chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
-    return cold.unionByName(_od_chunked(split.hot, chunks, gap_seconds, split.hot_keys))
+    return cold.unionByName(_Chunks(split.hot, chunks, gap_seconds, split.hot_keys).od())

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,13 @@ CARD_DAY = ["trade_date", "card_id"]
 
 
 class TapFlow:
-    """The chain of derived tables for one input folder (all lazy)."""
+    """The chain of derived tables for one input folder (all lazy).
+
+    Raw taps are split once, before anything else, into those of hot card-days
+    and the rest; every operator keeps the card-day, so the chain runs on each
+    part by itself, with plain windows on the one and ordered chunks on the
+    other.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str,
                  hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
@@ -39,25 +45,13 @@ class TapFlow:
         self.hot_threshold = hot_threshold
         self.rows_per_chunk = rows_per_chunk
 
-    @cached_property
-    def _facts(self) -> dict:
-        """One job: station row counts and key multiplicity, and the number of
-        raw bus and metro taps (a plain row count of each)."""
-        def taps(name: str) -> DataFrame:
-            return self.inputs[name].agg(F.lit(name).alias("table"),
-                                         F.count(F.lit(1)).alias("rows"),
-                                         F.lit(0).cast("bigint").alias("multiplicity"))
-        rows = (sites.site_fact_rows(self.inputs["bus_stations"], self.inputs["metro_stations"])
-                .unionByName(taps("bus_rides")).unionByName(taps("metro_taps")))
-        return {r["table"]: r for r in rows.collect()}
-
     @cached_property
     def site_facts(self) -> sites.SiteFacts:
-        """Station row counts (broadcast proofs) and key multiplicity."""
-        return sites.facts_from_rows(self._facts)
+        """Station row counts (broadcast proofs) and key multiplicity: one job."""
+        return sites.site_facts(self.inputs["bus_stations"], self.inputs["metro_stations"])
 
     @cached_property
-    def _hot(self) -> dict[str, skew.HotKeys | None]:
+    def hot(self) -> skew.HotKeys | None:
         """Hot card-days of both windowed stages from one count over raw taps.
 
         Metro cleaning sees exactly the metro taps.  The OD stage's rows per
@@ -69,34 +63,28 @@ class TapFlow:
         key.
         """
         if self.hot_threshold is None:
-            return {"metro": None, "od": None}
-        k = self.site_facts.multiplicity
-        metro_n = int(self._facts["metro_taps"]["rows"])
-        all_n = int(self._facts["bus_rides"]["rows"]) + metro_n
-        if metro_n <= self.hot_threshold and all_n * k <= self.hot_threshold:
-            # no card-day can hold more rows than all taps together
-            return {"metro": None, "od": None}
-        raw = (self.inputs["bus_rides"].select(*CARD_DAY, F.lit(0).alias("_metro"))
-               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY, F.lit(1).alias("_metro"))))
-        counts = raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_all"),
-                                            F.sum("_metro").alias("_metro"))
-        metro, bound = F.col("_metro"), F.col("_all") * k
-        return skew.hot_keys_by(counts, CARD_DAY, {
-            "metro": (metro > self.hot_threshold, metro),
-            "od": (bound > self.hot_threshold, bound),
-        })
+            return None
+        raw = (self.inputs["bus_rides"].select(*CARD_DAY)
+               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY)))
+        counts = raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_n"))
+        bound = F.col("_n") * max(1, self.site_facts.multiplicity)
+        return skew.hot_keys_by(counts, CARD_DAY, bound, self.hot_threshold)
 
-    @cached_property
-    def metro_hot(self) -> skew.HotKeys | None:
-        # with the station facts needed anyway, one job serves both stages;
-        # the metro cleaning alone counts only the metro taps
-        if self.hot_threshold is None or "site_facts" in self.__dict__:
-            return self._hot["metro"]
-        return skew.find_hot_keys(self.inputs["metro_taps"], CARD_DAY, self.hot_threshold)
+    def _chunks(self) -> int:
+        return skew.chunk_count(self.hot.rows, self.rows_per_chunk)
 
     @property
-    def od_hot(self) -> skew.HotKeys | None:
-        return self._hot["od"]
+    def _parts(self) -> list[bool]:
+        return [False] if self.hot is None else [False, True]
+
+    def _union(self, part) -> DataFrame:
+        frames = [part(hot) for hot in self._parts]
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    def _raw(self, name: str, hot: bool) -> DataFrame:
+        """The raw taps of hot card-days (with their key id), or of the others."""
+        split = skew.split_hot(self.inputs[name], self.hot)
+        return split.hot if hot else split.cold
 
     @cached_property
     def bus_cleaned(self) -> DataFrame:
@@ -104,45 +92,65 @@ class TapFlow:
 
     @cached_property
     def metro_trip_ids(self) -> DataFrame:
-        return clean.metro_trip_ids(self.inputs["metro_taps"])
+        return clean.number_trips(self.inputs["metro_taps"], None, self.rows_per_chunk, self.hot)
+
+    @cached_property
+    def _trip_keys(self) -> clean.TripKeys:
+        return clean.trip_keys(self.inputs["metro_taps"], None, self.rows_per_chunk, self.hot)
+
+    def _metro_cleaned(self, hot: bool) -> DataFrame:
+        chunks = self._chunks() if hot else None
+        return clean.clean_part(self._raw("metro_taps", hot), self._trip_keys, chunks)
 
     @cached_property
     def metro_cleaned(self) -> DataFrame:
-        return clean.clean_metro(self.inputs["metro_taps"], hot_keys=self.metro_hot,
-                                 rows_per_chunk=self.rows_per_chunk)
+        return self._union(self._metro_cleaned)
+
+    def _with_bus_site(self, rides: DataFrame) -> DataFrame:
+        ok = self.site_facts.bus_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
+        return sites.attach_bus_sites(rides, self.inputs["bus_stations"], broadcast=ok)
+
+    def _with_metro_site(self, taps: DataFrame) -> DataFrame:
+        ok = self.site_facts.metro_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
+        return sites.attach_metro_sites(taps, self.inputs["metro_stations"], broadcast=ok)
 
     @cached_property
     def bus_with_site(self) -> DataFrame:
-        ok = self.site_facts.bus_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
-        return sites.attach_bus_sites(self.bus_cleaned, self.inputs["bus_stations"],
-                                      broadcast=ok)
+        return self._with_bus_site(self.bus_cleaned)
 
     @cached_property
     def metro_with_site(self) -> DataFrame:
-        ok = self.site_facts.metro_rows <= sites.DEFAULT_MAX_BROADCAST_ROWS
-        return sites.attach_metro_sites(self.metro_cleaned, self.inputs["metro_stations"],
-                                        broadcast=ok)
+        return self._with_metro_site(self.metro_cleaned)
+
+    def _all_taps(self, hot: bool) -> DataFrame:
+        bus = self._with_bus_site(clean.clean_bus(self._raw("bus_rides", hot)))
+        metro = self._with_metro_site(self._metro_cleaned(hot))
+        return merge.merge_taps(bus, metro, by_card_day=not hot)
 
     @cached_property
     def all_taps(self) -> DataFrame:
-        return merge.merge_taps(self.bus_with_site, self.metro_with_site)
+        return self._union(self._all_taps)
+
+    def _od(self, step: str) -> DataFrame:
+        return self._union(lambda hot: trips.od_part(
+            self._all_taps(hot), step, self.hot if hot else None,
+            rows_per_chunk=self.rows_per_chunk))
 
     @cached_property
     def tap_gaps(self) -> DataFrame:
-        return trips.tap_gaps(self.all_taps)
+        return self._od("gaps")
 
     @cached_property
     def trip_segments(self) -> DataFrame:
-        return trips.trip_segments(self.tap_gaps)
+        return self._od("segments")
 
     @cached_property
     def endpoint_marks(self) -> DataFrame:
-        return trips.endpoint_marks(self.trip_segments)
+        return self._od("marks")
 
     @cached_property
     def od_records(self) -> DataFrame:
-        return trips.od_records(self.all_taps, hot_keys=self.od_hot,
-                                rows_per_chunk=self.rows_per_chunk)
+        return self._od("records")
 
     @cached_property
     def passenger_flow(self) -> DataFrame:
@@ -150,11 +158,16 @@ class TapFlow:
 
 
 def _scratch(spark: SparkSession, key: str) -> str:
-    return f"{shared_dir(spark)}/tapflow-out/{key}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared scratch root, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/tapflow-out/{key}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def _table_name(key: str) -> str:
-    return f"tapflow_{key}"
+    # unique, so that runs that share a catalog leave each other's tables alone
+    return f"tapflow_{key}_{uuid.uuid4().hex}"
 
 
 # --- sources and sinks -------------------------------------------------------

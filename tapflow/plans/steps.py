@@ -1,9 +1,10 @@
 """The ten batch steps: table(s) in, table out.
 
-Each step reads catalog tables (or a file / JDBC source), applies the
-operators and overwrites its output table, partitioned by ``trade_date``
-except for the station tables.  Every step takes its table names as
-arguments; connection options for JDBC come from the caller.
+Each step reads tables (or a file / JDBC source), applies the operators and
+overwrites its output table, partitioned by ``trade_date`` except for the
+station tables.  Every step takes its table names as arguments: catalog names,
+which need a catalog that outlives the process, or Parquet folders (a name with
+a slash).  Connection options for JDBC come from the caller.
 
 Order: (bus-load -> bus-clean), (metro-load -> metro-clean),
 (bus-sites-load, bus-clean -> bus-join-site),
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tapflow.operators import clean, flow, merge, sites, skew, trips
 from tapflow.sources import delimited, jdbc, schemas, tables
 
-PARTITION = "trade_date"
+PARTITION = tables.PARTITION
 
 
 @dataclass
@@ -37,7 +38,7 @@ class StepOptions:
 class Step:
     inputs: int
     run: Callable[[SparkSession, list[str], StepOptions], str]
-    preview_order: list[str]
+    preview_order: list[str] = field(default_factory=list)  # only for small tables
     preview_rows: int = 5
     help: str = ""
 
@@ -99,24 +100,21 @@ def _od_flow(spark, a, o):
 
 
 STEPS: dict[str, Step] = {
-    "bus-load": Step(2, _file_load(schemas.BUS_RIDE), ["card_id", "mark_time"],
+    "bus-load": Step(2, _file_load(schemas.BUS_RIDE),
                      help="<bus file> <table>: tab-separated bus rides -> table"),
-    "metro-load": Step(2, _file_load(schemas.METRO_TAP), ["card_id", "trade_time"],
+    "metro-load": Step(2, _file_load(schemas.METRO_TAP),
                        help="<metro file> <table>: tab-separated metro taps -> table"),
-    "bus-sites-load": Step(2, _jdbc_load, ["line_no", "station_id"],
+    "bus-sites-load": Step(2, _jdbc_load,
                            help="<jdbc table> <table>: bus stations over JDBC -> table"),
-    "metro-sites-load": Step(2, _jdbc_load, ["line_name", "station_id"],
+    "metro-sites-load": Step(2, _jdbc_load,
                              help="<jdbc table> <table>: metro stations over JDBC -> table"),
-    "bus-clean": Step(2, _bus_clean, ["card_id", "mark_trade_time"],
-                      help="<raw bus table> <cleaned table>"),
-    "metro-clean": Step(2, _metro_clean, ["card_id", "trade_time"],
-                        help="<raw metro table> <cleaned table>"),
-    "bus-join-site": Step(3, _bus_join, ["card_id", "mark_trade_time"],
+    "bus-clean": Step(2, _bus_clean, help="<raw bus table> <cleaned table>"),
+    "metro-clean": Step(2, _metro_clean, help="<raw metro table> <cleaned table>"),
+    "bus-join-site": Step(3, _bus_join,
                           help="<cleaned bus table> <bus station table> <output table>"),
-    "metro-join-site": Step(3, _metro_join, ["card_id", "trade_time"],
+    "metro-join-site": Step(3, _metro_join,
                             help="<cleaned metro table> <metro station table> <output table>"),
-    "merge": Step(3, _merge, ["card_id", "mark_trade_time"],
-                  help="<bus with site> <metro with site> <merged table>"),
+    "merge": Step(3, _merge, help="<bus with site> <metro with site> <merged table>"),
     "od-flow": Step(2, _od_flow, flow.FLOW_ORDER + ["station_name"], preview_rows=20,
                     help="<merged table> <flow table>"),
 }

@@ -21,7 +21,7 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tapflow") -> SparkSession:
+                app_name: str = "tapflow", checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a local session for tests, the bench and the CLI.
 
     On a cluster the session comes from ``spark-submit`` and its settings;
@@ -46,6 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", "8g")
         .config("spark.sql.parquet.writeLegacyFormat", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -55,6 +55,7 @@ FLOW_KEY = ["trade_date", "od_desc", "od_type", "station_name",
             "station_longitude", "station_latitude"]
 
 # The 13 columns of an OD record (alias -> source column).
+# The columns of the OD table, (name, source).
 OD_COLUMNS = [
     ("card_id", "card_id"), ("trade_date", "trade_date"),
     ("o_time", "mark_time"), ("o_line", "mark_line_id"), ("o_station", "mark_station"),

@@ -1,4 +1,4 @@
-"""Catalog tables: scan (S3), sinks (S4-S7), preview.
+"""Tables: scan (S3), sinks (S4-S7).  A name with a slash is a Parquet path.
 
 Tables are written as Parquet with overwrite semantics: the whole table is
 replaced, also partitions absent from the new data (as the reference does).
@@ -10,6 +10,9 @@ Reading goes through the catalog, so ``trade_date`` keeps its declared type
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+PARTITION = "trade_date"
 
 
 def qualified(db: str | None, table: str) -> str:
@@ -17,9 +20,21 @@ def qualified(db: str | None, table: str) -> str:
     return f"{db}.{table}" if db else table
 
 
+def is_path(name: str) -> bool:
+    return "/" in name
+
+
 def read_table(spark: SparkSession, table: str, db: str | None = None) -> DataFrame:
-    """S3: scan a catalog table by (qualified) name."""
-    return spark.table(qualified(db, table))
+    """S3: scan a catalog table by (qualified) name, or a Parquet folder by path.
+
+    A folder's partition column is read as text, as the catalog declares it
+    (Spark would infer a number from the folder names)."""
+    if not is_path(table):
+        return spark.table(qualified(db, table))
+    schema = spark.read.parquet(table).schema
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name == PARTITION else f.dataType)
+                         for f in schema])
+    return spark.read.schema(text).parquet(table)
 
 
 def register_parquet(spark: SparkSession, table: str, path: str, db: str | None = None) -> None:
@@ -32,7 +47,7 @@ def register_parquet(spark: SparkSession, table: str, path: str, db: str | None
 def write_table(df: DataFrame, table: str, db: str | None = None,
                 partition_by: str | None = None, path: str | None = None,
                 mode: str = "overwrite") -> None:
-    """Save ``df`` as a Parquet catalog table.
+    """Save ``df`` as a Parquet catalog table, or in the folder ``table``.
 
     ``partition_by`` names the optional partition column (S6).  ``path``
     makes the table external, at a location on shared storage.
@@ -40,12 +55,12 @@ def write_table(df: DataFrame, table: str, db: str | None = None,
     writer = df.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if is_path(table):
+        writer.save(table)
+        return
     if path:
         writer = writer.option("path", path)
+    if db:
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     writer.saveAsTable(qualified(db, table))
 
-
-def preview(spark: SparkSession, table: str, order: list[str], n: int = 5,
-            db: str | None = None) -> DataFrame:
-    """The first ``n`` rows of a table under a given order."""
-    return read_table(spark, table, db).orderBy(*order).limit(n)
