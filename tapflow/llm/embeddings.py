@@ -47,7 +47,8 @@ BLOCKS = 4
 #: Vectors that the pivots and budgets are fitted on, at most; every vector is joined.
 SAMPLE = 2_000
 MAX_COPIES = 4.0
-TILE = 2_000
+#: Vectors per tile, and per square of a tile pair that is multiplied at once.
+TILE, SQUARE = 10_000, 1_000
 SEED = 7
 SLACK = 1e-9
 
@@ -123,8 +124,8 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
 def _assign(space: Space, dim: int, vectors: bool):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for low in range(0, b.num_rows, TILE):
-                c = b.slice(low, TILE)
+            for low in range(0, b.num_rows, SQUARE):
+                c = b.slice(low, SQUARE)
                 parts = space.blocks(unit_vectors(_matrix(c.column(3), dim)))
                 for i, x in enumerate(parts):
                     home, guest, cell = cells(x, space.pivots[i], float(np.sqrt(space.budget[i])))
@@ -140,42 +141,57 @@ def _assign(space: Space, dim: int, vectors: bool):
     return assign
 
 
+def _within(x: np.ndarray, y: np.ndarray, budget: float) -> np.ndarray:
+    """Pairs whose squared distance may be within ``budget``: one single-precision
+    product of the vectors with their norms put beside them."""
+    def beside(v: np.ndarray, left: bool) -> np.ndarray:
+        half = -(v * v).sum(axis=1, keepdims=True) / 2
+        ones = np.ones_like(half)
+        return np.concatenate([v, *((half, ones) if left else (ones, half))], axis=1).astype(np.float32)
+    return beside(x, True) @ beside(y, False).T >= np.float32(-budget / 2 - 1e-4)
+
+
 def _links(space: Space, dim: int, cosine: float):
     """Rows of one tile pair -> its linked vectors: how many vectors each links,
-    and the smallest id of its component inside the tile pair."""
+    and the smallest id of its component inside the tile pair.  The pair's
+    matrix is handled in squares of ``SQUARE`` rows; only squares with links stay."""
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in key_groups(batches, 4):
             block, _, lo, hi = (group.column(i)[0].as_py() for i in range(4))
             tile, home, rep, ck, copies = (group.column(k).to_numpy()
                                            for k in ("_tile", "home", "rep", "ck", "copies"))
             unit = unit_vectors(_matrix(group.column("embedding"), dim))
-            a, b = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
             parts = space.blocks(unit)
-            near = squared(parts[block][a], parts[block][b]) <= space.budget[block]
-            near &= home[a][:, None] | home[b][None, :]  # two guests meet elsewhere
-            if lo == hi:
-                near &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
-            keep_a, keep_b = near.any(axis=1), near.any(axis=0)
-            if not keep_a.any():
-                continue
-            a, b, near = a[keep_a], b[keep_b], near[np.ix_(keep_a, keep_b)]
-            near &= unit[a] @ unit[b].T >= cosine
-            for i in range(block):  # counted by the first block that finds the pair
-                if near.any():
-                    near &= squared(parts[i][a], parts[i][b]) > space.budget[i]
-            far = np.iinfo(np.int64).max
+            left, right = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
             n = np.zeros(len(rep), dtype=np.int64)
-            np.add.at(n, a, near @ copies[b])
-            np.add.at(n, b, near.T @ copies[a])
-            label = rep.copy()
-            while True:
-                left = np.where(near, label[b][None, :], far).min(axis=1, initial=far)
-                np.minimum.at(label, a, left)
-                right = np.where(near, label[a][:, None], far).min(axis=0, initial=far)
+            squares = []
+            for i in range(0, len(left), SQUARE):
+                for j in range(i if lo == hi else 0, len(right), SQUARE):
+                    a, b = left[i: i + SQUARE], right[j: j + SQUARE]
+                    near = _within(parts[block][a], parts[block][b], space.budget[block])
+                    near &= home[a][:, None] | home[b][None, :]  # two guests meet elsewhere
+                    if lo == hi and i == j:
+                        near &= np.tri(len(a), len(b), -1, dtype=bool).T
+                    keep_a, keep_b = near.any(axis=1), near.any(axis=0)
+                    if not keep_a.any():
+                        continue
+                    a, b, near = a[keep_a], b[keep_b], near[np.ix_(keep_a, keep_b)]
+                    near &= unit[a] @ unit[b].T >= cosine
+                    near &= squared(parts[block][a], parts[block][b]) <= space.budget[block]
+                    for k in range(block):  # counted by the first block that finds the pair
+                        if near.any():
+                            near &= squared(parts[k][a], parts[k][b]) > space.budget[k]
+                    if near.any():
+                        np.add.at(n, a, near @ copies[b])
+                        np.add.at(n, b, near.T @ copies[a])
+                        squares.append((a, b, near))
+            far = np.iinfo(np.int64).max
+            label, before = rep.copy(), None
+            while before is None or (before != label).any():
                 before = label.copy()
-                np.minimum.at(label, b, right)
-                if (before == label).all():
-                    break
+                for a, b, near in squares:
+                    np.minimum.at(label, a, np.where(near, label[b][None, :], far).min(axis=1))
+                    np.minimum.at(label, b, np.where(near, label[a][:, None], far).min(axis=0))
             at = np.flatnonzero(n)
             if len(at):
                 yield pa.RecordBatch.from_arrays(
