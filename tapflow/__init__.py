@@ -14,7 +14,6 @@ Sub-packages
                the skew-safe helpers used for hot card-days.
 ``plans``      the named batch steps (table in -> table out) and the query
                registry used by ``__spark_entry__.py``.
-``streaming``  intentionally empty: the reference has no streaming job.
 """
 
 from tapflow.session import get_session, shared_dir

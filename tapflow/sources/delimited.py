@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tapflow.sources.tables import write_table
+from tapflow.sources.tables import read_table, write_table
 
 # Fixed value: the field separator of tap files.
 SEPARATOR = "\t"
@@ -55,4 +55,4 @@ def load_file_to_table(spark: SparkSession, path: str, schema: T.StructType,
     """
     df = read_delimited(spark, path, schema)
     write_table(df, table, db=db, partition_by=partition_by, path=table_path)
-    return spark.table(f"{db}.{table}" if db else table)
+    return read_table(spark, table, db)

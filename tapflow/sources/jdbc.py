@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapflow.sources.tables import write_table
+from tapflow.sources.tables import read_table, write_table
 
 
 def read_jdbc(spark: SparkSession, options: dict[str, str],
@@ -35,4 +35,4 @@ def load_jdbc_to_table(spark: SparkSession, options: dict[str, str], table: str,
                        **partitioning) -> DataFrame:
     """S9 (X3, X4): copy a JDBC table into an unpartitioned catalog table."""
     write_table(read_jdbc(spark, options, **partitioning), table, db=db, path=table_path)
-    return spark.table(f"{db}.{table}" if db else table)
+    return read_table(spark, table, db)

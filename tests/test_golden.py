@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapflow.functions.columns import line_number
-from tapflow.operators.clean import clean_metro
+from tapflow.operators.clean import (anti_single_tap, clean_metro, drop_repeated_direction,
+                                     metro_trip_ids)
 from tapflow.operators.merge import merge_taps
 from tapflow.operators.trips import endpoint_marks, od_records, tap_gaps, trip_segments
 from tapflow.sources.schemas import MERGED_COLUMNS, metro_tap_schema
@@ -41,13 +42,34 @@ def test_metro_clean_golden(spark):
     want = [("c1", 1, "I"), ("c1", 2, "O"), ("c2", 3, "I"), ("c2", 4, "O"),
             ("c4", 5, "I"), ("c4", 5, "O")]
     assert kept(clean_metro(taps)) == want
-    assert kept(clean_metro(taps, exact_trip_key=True)) == want
     # the same rules through the chunked path, every card-day hot, tiny chunks
     assert kept(clean_metro(taps, hot_threshold=0, rows_per_chunk=2)) == want
     peers = clean_metro(taps).where(F.col("card_id") == "c4").select("tms_id").collect()
     assert {r.tms_id for r in peers} == {1}
 
 
+def test_one_tap_trips_by_key_string(spark):
+    """The rule counts the printed key: card-days that print alike keep each other's taps."""
+    rows = [("d1", "a_1", 1, "I"), ("d1_a", "1", 1, "I"),      # same key, one tap each: both stay
+            ("d2_c", None, 1, "I"), ("d2", "c", 1, "I"), ("d2", "c", 2, "O"),  # named by a plain card-day
+            ("d3_e", None, 1, "I"), ("d3", "e", 1, "I"),        # both alone, same key: both stay
+            ("d4", None, 1, "I"), (None, "d5", 1, "I"), ("d6", "x_y", 1, "I"),  # alone, no namesake
+            ("d7", None, 1, "I"), (None, "d7", 1, "I"),          # nulls print alike: both stay
+            ("d8", "p", 1, "I"), ("d8", "q", 1, "I"), ("d8", "q", 2, "O")]
+    schema = metro_tap_schema(NTZ)
+    taps = spark.createDataFrame([(card, "01", "1", "S", "D1", t(8, m), io, day)
+                                  for day, card, m, io in rows], schema)
+
+    def what(df):
+        return sorted(((r.trade_date, r.card_id, r.trade_time.minute) for r in df.collect()), key=str)
+
+    want = what(drop_repeated_direction(anti_single_tap(metro_trip_ids(taps))))
+    assert len(want) == 11 and ("d1", "a_1", 1) in want and ("d8", "p", 1) not in want
+    assert what(clean_metro(taps)) == want
+    assert what(clean_metro(taps, hot_threshold=0, rows_per_chunk=1)) == want
+    assert what(clean_metro(taps, hot_threshold=1, rows_per_chunk=1)) == want
+
+
 def merged(spark, rows):
     """rows: (card, trip, time, direction, station)."""
     schema = T.StructType([

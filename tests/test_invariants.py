@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from tapflow.operators import clean, sites, trips
+from tapflow.operators import clean, merge, sites, trips
 from tapflow.plans.queries import TapFlow
 
 
@@ -19,8 +19,8 @@ def test_metro_clean_direction_alternates(spark):
 
 def test_anti_join_form_equals_window_form(spark):
     taps = TapFlow(spark, SF0001).inputs["metro_taps"]
-    a = clean.clean_metro(taps, exact_trip_key=True)
     b = clean.clean_metro(taps)
+    a = clean.drop_repeated_direction(clean.anti_single_tap(clean.metro_trip_ids(taps))).select(*b.columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -39,8 +39,11 @@ def test_chunked_path_matches_windows(spark):
     plain = TapFlow(spark, SF0001, hot_threshold=None)
     # every card-day hot, ~20 rows per chunk: exercises every carry between chunks
     hot = TapFlow(spark, SF0001, hot_threshold=0, rows_per_chunk=20)
-    for a, b in ((plain.metro_cleaned, hot.metro_cleaned), (plain.od_records, hot.od_records)):
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for key in ("metro_trip_ids", "metro_cleaned", "all_taps", "tap_gaps", "trip_segments",
+                "endpoint_marks", "od_records"):
+        a, b = getattr(plain, key), getattr(hot, key)
+        b = b.select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, key
 
 
 def test_duplicate_site_keys(spark):
@@ -51,7 +54,44 @@ def test_duplicate_site_keys(spark):
 
 def test_station_join_is_broadcast(spark):
     plan = TapFlow(spark, SF0001).bus_with_site._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_station_join_by_shuffle_and_duplicate_stations(spark):
+    """A station listed twice doubles its taps, by broadcast and by shuffle alike."""
+    tf = TapFlow(spark, SF0001)
+    stations = tf.inputs["bus_stations"]
+    twice = stations.unionByName(stations.where("station_id = '3'").withColumn("station_id", F.lit("103")))
+    plain = tf.bus_with_site
+    double = sites.attach_bus_sites(tf.bus_cleaned, twice, broadcast=True)
+    by_shuffle = sites.attach_bus_sites(tf.bus_cleaned, twice, broadcast=False)
+    assert double.exceptAll(by_shuffle).count() == 0 and by_shuffle.exceptAll(double).count() == 0
+    assert double.count() == plain.count() + plain.where("station_id = '3'").count() > plain.count()
+
+
+def test_merge_drops_duplicate_taps(spark):
+    tf = TapFlow(spark, SF0001)
+    bus, metro = tf.bus_with_site, tf.metro_with_site
+    once = tf.all_taps.count()
+    for by_card_day in (True, False):
+        taps = merge.merge_taps(bus.unionAll(bus), metro.unionAll(metro), by_card_day)
+        assert taps.count() == once
+
+
+def test_chain_exchanges(spark):
+    """Metro cleaning, then the merged rows once: the OD cut adds no exchange."""
+    plan = TapFlow(spark, SF0001).od_records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_hot_rows_are_scanned_once_per_pass(spark):
+    hot = TapFlow(spark, SF0001, hot_threshold=0, rows_per_chunk=50)
+    plan = hot.od_records._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "Scan ExistingRDD" in line and "mark_trade_time" in line]
+    assert len(reads) == 1  # the final pass; three edge and station tables took one each
+    metro = clean.clean_metro(hot.inputs["metro_taps"], hot_threshold=0, rows_per_chunk=50)
+    plan = metro._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Scan ExistingRDD" in x and "trade_time" in x]) == 1
 
 
 def test_od_cut_single_exchange(spark):

@@ -9,10 +9,10 @@ from tapflow.plans.queries import TapFlow
 HOT_CARD = "HOT"
 
 
-def skewed(df, time_col="trade_time"):
+def skewed(df, time_col="trade_time", card=HOT_CARD):
     # every third tap is re-assigned to one card (and to one day)
     hot = (F.abs(F.hash(time_col)) % 3) == 0
-    return (df.withColumn("card_id", F.when(hot, F.lit(HOT_CARD)).otherwise(F.col("card_id")))
+    return (df.withColumn("card_id", F.when(hot, F.lit(card)).otherwise(F.col("card_id")))
               .withColumn("trade_date", F.when(hot, F.lit("20240101"))
                           .otherwise(F.col("trade_date"))))
 
@@ -50,3 +50,29 @@ def test_od_skewed_matches_windows(spark):
     plain = trips.od_records(taps)
     chunked = trips.od_records(taps, hot_threshold=500, rows_per_chunk=200)
     assert same(plain, chunked)
+
+
+def test_null_card_takes_a_third(spark):
+    taps = skewed(TapFlow(spark, SF001).inputs["metro_taps"], card=None)
+    plain = clean.clean_metro(taps, hot_threshold=None)
+    chunked = clean.clean_metro(taps, hot_threshold=500, rows_per_chunk=200)
+    assert same(plain, chunked)
+    ids = clean.number_trips(taps, hot_threshold=500, rows_per_chunk=200)
+    assert same(clean.metro_trip_ids(taps), ids)
+
+
+def test_fallbacks_without_broadcast(spark, monkeypatch):
+    """Every table that is broadcast behind a count is joined by shuffle beyond it."""
+    tf = TapFlow(spark, SF001, hot_threshold=None)
+    metro, merged = skewed(tf.inputs["metro_taps"], card=None), skewed(tf.all_taps, "mark_trade_time")
+    plain, od = clean.clean_metro(metro, hot_threshold=None), trips.od_records(merged, hot_threshold=None)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 0)
+    assert same(plain, clean.clean_metro(metro, hot_threshold=500, rows_per_chunk=200))
+    assert same(od, trips.od_records(merged, hot_threshold=500, rows_per_chunk=200))
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    taps = skewed(TapFlow(spark, SF001).inputs["metro_taps"])
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=0)
+    assert 1 <= hot.count <= 5

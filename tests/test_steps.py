@@ -1,5 +1,8 @@
 """The ten steps chained through catalog tables equal the in-memory chain."""
 
+import os
+import subprocess
+import sys
 import uuid
 
 from conftest import SF0001
@@ -43,3 +46,29 @@ def test_steps_chain_matches_queries(spark):
     got = out.select(*cols)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*cols)).count() == 0
+
+
+def test_steps_as_processes_over_folders(spark, tmp_path):
+    """Load to flow, every step in a process of its own, tables as Parquet folders."""
+    tf = TapFlow(spark, SF0001)
+    delimited.write_delimited(tf.inputs["bus_rides"], f"{tmp_path}/in/bus")
+    delimited.write_delimited(tf.inputs["metro_taps"], f"{tmp_path}/in/metro")
+    for mode in ("bus", "metro"):
+        tf.inputs[f"{mode}_stations"].write.parquet(f"{tmp_path}/{mode}_stations")
+    chain = [["bus-load", "in/bus", "s_bus"], ["metro-load", "in/metro", "s_metro"],
+             ["bus-clean", "s_bus", "c_bus"], ["metro-clean", "s_metro", "c_metro"],
+             ["bus-join-site", "c_bus", "bus_stations", "w_bus"],
+             ["metro-join-site", "c_metro", "metro_stations", "w_metro"],
+             ["merge", "w_bus", "w_metro", "all"], ["od-flow", "all", "flow"]]
+    env = os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    conf = "--conf spark.checkpoint.dir=" + f"{tmp_path}/shared" + " --conf spark.sql.shuffle.partitions=4 pyspark-shell"
+    for step, *names in chain:
+        done = subprocess.run([sys.executable, "-m", "tapflow", step, *[f"{tmp_path}/{n}" for n in names]],
+                              env=env | {"PYSPARK_SUBMIT_ARGS": conf}, cwd=tmp_path, capture_output=True,
+                              text=True, timeout=240)
+        assert done.returncode == 0, done.stderr[-2000:]
+    want = tf.passenger_flow
+    got = tables.read_table(spark, f"{tmp_path}/flow")
+    assert dict(got.dtypes)["trade_date"] == "string"
+    got = got.select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
