@@ -23,7 +23,8 @@ from tapflow.session import get_session  # noqa: E402
 
 TIMED_RUNS = 2
 HEADLINE = ["bus_cleaned", "metro_cleaned", "bus_with_site", "metro_with_site", "all_taps",
-            "od_records", "passenger_flow", "flow_preview"]
+            "od_records", "passenger_flow", "flow_preview",
+            "metro_cleaned_chunked", "od_records_chunked"]
 
 
 def run(df) -> None:
