@@ -7,7 +7,7 @@ import zlib
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF0001
+from conftest import SF001, SF0001
 from oracle_check import compare, duck
 
 SPACE = "\x20\x09-\x0D"
@@ -112,10 +112,12 @@ def secret_base(text):
     return [f"{k}:{s}:{e}" for s, _, k, e in sorted(found)]
 
 
-def test_op7_base_spans(spark, docs):
+def test_op7_base_spans(spark):
+    """On sf0.01: the smallest table holds no secret."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     seen = 0
-    for r in run(spark, "op7_entropy_windows").collect():
-        base = secret_base(docs[r.doc_id].text)
+    for r in entry.queries()["op7_entropy_windows"](spark, SF001).collect():
+        base = secret_base(docs[r.doc_id])
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(b.startswith(k) for b in base) for k, _, _ in SECRETS]
         assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [x for x in r.spans.split(",") if x and not x.startswith("entropy:")] == base
@@ -164,8 +166,8 @@ def test_op8_fixed_rules(spark):
 
 
 def test_op9_held_out_accuracy(spark):
-    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
-    rows = entry.queries()["op9_quality_trees"](spark, "/root/testdata/sf0.01").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
+    rows = entry.queries()["op9_quality_trees"](spark, SF001).collect()
     assert len(rows) == 1000
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
