@@ -6,10 +6,15 @@ association rules:
 
 * A url is a set of tokens: scheme, host suffixes, path words, file ending,
   query keys and values, and whether it has a fragment.
-* Labelled urls (``labels`` by page id: bad when quality is 0 or toxic is 1)
-  are transactions of their tokens and the label; Spark's FP-growth mines the
-  token combinations, and the rules "tokens -> bad" are pruned by support,
-  confidence and by any shorter rule that is as confident.
+* Labels belong to urls: a url is bad when a listed word (``HOST_WORDS``,
+  ``PATH_WORDS``) stands in its host or path, and good otherwise (``marked``).
+  The ``labels`` table is not used: it covers ids of ``documents``, and equal
+  ids of ``pages`` are other things.  Fixed verdicts are no labels either: what
+  a fixed rule says holds inside its host and path only.  ``mine`` takes
+  labels by page id (bad when quality is 0 or toxic is 1) where there are some.
+* Labelled urls are transactions of their tokens and the label; Spark's
+  FP-growth mines the token combinations, and the rules "tokens -> bad" are
+  pruned by support, confidence and by any shorter rule that is as confident.
 * Inverted index: each rule is filed under its rarest token.  A url's tokens
   meet the index, the rule's other tokens are checked in place, and the most
   confident rule that holds gives the verdict (block); without one: allow.
@@ -40,6 +45,9 @@ MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.004, 20, 0.6
 #: Rules that are broadcast at most.
 MAX_BROADCAST_RULES = 20_000
 BAD = "=bad"
+#: Words (whole, between non-letters) that make a url bad: in its host, and in its path.
+HOST_WORDS = ("adult", "bet", "bets", "betting", "casino", "casinos", "pills", "poker", "porn", "viagra", "xxx")
+PATH_WORDS = ("casino", "casinos", "porn", "viagra", "xxx")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,16 +87,32 @@ def tokens(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), every).otherwise(F.array().cast("array<string>"))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
-         min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules as rows (key, items, confidence, support): key is the rarest token
-    of ``items``.  Empty when there is nothing to learn from."""
+def _holds(text: Column, words: tuple[str, ...]) -> Column:
+    return F.arrays_overlap(F.split(text, "[^\\p{L}]+"), F.array(*map(F.lit, words)))
+
+
+def marked(pages: DataFrame) -> DataFrame:
+    """The distinct urls of ``pages`` with ``_bad``: 1 when a listed word stands in host or path."""
+    path = F.translate(path_of(F.col("url")), UPPER, LOWER)
+    bad = _holds(host_of(F.col("url")), HOST_WORDS) | _holds(path, PATH_WORDS)
+    return pages.select("url").where("url is not null").distinct().withColumn("_bad", bad.cast("int"))
+
+
+def mine(pages: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """``learn`` from labels by page id; a url with several labels is bad when one of them says so."""
     bad = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
         F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("_bad")).where("_bad is not null")
-    marked = (pages.select(F.col("page_id").cast("long").alias("_id"), tokens(F.col("url")).alias("items"))
-              .where("size(items) > 0").join(bad, "_id"))
-    baskets = cut(marked.select(F.when(F.col("_bad") == 1, F.concat("items", F.array(F.lit(BAD))))
-                                .otherwise(F.col("items")).alias("items")))
+    return learn(pages.select(F.col("page_id").cast("long").alias("_id"), "url").join(bad, "_id")
+                 .groupBy("url").agg(F.max("_bad").alias("_bad")), **options)
+
+
+def learn(urls: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int = MIN_ROWS,
+          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules from distinct urls with ``_bad`` (0 or 1) as rows (key, items, confidence,
+    support): key is the rarest token of ``items``.  Empty when there is nothing to learn from."""
+    rows = urls.select("_bad", tokens(F.col("url")).alias("items")).where("size(items) > 0")
+    baskets = cut(rows.select(F.when(F.col("_bad") == 1, F.concat("items", F.array(F.lit(BAD))))
+                              .otherwise(F.col("items")).alias("items")))
     empty = baskets.sparkSession.createDataFrame(
         [], "key string, items array<string>, confidence double, support double")
     n = baskets.count()
@@ -132,4 +156,4 @@ def judge(pages: DataFrame, rules: DataFrame, max_broadcast: int = MAX_BROADCAST
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return judge(pages, mine(pages, table(spark, sf_dir, "labels")))
+    return judge(pages, learn(marked(pages)))

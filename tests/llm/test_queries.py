@@ -9,7 +9,9 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF001, SF0001
 from oracle_check import compare, duck
+from tapflow.llm import urls
 
+SF01 = "/root/testdata/sf0.1"
 SPACE = "\x20\x09-\x0D"
 SQL = sorted(k for k in entry.oracle_sql() if k.startswith("op"))
 
@@ -165,6 +167,16 @@ def test_op8_fixed_rules(spark):
         assert r.verdict == (max(fit)[2] if fit else "block" if r.mined else "allow")
 
 
+def test_op8_mines_rules_from_the_given_pages(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").cache()
+    assert urls.learn(urls.marked(pages)).count() > 0
+    rows = entry.queries()["op8_url_rules"](spark, SF01).collect()
+    assert any(r.mined for r in rows)
+    spam = {h for h in (r.host for r in rows) if re.search("casino|bets|pills|adult", h)}
+    assert {r.host for r in rows if r.mined} <= spam
+    assert all(r.verdict == "block" for r in rows if re.search("casino-win|free-bets", r.host) and not r.rule)
+
+
 def test_op9_held_out_accuracy(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
     rows = entry.queries()["op9_quality_trees"](spark, SF001).collect()
