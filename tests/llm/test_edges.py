@@ -249,6 +249,54 @@ def test_mined_rules_against_counts(spark):
     assert rows(slow) == sorted(map(tuple, judged), key=str)
 
 
+def test_mined_rules_at_a_fixed_number_of_rows(spark):
+    """22 bad urls of one host, and 22 with one word over as many domains, among 6,000."""
+    data = [(i, f"http://spam.net/{i}" if i < 22 else f"http://x{i}-pillz{i}.d{i}.net/{i}" if i < 44 else f"http://h{i % 50}.net/{i}")
+            for i in range(6000)]
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 44), 0) for i in range(6000)], "doc_id long, quality int, toxic int")
+    rules = urls.mine(pages, labels)
+    assert {("host:spam.net",), ("word:pillz",)} <= {tuple(r["items"]) for r in rules.collect()}
+    assert {r.page_id for r in urls.judge(pages, rules).collect() if r.verdict == "block"} == set(range(44))
+
+
+def test_mined_rules_are_all_rules(spark, monkeypatch):
+    from itertools import combinations
+    import random
+    rng = random.Random(4)
+    data = []
+    for i in range(300):
+        host, key, end = rng.choice(("aa", "bb", "cc")), rng.choice(("p=1", "q=2", "p=1&r=3", "")), rng.choice((".html", "/", ""))
+        odds = 0.9 if host == "aa" and "p" in key else 0.7 if end == "/" and key else 0.15
+        data.append((i, f"http://{host}.net/{i}{end}?{key}", int(host == "cc" and "r" in key or rng.random() < odds)))
+    pages = spark.createDataFrame([d[:2] for d in data], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1 - bad, 0) for i, _, bad in data], "doc_id long, quality int, toxic int")
+    baskets = [(frozenset(r.t), data[r.page_id][2]) for r in
+               pages.select("page_id", urls.tokens(F.col("url")).alias("t")).collect()]
+    every = sorted(frozenset.union(*(b for b, _ in baskets)))
+    rules = {}
+    for k in range(1, 6):
+        for items in combinations([t for t in every if sum(t in b for b, _ in baskets) >= 10], k):
+            hold = [bad for b, bad in baskets if b.issuperset(items)]
+            if sum(hold) >= 10 and sum(hold) >= 0.6 * len(hold):
+                rules[items] = sum(hold) / len(hold)
+    want = {i: round(c, 9) for i, c in rules.items()
+            if not any(rules.get(i[:j] + i[j + 1:], 0) >= c for j in range(len(i)))}
+    assert max(map(len, want)) > 1
+    got = urls.mine(pages, labels, min_rows=10)
+    assert {tuple(r["items"]): round(r.confidence, 9) for r in got.collect()} == want
+    monkeypatch.setattr(urls, "MAX_BROADCAST_RULES", 0)
+    assert rows(urls.mine(pages, labels, min_rows=10)) == rows(got)
+
+
+def test_listed_words_block_at_any_support(spark):
+    data = ["http://a.cheap-pills.net/1", "http://a.b.casino/", "https://x.net/Casino2/x", "http://pillsbury.net/adult"]
+    pages = spark.createDataFrame(list(enumerate(data)), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, urls.listed(urls.learn(urls.marked(pages)))).collect()}
+    assert [got[i].verdict for i in range(4)] == ["block"] * 3 + ["allow"]
+    assert [got[i].mined for i in range(4)] == ["word:pills", "host:casino", "path:casino", None]
+
+
 def test_quality(docs, labels):
     model = quality.train(docs, labels)
     got = quality.score(docs, model)
