@@ -17,9 +17,10 @@ of 8 words unchanged; shorter items are no evidence and are ignored).
 
 The benchmark is cut into segments and joined in blocks of at most about
 ``MAX_SEEDS`` seeds, so the broadcast is bounded at any benchmark size (each
-block is one more scan of the documents).
+block is one more scan of the documents).  Equal segments are broadcast once,
+without item ids; those join the verified windows by shuffle.
 
-Scale: one scan of the documents, and one shuffle of the few verified windows.
+Scale: one scan of the documents, and shuffles of the few verified windows.
 
 Defined cases: null and empty texts overlap nothing; rows with one id are
 reported together (a null id like any other); equal items are each reported;
@@ -87,23 +88,26 @@ def _around(words: str, at: str) -> tuple[Column, Column]:
     return F.slice(words, start + 1, F.lit(2 * WINDOW)), start
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame:
-    """One row per document and item that overlap: the ``ids`` columns of
-    ``docs``, item_id, first_word and last_word (0-based, of the matched words
-    in the document, over all its matched windows)."""
+def segments(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct segments of the items (_segment, _g), and the items of each
+    (_segment, item_id): equal items are one row of the first table only."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              _word_hashes(F.col("text")).alias("_all")).where(f"size(_all) >= {MIN_WORDS}")
     starts = F.expr(f"sequence(0, greatest(0, size(_all) - {WINDOW}), {SEGMENT})")
-    segments = items.select("item_id", "_all", F.explode(starts).alias("_at")).select(
+    every = cut(items.select("item_id", "_all", F.explode(starts).alias("_at")).select(
         "item_id", F.slice("_all", F.col("_at") + 1, F.lit(SEGMENT + WINDOW - 1)).alias("_g"))
-    segments = cut(segments.groupBy("_g").agg(F.collect_set("item_id").alias("_items"))
-                   .withColumn("_segment", F.xxhash64("_g")))
-    seeds = segments.agg(F.coalesce(F.sum(F.size("_g")), F.lit(0))).first()[0] * len(MASKS)
+        .withColumn("_segment", F.xxhash64("_g")))
+    return cut(every.select("_segment", "_g").distinct()), every.select("_segment", "item_id").distinct()
+
+
+def _matches(docs: DataFrame, parts: DataFrame, ids: list[str]) -> DataFrame:
+    """One row per matched window: ``ids``, _segment, first_word, last_word."""
+    seeds = parts.agg(F.coalesce(F.sum(F.size("_g")), F.lit(0))).first()[0] * len(MASKS)
     blocks = max(1, -(-seeds // MAX_SEEDS))
     words = docs.select(*ids, _word_hashes(F.col("text")).alias("_h"))
     found = []
     for i in range(blocks):
-        part = segments.where(F.pmod(F.col("_segment"), F.lit(blocks)) == i)
+        part = parts.where(F.pmod(F.col("_segment"), F.lit(blocks)) == i)
         keyed = _seeds(part.select("_segment", F.col("_g").alias("_h")), "_q").drop("_h", "span")
         # both broadcasts hold one block: about MAX_SEEDS seeds, and their words; a hit
         # keeps the words around it only, as a long text may have very many
@@ -112,24 +116,32 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame
             *ids, "_p", "_q", "span", "_segment", words_x.alias("_x"), from_x.alias("_from"),
             F.size("_h").alias("_n"))
         words_y, from_y = _around("_g", "_q")
-        hits = hits.join(F.broadcast(part.select("_segment", "_g", "_items")), "_segment").select(
-            *ids, "_p", "_q", "span", "_x", "_from", "_n", "_items", words_y.alias("_y"),
+        hits = hits.join(F.broadcast(part), "_segment").select(
+            *ids, "_p", "_q", "span", "_x", "_from", "_n", "_segment", words_y.alias("_y"),
             from_y.alias("_start"), F.size("_g").alias("_m"))
-        good = hits.select(*ids, "_items", (F.col("_p") - F.col("_q")).alias("_d"), "_m",
+        good = hits.select(*ids, "_segment", (F.col("_p") - F.col("_q")).alias("_d"), "_m",
                            F.explode_outer(_windows()).alias("_a")).where("_a is not null")
         found.append(good.select(
-            *ids, "_items", (F.col("_d") + F.col("_a")).alias("first_word"),
+            *ids, "_segment", (F.col("_d") + F.col("_a")).alias("first_word"),
             (F.col("_d") + F.col("_a") + F.least(F.lit(WINDOW), F.col("_m")) - 1).alias("last_word")))
-    every = reduce(DataFrame.unionByName, found)
-    return (every.select(*ids, F.explode("_items").alias("item_id"), "first_word", "last_word")
-            .groupBy(*ids, "item_id").agg(F.min("first_word").alias("first_word"),
-                                          F.max("last_word").alias("last_word")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame:
+    """One row per document and item that overlap: the ``ids`` columns of
+    ``docs``, item_id, first_word and last_word (0-based, of the matched words
+    in the document, over all its matched windows)."""
+    parts, owners = segments(benchmark)
+    span = [F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word")]
+    every = _matches(docs, parts, ids).groupBy(*ids, "_segment").agg(*span)
+    # by shuffle: a segment may be in any number of items
+    return every.join(owners.hint("merge"), "_segment").groupBy(*ids, "item_id").agg(*span)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that overlap no benchmark item."""
     rows = keyed(docs)
-    bad = overlaps(rows.select("_k1", "_k2", "_row.text"), benchmark, ["_k1", "_k2"])
+    bad = _matches(rows.select("_k1", "_k2", "_row.text"), segments(benchmark)[0], ["_k1", "_k2"])
     return rows.join(bad.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_anti").select("_row.*")
 
 

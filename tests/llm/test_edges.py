@@ -76,6 +76,15 @@ def test_decontaminate_blocks(docs, bench, monkeypatch):
     assert {r[0] for r in whole} == {9, 10, 11, 12}
 
 
+def test_decontaminate_equal_items(docs, bench):
+    """One text under 500 ids: one row to broadcast, and all 500 reported."""
+    same = bench.sparkSession.range(100, 600).select(F.col("id").alias("item_id"), F.lit(ITEM).alias("text"))
+    parts, owners = decontaminate.segments(same.union(bench))
+    assert parts.columns == ["_segment", "_g"] and parts.count() == 1 and owners.count() == 501
+    got = decontaminate.overlaps(docs, same.union(bench), ["doc_id"])
+    assert rows(got) == sorted(((d, i, f, f + 14) for d, f in ((11, 1), (12, 0)) for i in [1, *range(100, 600)]), key=str)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     e = [[1.0, 0.0, 0.0], [2.0, 0.0, 0.0], [1.0, 0.05, 0.0], [0.0, 1.0, 0.0], None, [], [0.0, 0.0, 0.0],
