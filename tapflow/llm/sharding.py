@@ -9,7 +9,9 @@ with fewer rows than shards simply misses some shards.
 
 Scale: both orders are ranked per bucket (``ranking.ranked``): the shuffle
 hash and the fraction are uniform, so a source with a third of all rows is
-spread over as many buckets as its rows need.  Texts are reduced to size,
+spread over as many buckets as its rows need.  Many small sources share a
+fraction (1/2 of all with one row): rows of one fraction are ordered by a hash
+of their source, and a fraction with many rows is split by ranges of it.  Texts are reduced to size,
 checksum and a 128-bit row key in the scan; ``shard`` never shuffles them, and
 ``shard_documents`` joins them back by that key (one shuffle of the texts).
 
@@ -32,6 +34,32 @@ SHARDS = 8
 SEED = 17
 
 
+def _split_buckets(part: DataFrame, n: int, per_bucket: int) -> tuple[DataFrame, int]:
+    """``part`` with ``_cell``, a bucket that does not decrease along (``_fraction``,
+    ``_s``), and the number of its values, about: the fraction cut into ``n``, and
+    in overfull buckets each fraction of many rows apart, by ranges of ``_s``."""
+    part = part.withColumn("_coarse", F.floor(F.col("_fraction") * n))
+    full = part.groupBy("_coarse").agg(F.count(F.lit(1)).alias("_c")).where(
+        F.col("_c") > 2 * per_bucket).select("_coarse")
+    hot = cut(part.join(full, "_coarse").groupBy("_coarse", "_fraction").agg(F.count(F.lit(1)).alias("_c"))
+              .where(F.col("_c") > per_bucket)
+              .select("_coarse", "_fraction", F.ceil(F.col("_c") / per_bucket).alias("_k")))
+    n_hot, cells = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_k"), F.lit(0))).first()
+    if n_hot == 0:
+        return part.withColumn("_cell", F.struct("_coarse")).drop("_coarse"), n
+    spots = hot.groupBy("_coarse").agg(F.sort_array(F.collect_list(F.struct("_fraction", "_k"))).alias("_hot"))
+    if n_hot <= ranking.BROADCAST_ROWS:
+        spots = F.broadcast(spots)
+    part = part.join(spots, "_coarse", "left")
+    below = F.coalesce(F.size(F.filter("_hot", lambda x: x["_fraction"] < F.col("_fraction"))), F.lit(0))
+    k = F.get(F.filter("_hot", lambda x: x["_fraction"] == F.col("_fraction")), F.lit(0))["_k"]
+    # between the hot fractions of a bucket, and at each of them
+    place = 2 * F.greatest(below, F.lit(0)) + k.isNotNull().cast("int")
+    cell = F.coalesce(F.floor(F.col("_s") / F.ceil(F.lit(float(1 << 62)) / k)), F.lit(0))
+    return part.withColumn("_cell", F.struct(
+        F.col("_coarse").alias("a"), place.alias("b"), cell.alias("c"))).drop("_coarse", "_hot"), n + 2 * n_hot + cells
+
+
 def _placed(keys: DataFrame, shards: int, seed: int, per_bucket: int) -> DataFrame:
     """``shard`` and ``slot`` for rows (doc_id, source, size, text_crc32, _k1, _k2)."""
     keys = cut(keys.withColumn("_h", F.shiftrightunsigned(
@@ -46,10 +74,12 @@ def _placed(keys: DataFrame, shards: int, seed: int, per_bucket: int) -> DataFra
     if n_sources <= ranking.BROADCAST_ROWS:
         sizes = F.broadcast(sizes)
     part = own.join(sizes, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    part = part.withColumns({"_fraction": (2 * F.col("_rank") + 1) / (2 * F.col("_rows")),
-                             "_all": F.lit(0)})
-    merged = ranking.ranked(part, ["_all"], F.floor(F.col("_fraction") * n),
-                            [F.col("_fraction"), F.col("source"), *tie], "_place", 1, n)
+    part = cut(part.withColumns({
+        "_fraction": (2 * F.col("_rank") + 1) / (2 * F.col("_rows")), "_all": F.lit(0),
+        "_s": F.shiftrightunsigned(F.xxhash64(F.lit(seed), "source"), 2)}))
+    part, cells = _split_buckets(part, n, per_bucket)
+    merged = ranking.ranked(part, ["_all"], F.col("_cell"),
+                            [F.col("_fraction"), F.col("_s"), F.col("source"), *tie], "_place", 1, cells)
     # the first (total mod shards) shards hold one row more
     low, more = divmod(total, shards)
     edge = more * (low + 1)
@@ -59,7 +89,7 @@ def _placed(keys: DataFrame, shards: int, seed: int, per_bucket: int) -> DataFra
         more + F.floor((place - edge) / max(low, 1)))
     slot = F.when(early, place % (low + 1)).otherwise((place - edge) % max(low, 1))
     return merged.withColumns({"shard": shard.cast("int"), "slot": slot.cast("long")}).drop(
-        "_h", "_rank", "_rows", "_fraction", "_all", "_place")
+        "_h", "_rank", "_rows", "_fraction", "_all", "_s", "_cell", "_place")
 
 
 def _keys(docs: DataFrame) -> DataFrame:

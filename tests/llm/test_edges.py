@@ -212,6 +212,31 @@ def test_sharding(docs):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_sharding_of_many_small_sources(spark, monkeypatch):
+    """600 sources of one row, 100 of two and 50 of three: no bucket holds all rows of a fraction."""
+    data = [(f"s{i}", r) for i in range(750) for r in range(1 if i < 600 else 2 if i < 700 else 3)]
+    docs = spark.createDataFrame([(i, f"text {i}", s) for i, (s, _) in enumerate(data)], "doc_id long, text string, source string")
+    most, ranked = [], sharding.ranking.ranked
+
+    def counted(df, group, bucket, *more):
+        if group == ["_all"]:
+            most.append(df.groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0])
+        return ranked(df, group, bucket, *more)
+
+    monkeypatch.setattr(sharding.ranking, "ranked", counted)
+    got = sharding.shard(docs, shards=4, per_bucket=20).collect()
+    assert len(most) == 1 and most[0] <= 60
+    size = {s: sum(x == s for x, _ in data) for s, _ in data}
+    order = [r.source for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    seen, place = {}, []
+    for s in order:
+        place.append((2 * seen.get(s, 0) + 1) / (2 * size[s]))
+        seen[s] = seen.get(s, 0) + 1
+    assert seen == size and place == sorted(place)
+    counts = [sorted(r.slot for r in got if r.shard == s) for s in range(4)]
+    assert counts == [list(range(len(c))) for c in counts] and max(map(len, counts)) - min(map(len, counts)) <= 1
+
+
 def test_secrets(docs):
     got = {r.doc_id: r for r in secrets.find(docs).collect()}
     text = dict((d, t) for d, t, _, _ in DOCS)[13]
