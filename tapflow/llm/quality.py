@@ -2,15 +2,16 @@
 
 Document statistics (``features``) are computed in Arrow batches; the trees
 are boosted in numpy over binned values of a bounded, documented sample of
-labelled rows (``MAX_TRAIN``, chosen by a hash of the id), flattened into
+labelled rows (``MAX_TRAIN``: ids chosen by a hash, equal rows of an id once,
+and at most an even share of rows for each id, by a hash), flattened into
 arrays, and every document is scored by a vectorised walk of those arrays.
 Only the text enters a score: not label, language, source or id.
 
 Rows whose ``crc32(doc_id as text) mod 4`` is 2 are never learned from.
 
 Scale: one pass over the texts scores them; the training rows come from a
-broadcast join with at most about ``MAX_TRAIN`` ids.  No shuffle of texts, no
-state beyond one slice of a batch.
+broadcast join with at most about ``MAX_TRAIN`` ids, and are reduced to as many
+rows on the executors.  No shuffle of texts, no state beyond one slice of a batch.
 
 Defined cases: null text is the empty text, which has a score like any other;
 a label that is null, or not 0 or 1, is ignored, and an id labelled several
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import table
@@ -204,10 +205,14 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
                     [c.column(0), c.column(1), pa.array(list(x), pa.list_(pa.float64()))],
                     names=["id", "y", "x"])
 
-    # at most about max_train ids, see above
+    # equal rows of an id count once, and an id sends its even share of max_train rows
+    # at most, by a hash: an id that many rows have weighs no more than that
+    each = max(1, max_train // max(1, chosen.count()))
+    by_hash = Window.partitionBy("id").orderBy(F.xxhash64(F.lit(5), "id", "x"), "x")
     rows = (docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("_id"))
             .select(F.col("_id"), F.col("_y").cast("int"), "text")
-            .mapInArrow(stats, "id long, y int, x array<double>").toArrow())
+            .mapInArrow(stats, "id long, y int, x array<double>").distinct()
+            .withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= each).drop("_n").toArrow())
     x = np.array(rows.column("x").to_pylist(), dtype=float).reshape(rows.num_rows, len(FEATURES))
     y, ids = (rows.column(k).to_numpy().astype(float) for k in ("y", "id"))
     order = np.lexsort((*x.T, y, ids))  # rows arrive in any order

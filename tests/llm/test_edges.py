@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -341,6 +343,19 @@ def test_quality(docs, labels):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+def test_quality_of_an_id_with_many_rows(spark, monkeypatch):
+    """One labelled id holds 900 of 990 rows, 300 of them different: 90 ids send 4 rows each at most."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % quality.FOLDS != quality.HELD_OUT_FOLD][:91]
+    data = [(ids[0], "a " * (i % 300 + 1)) for i in range(900)] + [(i, f"text {i}") for i in ids[1:]]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    sent = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: sent.append(len(y)))
+    for most in (400, 5_000, 100_000):
+        quality.train(docs, labels, max_train=most)
+    assert sent == [90 + 4, 90 + 54, 90 + 300]
+
+
 def test_flat_trees_match_their_margins():
     import numpy as np
     rng = np.random.default_rng(5)
