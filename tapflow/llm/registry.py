@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, embeddings, minhash, mixing, pii, quality, secrets, sharding,
+from . import (audit, decontaminate, embeddings, minhash, mixing, pii, quality, secrets, sharding,
                substrings, urls)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op8_url_rules": urls.op8_url_rules,
         "op9_quality_trees": quality.op9_quality_trees,
         "op10_block_mix": mixing.op10_block_mix,
+        "op12_filter_audit": audit.op12_filter_audit,
     }
 
 
@@ -32,4 +33,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_spaced_seeds": decontaminate.ORACLE,
         "op2_pigeonhole": embeddings.ORACLE,
         "op5_fm_index": substrings.ORACLE,
+        "op12_filter_audit": audit.ORACLE,
     }
