@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (audit, decontaminate, embeddings, minhash, mixing, pii, quality, secrets, sharding,
+from . import (audit, collocations, decontaminate, embeddings, minhash, mixing, pii, quality, secrets, sharding,
                substrings, urls)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op9_quality_trees": quality.op9_quality_trees,
         "op10_block_mix": mixing.op10_block_mix,
         "op12_filter_audit": audit.op12_filter_audit,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
@@ -34,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_pigeonhole": embeddings.ORACLE,
         "op5_fm_index": substrings.ORACLE,
         "op12_filter_audit": audit.ORACLE,
+        "op13_collocations": collocations.ORACLE,
     }
