@@ -46,7 +46,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -65,7 +64,7 @@ BUDGET = 500_000
 #: Bits of the broadcast sets (8 MB each).
 BITS = 1 << 26
 #: Bytes of text handled at once, and leaves that are added up before they are sent.
-SLICE_BYTES, BLOCK = 4_000_000, 1_000_000
+SLICE_BYTES, BLOCK = 1_500_000, 500_000
 NO_LANG = "und"
 
 _LEAF = "g long, h1 long, h2 long, h3 long, n long"
@@ -75,17 +74,52 @@ _GAP = _BREAK.copy()
 _GAP[[0x20, 0x09]] = True
 
 
+#: Longer words are hashed one by one.
+_LONG = 64
+_BASE = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2**64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_power_cache: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    have = _power_cache.get(base)
+    if have is None or len(have) < n:
+        steps = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
+        steps[0] = 1
+        _power_cache[base] = have = np.cumprod(steps, dtype=np.uint64)
+    return have[:n]
+
+
 @dataclass
 class Slice:
-    """Words of some bytes: each word's key, its piece, and per distinct key the
-    language, the word and its occurrences."""
+    """Words of some bytes (``data``, lower case): bounds, piece, language (an index
+    of ``names``) and key of each."""
 
-    key: np.ndarray
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
     piece: np.ndarray
-    keys: np.ndarray
-    langs: list[str]
-    words: list[bytes]
-    counts: np.ndarray
+    lang: np.ndarray
+    names: list[str]
+    key: np.ndarray
+
+    def distinct(self) -> tuple[np.ndarray, list[str], list[str], np.ndarray]:
+        """The distinct words of each language: key, language, word, occurrences."""
+        size = np.zeros(len(self.starts) + 1, dtype=np.int64)
+        np.cumsum(self.ends - self.starts, out=size[1:])
+        words = pa.Array.from_buffers(pa.large_binary(), len(self.starts), [
+            None, pa.py_buffer(size), pa.py_buffer(self.data[~_GAP[self.data]])]).dictionary_encode()
+        code = np.frombuffer(words.indices.buffers()[1], np.int32)[:len(self.starts)]
+        count = np.bincount(code.astype(np.int64) * len(self.names) + self.lang)
+        both = np.flatnonzero(count)
+        at = np.zeros(len(count), dtype=np.int64)
+        at[code.astype(np.int64) * len(self.names) + self.lang] = np.arange(len(code))
+        _, offs, text = words.dictionary.buffers()
+        offs, text = np.frombuffer(offs, np.int64).tolist(), text.to_pybytes()
+        word, lang = both // len(self.names), both % len(self.names)
+        return (self.key[at[both]], [self.names[i] for i in lang.tolist()],
+                [text[offs[i]:offs[i + 1]].decode() for i in word.tolist()], count[both])
 
 
 def _bounds(data: np.ndarray, offs: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -108,47 +142,50 @@ def _bounds(data: np.ndarray, offs: np.ndarray, limit: int) -> Iterator[tuple[in
         low = high
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64 bits of hash of every word: a polynomial over its bytes, from sums over all
+    bytes; long words, for which such polynomials can be made to collide, by XXH3."""
+    n = len(data)
+    value = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(value[data] * _powers(_BASE, n), out=total[1:])
+    out = (total[ends] - total[starts]) * _powers(pow(_BASE, -1, 1 << 64), n + 1)[starts]
+    for i in np.flatnonzero(ends - starts > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes(), seed)
+    return mix64(out + (ends - starts).astype(np.uint64))
+
+
 def slices(batch: pa.RecordBatch, seed: int, limit: int) -> Iterator[Slice]:
     """The words of a batch of (text, lang)."""
     data, offs = text_bytes(batch.column(0))
     lang = batch.column(1).fill_null(NO_LANG).dictionary_encode()
     lang_of, names = lang.indices.to_numpy(), lang.dictionary.to_pylist()
-    seeds = [xxhash.xxh3_64_intdigest(x.encode(), seed) for x in names]
+    seeds = np.array([xxhash.xxh3_64_intdigest(x.encode(), seed) for x in names], dtype=np.uint64)
     for low, high in _bounds(data, offs, limit):
-        b = data[low:high].copy()
-        b[(b >= 65) & (b <= 90)] += 32
+        b = _LOWER[data[low:high]]
         word = ~_GAP[b]
         inner = offs[(offs > low) & (offs < high)] - low
         before, after = np.zeros(len(b), bool), np.zeros(len(b), bool)
         before[1:], after[:-1] = word[:-1], word[1:]
         before[inner], after[inner - 1] = False, False
-        starts = np.flatnonzero(word & ~before)
+        starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
         if not len(starts):
             continue
-        size = np.flatnonzero(word & ~after) + 1 - starts
         row = np.searchsorted(offs, starts + low, side="right") - 1
-        piece = np.cumsum(_BREAK[b])[starts] + row
-        ends = np.zeros(len(size) + 1, dtype=np.int64)
-        np.cumsum(size, out=ends[1:])
-        found = pa.Array.from_buffers(pa.large_binary(), len(size), [
-            None, pa.py_buffer(ends), pa.py_buffer(b[word])]).dictionary_encode()
-        texts = found.dictionary.to_pylist()
-        both = found.indices.to_numpy().astype(np.int64) * len(names) + lang_of[row]
-        code, distinct = pd.factorize(both)
-        words, langs = [texts[i // len(names)] for i in distinct], [int(i % len(names)) for i in distinct]
-        # 0 stands for "no word"
-        keys = np.array([xxhash.xxh3_64_intdigest(w, seeds[g]) or 1 for w, g in zip(words, langs)],
-                        dtype=np.uint64).view(np.int64)
-        yield Slice(keys[code], piece, keys, [names[g] for g in langs], words, np.bincount(code))
+        piece = np.searchsorted(np.flatnonzero(_BREAK[b]), starts) + row
+        key = mix64(_hashes(b, starts, ends, seed) + seeds[lang_of[row]]).view(np.int64)
+        key[key == 0] = 1  # 0 stands for "no word"
+        yield Slice(b, starts, ends, piece, lang_of[row], names, key)
 
 
 def _vocabulary(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch, seed, SLICE_BYTES):
+                key, lang, word, n = s.distinct()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(s.keys), pa.array(s.langs, pa.string()),
-                    pa.array(s.words, pa.binary()).cast(pa.string()), pa.array(s.counts)], ["h", "lang", "word", "n"])
+                    pa.array(key), pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(n)],
+                    ["h", "lang", "word", "n"])
     return run
 
 
