@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (audit, collocations, decontaminate, embeddings, minhash, mixing, pii, quality, secrets, sharding,
-               substrings, urls)
+               substrings, tokencounts, urls)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op8_url_rules": urls.op8_url_rules,
         "op9_quality_trees": quality.op9_quality_trees,
         "op10_block_mix": mixing.op10_block_mix,
+        "op11_token_counts": tokencounts.op11_token_counts,
         "op12_filter_audit": audit.op12_filter_audit,
         "op13_collocations": collocations.op13_collocations,
     }
