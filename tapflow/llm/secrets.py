@@ -20,7 +20,7 @@ Everything is a column expression: no Python runs on the executors.
 Scale: one scan, no shuffle; nothing but one document's text is held.
 
 Defined cases: null and empty texts have no span; very long texts and
-candidates are read whole; repeated rows are judged alike; ids may be null or
+candidates are read whole, in time that grows with their length; repeated rows are judged alike; ids may be null or
 repeated; an empty table gives no rows; other columns are ignored.
 """
 
@@ -51,7 +51,7 @@ ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 CLASSES = {"hex": ("^[0-9a-f]+$|^[0-9A-F]+$", 16, 2.9), "upper": ("^[0-9A-Z]+$", 16, 3.2),
            "base64": ("^[A-Za-z0-9+/_=-]+$", 20, 3.6)}
 ALLOWED = (r"^[A-Za-z_-]+$|^[0-9_=-]+$|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-           r"|EXAMPLE|example|^(.{1,4})\1+$|^/?[a-z0-9_-]+(?:/[a-z0-9_-]+)+/?$")
+           r"|EXAMPLE|example|^(.{1,4})\1++$|^/?[a-z0-9_-]++(?:/[a-z0-9_-]++)++/?$")
 
 _TOP = max(w for _, w, _ in CLASSES.values())
 _CLOGC = [0.0] + [c * math.log2(c) for c in range(1, _TOP + 2)]
@@ -59,29 +59,42 @@ _CLOGC = [0.0] + [c * math.log2(c) for c in range(1, _TOP + 2)]
 
 def window_entropy(token: Column, window: Column) -> Column:
     """The highest entropy (bits per character) of any window of ``window``
-    characters of ``token``; of the whole token if it is shorter."""
-    code = F.transform(F.split(token, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1)
-    table_ = F.array(*[F.lit(x) for x in _CLOGC])
-    w = F.least(window, F.length(token))
-    zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("n"), F.lit(0.0).alias("s"),
-                    F.lit(0.0).alias("best"), code.alias("code"))
-
-    def change(counts: Column, at: Column, by: int) -> Column:
-        return F.transform(counts, lambda c, k: F.when(k == at, c + by).otherwise(c))
+    characters of ``token``; of the whole token if it is shorter.
 
-    def step(acc: Column, i: Column) -> Column:
-        new, old = F.get(acc["code"], i), F.get(acc["code"], i - w)
-        out = i >= w
-        c_old = F.get(acc["n"], old)
-        left = F.when(out, change(acc["n"], old, -1)).otherwise(acc["n"])
-        s_left = F.when(out, acc["s"] - F.get(table_, c_old) + F.get(table_, c_old - 1)).otherwise(acc["s"])
-        c_new = F.get(acc["n"], new) - F.when(out & (old == new), 1).otherwise(0)
-        s = s_left - F.get(table_, c_new) + F.get(table_, c_new + 1)
-        h = F.when(i >= w - 1, F.log2(w.cast("double")) - s / w).otherwise(F.lit(0.0))
-        return F.struct(change(left, new, 1).alias("n"), s.alias("s"),
-                        F.greatest(acc["best"], h).alias("best"), acc["code"].alias("code"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.length(token) - 1), zero, step, lambda acc: acc["best"])
+    A fold over pairs of the character that enters and the one that leaves; its
+    state is the window's counts, their ``sum(c log2 c)`` and the best so far, so
+    the time grows with the token's length and nothing else."""
+    table_ = F.array(*[F.lit(x) for x in _CLOGC])
+    bound = F.struct(F.transform(F.split(token, ""), lambda ch: F.instr(F.lit(ALPHABET), ch) - 1).alias("code"),
+                     F.least(window, F.length(token)).alias("w"))
+
+    def of(v: Column) -> Column:
+        w = v["w"]
+        left = F.slice(F.concat(F.array_repeat(F.lit(-1), w), v["code"]), F.lit(1), F.size(v["code"]))
+        pairs = F.zip_with(v["code"], left, lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+        zero = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("n"), F.lit(0).alias("i"),
+                        F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
+
+        def step(acc: Column, pair: Column) -> Column:
+            new, old = pair["new"], pair["old"]
+            c_old = F.get(acc["n"], old)
+            s_left = F.when(old >= 0, acc["s"] - F.get(table_, c_old) + F.get(table_, c_old - 1)).otherwise(acc["s"])
+            c_new = F.get(acc["n"], new) - F.when(old == new, 1).otherwise(0)
+            s = s_left - F.get(table_, c_new) + F.get(table_, c_new + 1)
+            counts = F.transform(acc["n"], lambda c, k: F.when((k == new) & (k != old), c + 1)
+                                 .when((k == old) & (k != new), c - 1).otherwise(c))
+            return F.struct(counts.alias("n"), (acc["i"] + 1).alias("i"), s.alias("s"), acc["best"].alias("best"))
+
+        def judged(acc: Column, pair: Column) -> Column:
+            # bound once: the sum is used twice
+            return F.transform(F.array(step(acc, pair)), lambda x: F.struct(
+                x["n"].alias("n"), x["i"].alias("i"), x["s"].alias("s"),
+                F.when(x["i"] >= w, F.greatest(x["best"], F.log2(w.cast("double")) - x["s"] / w))
+                .otherwise(x["best"]).alias("best")))[0]
+
+        return F.aggregate(pairs, zero, judged, lambda acc: acc["best"])
+
+    return F.transform(F.array(bound), of)[0]
 
 
 def _secret(x: Column) -> Column:
@@ -107,7 +120,8 @@ def find(docs: DataFrame) -> DataFrame:
     }).drop("text")
     found = found.select("doc_id", *[F.coalesce(k, empty).alias(k) for k in (*BASE, "_candidates")])
     every = F.concat(*[F.col(k) for k in BASE])
-    free = F.filter("_candidates", lambda x: ~F.exists(every, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    free = F.transform(F.array(every), lambda base: F.filter("_candidates", lambda x: ~F.exists(
+        base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))[0]
     return found.select("doc_id", *BASE, F.filter(free, _secret).alias(ADDED))
 
 
