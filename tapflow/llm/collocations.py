@@ -7,9 +7,9 @@ trie, and the count of a phrase is the total of the leaves below its node.  The
 trie is never built whole (elastic-range style):
 
 1. *Vertical partitioning.*  Prefixes of one word are counted.  A prefix of more
-   than ``BUDGET`` suffixes is extended by a second word, and these longer
-   prefixes are counted in turn; one of more than ``BUDGET`` again is extended to
-   the third word, which is a leaf.  The counts above a partition's prefix come
+   than a budget of suffixes (``BUDGET``, or one in ``SHARE`` of all) is extended by a second word, and these longer
+   prefixes are counted in turn; one over budget again is extended to the third
+   word, which is a leaf.  The counts above a partition's prefix come
    from this step.
 2. *Grouping.*  Prefixes are put into groups by hash, as many groups as make half
    a budget of suffixes each on average, so a group's memory is bounded by the
@@ -47,6 +47,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,16 +56,19 @@ from .tables import cut, key_groups, table, written
 from .textkernel import mix64, text_bytes
 
 MIN_COUNT, TOP = 10, 2000
+#: Parts that a language's phrases are ranked in before they are ranked together.
+TOP_PARTS = 16
 #: A longer phrase hides its parts from this share (percent) of their count on.
 HIDE_PERCENT = 50
 #: Words of a suffix (the code below names them h1, h2, h3).
 DEPTH = 3
-#: Suffixes of a prefix that one group may hold.
-BUDGET = 500_000
+#: Suffixes of a prefix that one group may hold: so many, and this share of all at most,
+#: so that groups are even in small corpora too.
+BUDGET, SHARE = 500_000, 256
 #: Bits of the broadcast sets (8 MB each).
 BITS = 1 << 26
 #: Bytes of text handled at once, and leaves that are added up before they are sent.
-SLICE_BYTES, BLOCK = 1_500_000, 500_000
+SLICE_BYTES, BLOCK = 1_500_000, 250_000
 NO_LANG = "und"
 
 _LEAF = "g long, h1 long, h2 long, h3 long, n long"
@@ -155,8 +159,24 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -
     return mix64(out + (ends - starts).astype(np.uint64))
 
 
+def _parts(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``batch`` of about ``limit`` bytes of text together, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(ends):
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def slices(batch: pa.RecordBatch, seed: int, limit: int) -> Iterator[Slice]:
     """The words of a batch of (text, lang)."""
+    for part in _parts(batch, limit):
+        yield from _slices(part, seed, limit)
+
+
+def _slices(batch: pa.RecordBatch, seed: int, limit: int) -> Iterator[Slice]:
     data, offs = text_bytes(batch.column(0))
     lang = batch.column(1).fill_null(NO_LANG).dictionary_encode()
     lang_of, names = lang.indices.to_numpy(), lang.dictionary.to_pylist()
@@ -313,6 +333,8 @@ def phrases(texts: DataFrame, words: DataFrame, seed: int, min_count: int = MIN_
     spark = texts.sparkSession
     share = spark.sparkContext.broadcast
     often = words.where(F.col("n") >= min_count)
+    suffixes = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    budget = min(budget, max(1, suffixes // SHARE))
     frequent = share(bitmap(often, F.col("h")))
     over = words.where(F.col("n") > budget)
     heavy, heavier = share(bitmap(over, F.col("h"))), share(bytes(BITS // 8))
@@ -321,7 +343,6 @@ def phrases(texts: DataFrame, words: DataFrame, seed: int, min_count: int = MIN_
         known = cut(texts.mapInArrow(_extensions(seed, frequent, heavy), known.schema)
                     .groupBy("h1", "h2", "k").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
         heavier = share(bitmap(known.where(F.col("n") > budget), F.col("k")))
-    suffixes = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     groups = max(1, -(-2 * suffixes // budget))
     leaves = texts.mapInArrow(_leaves(seed, groups, frequent, heavy, heavier), _LEAF)
     nodes = leaves.repartition("g").sortWithinPartitions("g").mapInArrow(
@@ -375,8 +396,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, bu
     second = F.coalesce(F.col("s2") < F.col("s1"), F.lit(False))
     scored = found.select("lang", "phrase", "a", *[F.when(second, F.col(f"{x}2")).otherwise(F.col(f"{x}1")).alias(y)
                                                   for x, y in (("l", "l"), ("r", "r"), ("s", "score"))])
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # first in parts of a language, so that the last step reads TOP_PARTS * top rows of one at most
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))).orderBy(*order)
+    best = scored.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
