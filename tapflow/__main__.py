@@ -38,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="rows above which a card-day is processed in chunks")
     p.add_argument("--rows-per-chunk", type=int, default=None,
                    help="target rows per chunk of a hot card-day")
+    p.add_argument("--replace-partitions", action="store_true",
+                   help="overwrite only the days that the input holds")
     p.add_argument("--hive", action="store_true",
                    help="use the Hive catalog of the submitted session")
     p.add_argument("--no-preview", action="store_true")
@@ -54,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.password_env:
         jdbc["password"] = os.environ[args.password_env]
     options = StepOptions(db=args.db, jdbc=jdbc, path=args.path)
+    if args.replace_partitions:
+        options.mode = "partitions"
     if args.hot_threshold is not None:
         options.hot_threshold = args.hot_threshold
     if args.rows_per_chunk is not None:

@@ -220,6 +220,11 @@ def oracle_sql() -> dict[str, str]:
     out["delimited_scan"] = sql_for("bus_rides")
     out["file_to_table"] = sql_for("metro_taps")
     out["table_sink_partitioned"] = sql_for("bus_cleaned")
+    out["table_sink_day"] = sql_for("bus_cleaned", """
+        SELECT * REPLACE (CASE WHEN trade_date = (SELECT min(trade_date) FROM bus_cleaned) THEN '99'
+                               ELSE trade_type END AS trade_type)
+        FROM bus_cleaned
+        WHERE mark_time IS NOT NULL OR trade_date <> (SELECT min(trade_date) FROM bus_cleaned)""")
     out["table_sink_plain"] = sql_for("bus_stations")
     out["flow_preview"] = sql_for(
         "passenger_flow",

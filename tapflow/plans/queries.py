@@ -211,6 +211,23 @@ def q_table_sink_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, name)
 
 
+#: What a rerun of the first day writes in place of its rows (see ``q_table_sink_day``).
+RERUN_TRADE_TYPE = "99"
+
+
+def q_table_sink_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of all days, of which the first day is run again: its rows
+    become the rerun's (boarded rides only, with another trade type), others stay."""
+    name = _table_name("f_bus_cleaned_day")
+    cleaned = TapFlow(spark, sf_dir).bus_cleaned
+    tables.write_table(cleaned, name, partition_by="trade_date", path=_scratch(spark, "f_bus_cleaned_day"))
+    day = cleaned.agg(F.min("trade_date")).first()[0]
+    rerun = cleaned.where((F.col("trade_date") == day) & F.col("mark_time").isNotNull()).withColumn(
+        "trade_type", F.lit(RERUN_TRADE_TYPE))
+    tables.write_table(rerun, name, partition_by="trade_date", mode="partitions")
+    return tables.read_table(spark, name)
+
+
 # --- operators ----------------------------------------------------------------
 
 def _chain(attr: str) -> Query:
@@ -263,6 +280,7 @@ def queries() -> dict[str, Query]:
         "file_to_table": q_file_to_table,
         "table_sink_partitioned": q_table_sink_partitioned,
         "table_sink_plain": q_table_sink_plain,
+        "table_sink_day": q_table_sink_day,
         "bus_cleaned": _chain("bus_cleaned"),
         "metro_trip_ids": _chain("metro_trip_ids"),
         "single_tap_trips": q_single_tap_trips,

@@ -14,7 +14,7 @@ Order: (bus-load -> bus-clean), (metro-load -> metro-clean),
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,7 @@ class StepOptions:
     hot_threshold: int | None = skew.HOT_ROWS_PER_KEY
     rows_per_chunk: int = skew.ROWS_PER_CHUNK
     path: str | None = None  # optional external location of the output table
+    mode: str = "overwrite"  # or "partitions": replace only the days that the input holds
 
 
 @dataclass
@@ -47,16 +48,15 @@ def _read(spark: SparkSession, name: str, o: StepOptions) -> DataFrame:
     return tables.read_table(spark, name, o.db)
 
 
-def _write(df: DataFrame, name: str, o: StepOptions, partition: bool = True) -> str:
-    tables.write_table(df, name, db=o.db, partition_by=PARTITION if partition else None,
-                       path=o.path)
+def _write(df: DataFrame, name: str, o: StepOptions, sort_by: Sequence[str] = ()) -> str:
+    tables.write_table(df, name, db=o.db, partition_by=PARTITION, path=o.path, mode=o.mode, sort_by=sort_by)
     return name
 
 
 def _file_load(schema):
     def run(spark: SparkSession, a: list[str], o: StepOptions) -> str:
         delimited.load_file_to_table(spark, a[0], schema, a[1], db=o.db,
-                                     partition_by=PARTITION, table_path=o.path)
+                                     partition_by=PARTITION, table_path=o.path, mode=o.mode)
         return a[1]
     return run
 
@@ -95,8 +95,7 @@ def _od_flow(spark, a, o):
                           rows_per_chunk=o.rows_per_chunk)
     # the stored order is not part of the table's contract: sort inside each
     # task instead of a global range sort before a partitioned write
-    counted = flow.passenger_flow(od, sort=False).sortWithinPartitions(*flow.FLOW_ORDER)
-    return _write(counted, a[1], o)
+    return _write(flow.passenger_flow(od, sort=False), a[1], o, sort_by=flow.FLOW_ORDER)
 
 
 STEPS: dict[str, Step] = {

@@ -48,11 +48,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR) -> None:
 def load_file_to_table(spark: SparkSession, path: str, schema: T.StructType,
                        table: str, db: str | None = None,
                        partition_by: str | None = "trade_date",
-                       table_path: str | None = None) -> DataFrame:
+                       table_path: str | None = None, mode: str = "overwrite") -> DataFrame:
     """S8 (X1, X2): read a tap file and save it as a (partitioned) table.
 
     Returns the table as read back from the catalog.
     """
     df = read_delimited(spark, path, schema)
-    write_table(df, table, db=db, partition_by=partition_by, path=table_path)
+    write_table(df, table, db=db, partition_by=partition_by, path=table_path, mode=mode)
     return read_table(spark, table, db)
