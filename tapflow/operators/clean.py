@@ -180,24 +180,30 @@ def _cleaned_columns(taps: DataFrame) -> list[str]:
 def _numbered_chunks(hot: DataFrame, chunks: int) -> DataFrame:
     """Hot taps with trip number, key and ``_alone``: one edge table.
 
-    The RANGE sum inside a chunk plus the entries of earlier chunks numbers the
-    trips; the numbers of the neighbouring chunks' edge taps follow from the
-    same table.
+    The RANGE sum inside a chunk, plus the entries of earlier chunks, plus -- for
+    the taps with the chunk's last time -- the entries that later chunks hold of
+    that time, numbers the trips; the numbers of the neighbouring chunks' edge
+    taps follow from the same table.
     """
-    total = ["trade_time"] + METRO_TIE
-    chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")),
-                                 ["trade_time"], chunks, tie=METRO_TIE)
+    order = ["trade_time"]
+    total = order + METRO_TIE
+    chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")), order, chunks, tie=METRO_TIE)
     w = skew.in_chunk(total)
-    rows = chunked.withColumn("_inner", F.sum("once_od").over(skew.in_chunk(["trade_time"])))
-    edge = skew.edges(rows, total, ["_inner"], ["_inner"], ["once_od"])
+    rows = skew.heads(chunked.withColumn("_inner", F.sum("once_od").over(skew.in_chunk(order))), order, total)
+    rows = rows.withColumn("_head_od", F.when(F.col("_head"), F.col("once_od")).otherwise(F.lit(0)))
+    edge = skew.edges(rows, total, [*order, "_inner"], [*order, "_inner"], ["once_od", "_head_od"])
     across = skew.across_chunks()
     offset = F.coalesce(F.sum("once_od").over(across.rowsBetween(Window.unboundedPreceding, -1)),
                         F.lit(0))
-    edge = edge.withColumn("_offset", offset).select(
-        skew.KID, skew.CHUNK, "_offset",
-        F.lag(F.col("_offset") + F.col("last._inner")).over(across).alias("_edge_before"),
-        F.lead(F.col("_offset") + F.col("first._inner")).over(across).alias("_edge_after"))
-    rows = skew.attach(rows, edge).withColumn("tms_id", F.col("_inner") + F.col("_offset"))
+    edge = edge.withColumns({"_offset": offset, "_more": skew.continued("_head_od", order)})
+    one_time = F.col("first.trade_time").eqNullSafe(F.col("last.trade_time"))
+    edge = edge.select(
+        skew.KID, skew.CHUNK, "_offset", "_more", F.col("last.trade_time").alias("_last_time"),
+        F.lag(F.col("_offset") + F.col("last._inner") + F.col("_more")).over(across).alias("_edge_before"),
+        F.lead(F.col("_offset") + F.col("first._inner") + F.when(one_time, F.col("_more")).otherwise(F.lit(0))
+               ).over(across).alias("_edge_after"))
+    rows = skew.attach(rows, edge).withColumn("tms_id", F.col("_inner") + F.col("_offset") + F.when(
+        F.col("trade_time").eqNullSafe(F.col("_last_time")), F.col("_more")).otherwise(F.lit(0)))
     trip = F.col("tms_id")
     before = F.when(F.row_number().over(w) == 1, F.col("_edge_before")).otherwise(F.lag(trip).over(w))
     after = F.when(F.lead(F.lit(1)).over(w).isNull(), F.col("_edge_after")).otherwise(

@@ -13,11 +13,12 @@ ordered scan in Spark:
 2. **Split** rows into a cold part (plain windows, one exchange) and a hot
    part, which carries a small integer key id ``_kid`` (null-safe match on
    the original key, so a null card id can be hot too).
-3. **Chunk** the hot rows with ``repartitionByRange`` on (key, order): the
-   range partitioner samples the keys, so a hot key is cut into contiguous,
-   balanced chunks of its order; ``spark_partition_id`` names the chunk.
-   Rows with an equal order value always land in the same chunk, which keeps
-   RANGE-frame peer semantics exact.  The ranged rows are written to the
+3. **Chunk** the hot rows with ``repartitionByRange`` on (key, order, tie-break):
+   the range partitioner samples the keys, so a hot key is cut into contiguous,
+   balanced chunks of its order; ``spark_partition_id`` names the chunk.  Also
+   rows with an equal order key (peers of a RANGE frame) are cut, by the total
+   order that the tie-break makes; copies of one row are cut by the task they
+   come from.  The ranged rows are written to the
    shared checkpoint folder, then clustered by (key, chunk), sorted and
    checkpointed there, so chunk ids stay stable if an executor is lost.
 4. **Carry** between chunks through edge tables (one row per key and chunk:
@@ -25,9 +26,13 @@ ordered scan in Spark:
    the next pass reads the rows again.  A scan with ``p`` edge tables reads the
    checkpoint ``p + 1`` times: the windows of every pass read it in place.
 
-Residual limit: rows sharing one key *and* one exact order value (same card,
-same day, same second and trip) are never split, as their relative order is
-part of the result.
+A peer group that several chunks hold is put together through the same edge
+tables: each chunk reports what its first order key's rows add up to (``heads``),
+and ``continued`` gives every chunk the sum over the later chunks that begin with
+its last order key.
+
+Residual limit: copies of one whole row that one task reads are never split; a
+task reads no more rows than a file split holds.
 """
 
 from __future__ import annotations
@@ -136,9 +141,10 @@ def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
 
 def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
                   tie: list[str] | None = None) -> DataFrame:
-    """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order).
+    """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order, tie).
 
-    Equal (key, order) values share a chunk.  The result is a checkpoint in
+    Rows with an equal (key, order) may fall into neighbouring chunks; ``tie`` is
+    what the rows are ordered by among them.  The result is a checkpoint in
     the shared folder that Spark knows to be hash-clustered by (key, chunk) and
     sorted in scan order.  A checkpoint taken under adaptive execution forgets
     its partitioning, so that last short job (read, shuffle, sort, write) runs
@@ -147,8 +153,10 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
     """
     spark = hot.sparkSession
     path = f"{shared_dir(spark)}/tapflow-chunks/{uuid.uuid4().hex}"
-    ranged = (hot.repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in order])
-              .withColumn(CHUNK, F.spark_partition_id()))
+    # the task's number is the same when the task runs again, so a chunk is too
+    ranged = (hot.withColumn("_from", F.xxhash64(F.spark_partition_id()))
+              .repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in (*order, *(tie or []), "_from")])
+              .drop("_from").withColumn(CHUNK, F.spark_partition_id()))
     ranged.write.parquet(path)
     try:
         static = spark.newSession()
@@ -170,6 +178,26 @@ def across_chunks() -> Window:
     return Window.partitionBy(KID).orderBy(CHUNK)
 
 
+def heads(rows: DataFrame, order: list[str], total: list[str]) -> DataFrame:
+    """``_head``: the row has the first ``order`` key of its chunk."""
+    key = F.struct(*order)
+    return rows.withColumn("_head", key.eqNullSafe(F.first(key).over(in_chunk(total))))
+
+
+def order_key(side: str, order: list[str]) -> Column:
+    """The order key of an edge table's ``first`` or ``last`` rows."""
+    return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in order])
+
+
+def continued(heads_sum: str, order: list[str]) -> Column:
+    """For an edge table: the sum of ``heads_sum`` over the later chunks that begin
+    with this chunk's last ``order`` key, which holds that key's further rows."""
+    first, last = order_key("first", order), order_key("last", order)
+    on = Window.partitionBy(KID, first).orderBy(CHUNK).rowsBetween(0, Window.unboundedFollowing)
+    after = F.lead(F.struct(first.alias("key"), F.sum(heads_sum).over(on).alias("sum"))).over(across_chunks())
+    return F.when(after["key"].eqNullSafe(last), after["sum"]).otherwise(F.lit(0))
+
+
 def edges(rows: DataFrame, order: list[str], first: list[str], last: list[str],
           totals: list[str] = ()) -> DataFrame:
     """One row per key and chunk: ``first`` and ``last`` (structs of those columns

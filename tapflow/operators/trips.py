@@ -101,15 +101,24 @@ def endpoint_marks(segments: DataFrame) -> DataFrame:
     return _marked(step2, peers).drop("_start", "_next_seg", "_next_tms", "_first")
 
 
+def _run_ends() -> Column:
+    """Whether the next tap is of another OD trip or trip id, or there is none."""
+    return (F.col("_next_seg").isNull() | (F.col("_next_seg") != F.col("new_tms_id"))
+            | ~F.col("_next_tms").eqNullSafe(F.col("tms_id")))
+
+
 def _marked(rows: DataFrame, peers: Window) -> DataFrame:
     """``marker`` from each tap's ``_first`` key of its trip and its successor's
-    ``_next_seg`` and ``_next_tms``; ``peers`` are the taps with an equal key."""
-    seg, tms, epoch = F.col("new_tms_id"), F.col("tms_id"), F.col(EPOCH)
+    ``_next_seg`` and ``_next_tms``; ``peers`` are the taps with an equal key, and
+    ``_ends_later`` says whether one that is not among them ends the run."""
+    tms, epoch = F.col("tms_id"), F.col(EPOCH)
     in_run = tms.eqNullSafe(F.col("_first.t"))
-    run_end = in_run & (F.col("_next_seg").isNull() | (F.col("_next_seg") != seg)
-                        | ~F.col("_next_tms").eqNullSafe(tms))
     is_first = in_run & epoch.eqNullSafe(F.col("_first.e"))
-    is_last = in_run & (F.max(flag(run_end)).over(peers) == 1)
+    # peers are of one trip, so they are in its first run together
+    ended = F.max(flag(_run_ends())).over(peers) == 1
+    if "_ends_later" in rows.columns:
+        ended = ended | F.col("_ends_later")
+    is_last = in_run & ended
     return rows.withColumn("marker", F.when(is_last, F.lit(DESTINATION))
                            .when(is_first, F.lit(ORIGIN)).otherwise(F.lit(INNER)))
 
@@ -142,13 +151,17 @@ class _Chunks:
 
     ``lag`` of the epoch, the trip numbering, the carried first key and the
     ``lead`` that finds the end of the smallest-trip-id run all continue
-    across chunk edges; equal (trip id, epoch) keys never straddle a chunk, so
-    the peer windows stay local.  Two edge tables and one station table per
+    across chunk edges.  Taps with an equal (trip id, epoch) key may straddle
+    chunks: their gaps are 0, so only the first of them can open a trip and the
+    running sum needs no more than the total order; the end of a run is their last
+    tap, which later chunks report to the earlier ones.  Two edge tables and one station table per
     card-day: four reads of the checkpoint for the OD records.
     """
 
     def __init__(self, hot: DataFrame, chunks: int, gap_seconds: int = GAP_SECONDS,
                  hot_keys: int = 1):
+        if gap_seconds < 0:
+            raise ValueError("a gap below 0 would open trips among taps of one second")
         self.order = ["tms_id", EPOCH]
         self.total = self.order + GAP_TIE
         self.gap_seconds, self.hot_keys = gap_seconds, hot_keys
@@ -211,11 +224,16 @@ class _Chunks:
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rows = rows.withColumn("_fill", F.last(
             F.when(starts, F.struct(tms.alias("t"), epoch.alias("e"))), ignorenulls=True).over(upto))
-        edge = skew.edges(rows, self.total, [], ["_fill"])
+        rows = skew.heads(rows, self.order, self.total)
+        rows = rows.withColumn("_head_ends", flag(F.col("_head") & _run_ends()))
+        edge = skew.edges(rows, self.total, self.order, [*self.order, "_fill"], ["_head_ends"])
         prior = F.last("last._fill", ignorenulls=True).over(
             across.rowsBetween(Window.unboundedPreceding, -1))
-        rows = skew.attach(rows, edge.select(skew.KID, skew.CHUNK, prior.alias("_prior")))
-        rows = rows.withColumn("_first", F.coalesce("_fill", "_prior"))
+        rows = skew.attach(rows, edge.select(
+            skew.KID, skew.CHUNK, prior.alias("_prior"), skew.order_key("last", self.order).alias("_end_key"),
+            (skew.continued("_head_ends", self.order) > 0).alias("_more_ends")))
+        rows = rows.withColumns({"_first": F.coalesce("_fill", "_prior"), "_ends_later":
+                                 F.col("_more_ends") & F.struct(*self.order).eqNullSafe(F.col("_end_key"))})
         peers = Window.partitionBy(skew.KID, skew.CHUNK, "tms_id", EPOCH)
         return _marked(rows, peers)
 

@@ -76,3 +76,77 @@ def test_hot_keys_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(skew, "MAX_HOT_KEYS", 5)
     hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=0)
     assert 1 <= hot.count <= 5
+
+
+def one_time(df, time_col, n=3):
+    """A third of all taps on one card, on one day and in one second."""
+    return (skewed(df, time_col).withColumn(time_col, F.when(
+        F.col("card_id") == HOT_CARD, F.to_timestamp_ntz(F.lit("2024-01-01 08:30:00"))).otherwise(F.col(time_col))))
+
+
+def chunk_sizes(taps, order, tie, rows_per_chunk=200):
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=500)
+    split = skew.split_hot(taps, hot)
+    chunked = skew.assign_chunks(split.hot, order, skew.chunk_count(split.hot_rows, rows_per_chunk), tie=tie)
+    return [r["n"] for r in chunked.groupBy(skew.CHUNK).agg(F.count("*").alias("n")).collect()]
+
+
+def test_one_time_is_cut_metro(spark):
+    """Peers of one RANGE frame fill many chunks; numbers and kept taps are those of the windows."""
+    taps = one_time(TapFlow(spark, SF001).inputs["metro_taps"], "trade_time")
+    sizes = chunk_sizes(taps, ["trade_time"], clean.METRO_TIE)
+    assert len(sizes) > 5 and max(sizes) <= 2 * 200
+    ids = clean.number_trips(taps, hot_threshold=500, rows_per_chunk=200)
+    assert same(clean.metro_trip_ids(taps), ids)
+    assert same(clean.clean_metro(taps, hot_threshold=None), clean.clean_metro(taps, hot_threshold=500, rows_per_chunk=200))
+
+
+def test_peers_begin_and_end_inside_chunks(spark):
+    """Times before, between and after two hot seconds, one of them null, on one card."""
+    n = F.col("id")
+    time = (F.when(n < 150, F.timestamp_add("SECOND", n, F.to_timestamp_ntz(F.lit("2024-01-01 05:00:00"))))
+            .when(n < 900, F.to_timestamp_ntz(F.lit("2024-01-01 08:00:00")))
+            .when(n < 930, F.timestamp_add("SECOND", n, F.to_timestamp_ntz(F.lit("2024-01-01 09:00:00"))))
+            .when(n < 1700, F.to_timestamp_ntz(F.lit("2024-01-01 11:00:00")))
+            .when(n < 1900, F.lit(None)).otherwise(
+                F.timestamp_add("SECOND", n, F.to_timestamp_ntz(F.lit("2024-01-01 12:00:00")))))
+    io = F.when(n % 3 == 0, F.lit("I")).when(n % 3 == 1, F.lit("O"))
+    taps = spark.range(0, 2_000, 1, 8).select(
+        F.lit("C").alias("card_id"), F.lit("01").alias("card_type"), (n % 7).cast("string").alias("line_id"),
+        F.concat(F.lit("S"), n % 61).alias("station_id"), F.lit("D1").alias("device_id"), time.alias("trade_time"),
+        io.alias("io_type"), F.lit("20240101").alias("trade_date"))
+    for size in (37, 100, 400):
+        ids = clean.number_trips(taps, hot_threshold=0, rows_per_chunk=size)
+        assert same(clean.metro_trip_ids(taps), ids)
+        assert same(clean.clean_metro(taps, hot_threshold=None), clean.clean_metro(taps, hot_threshold=0, rows_per_chunk=size))
+
+
+def test_copies_of_one_tap_are_cut(spark):
+    """1,600 copies of one whole row, read by 16 tasks."""
+    copies = spark.range(0, 1_600, 1, 16).select(
+        F.lit("C").alias("card_id"), F.lit("01").alias("card_type"), F.lit("1").alias("line_id"), F.lit("S").alias("station_id"),
+        F.lit("D1").alias("device_id"), F.to_timestamp_ntz(F.lit("2024-01-01 08:00:00")).alias("trade_time"),
+        F.lit("I").alias("io_type"), F.lit("20240101").alias("trade_date"))
+    sizes = chunk_sizes(copies, ["trade_time"], clean.METRO_TIE)
+    assert max(sizes) <= 2 * 200
+    assert same(clean.metro_trip_ids(copies), clean.number_trips(copies, hot_threshold=500, rows_per_chunk=200))
+
+
+def test_one_second_is_cut_od(spark):
+    """OD cut: one second and trip id hold a third of the taps; all steps equal the windows."""
+    tf = TapFlow(spark, SF001, hot_threshold=None)
+    # several trip ids, so that runs end inside and at the edge of the hot second
+    taps = one_time(tf.all_taps, "mark_trade_time").withColumn("tms_id", F.when(
+        F.col("card_id") == HOT_CARD, F.when(F.hash("station_id", "trade_time") % 5 == 0, F.lit("8")).otherwise(F.lit("9"))
+    ).otherwise(F.col("tms_id"))).distinct()
+    from tapflow.functions.columns import epoch_seconds
+    base = taps.withColumn(trips.EPOCH, epoch_seconds(taps, "mark_trade_time"))
+    sizes = chunk_sizes(base, ["tms_id", trips.EPOCH], trips.GAP_TIE)
+    assert len(sizes) > 5 and max(sizes) <= 2 * 200
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=500)
+    tagged = skew.split_hot(taps, hot).hot
+    for step in ("gaps", "segments", "marks", "records"):
+        got = trips.od_part(tagged.drop(skew.KID), step, hot, rows_per_chunk=200)
+        want = trips.od_part(tagged.drop(skew.KID), step)
+        assert same(want.select(*got.columns), got), step
+    assert same(trips.od_records(taps, hot_threshold=None), trips.od_records(taps, hot_threshold=500, rows_per_chunk=200))
