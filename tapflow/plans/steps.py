@@ -10,6 +10,13 @@ Order: (bus-load -> bus-clean), (metro-load -> metro-clean),
 (bus-sites-load, bus-clean -> bus-join-site),
 (metro-sites-load, metro-clean -> metro-join-site),
 (bus-join-site, metro-join-site -> merge), (merge -> od-flow).
+
+With ``buckets`` the two clean steps write tables bucketed by card and partitioned by
+day: one shuffle each.  The join steps keep the buckets of their input (a broadcast
+join moves no tap), the merge's distinct and every window of the OD cut read them in
+place, so no card is shuffled again until the flow is counted.  A bucket is read by one
+task, so a step whose input has a hot card writes a plain table instead, and the steps
+after it shuffle and split that card as they do without buckets.
 """
 
 from __future__ import annotations
@@ -23,6 +30,7 @@ from tapflow.operators import clean, flow, merge, sites, skew, trips
 from tapflow.sources import delimited, jdbc, schemas, tables
 
 PARTITION = tables.PARTITION
+BUCKET = "card_id"
 
 
 @dataclass
@@ -32,6 +40,7 @@ class StepOptions:
     hot_threshold: int | None = skew.HOT_ROWS_PER_KEY
     rows_per_chunk: int = skew.ROWS_PER_CHUNK
     path: str | None = None  # optional external location of the output table
+    buckets: int = 0  # of card_id, for the tables between the clean steps and the OD cut
     mode: str = "overwrite"  # or "partitions": replace only the days that the input holds
 
 
@@ -48,11 +57,27 @@ def _read(spark: SparkSession, name: str, o: StepOptions) -> DataFrame:
     return tables.read_table(spark, name, o.db)
 
 
-def _write(df: DataFrame, name: str, o: StepOptions, sort_by: Sequence[str] = ()) -> str:
-    tables.write_table(df, name, db=o.db, partition_by=PARTITION, path=o.path, mode=o.mode, sort_by=sort_by)
+def _write(df: DataFrame, name: str, o: StepOptions, sort_by: Sequence[str] = (), buckets: int = 0) -> str:
+    """``buckets``: the rows are dealt out by card over so many tasks, and stay so."""
+    tables.write_table(df, name, db=o.db, partition_by=PARTITION, path=o.path, mode=o.mode, sort_by=sort_by,
+                       bucket_by=BUCKET, buckets=buckets, cluster=not buckets)
     return name
 
 
+def _buckets_for(taps: DataFrame, name: str, o: StepOptions) -> int:
+    """``o.buckets`` where the output can be bucketed and no card is hot, else 0."""
+    if not o.buckets or tables.is_path(name) or o.mode != "overwrite":
+        return 0
+    hot = o.hot_threshold is not None and skew.find_hot_keys(taps, [BUCKET], o.hot_threshold)
+    return 0 if hot else o.buckets
+
+
+def _buckets_of(spark: SparkSession, names: list[str], output: str, o: StepOptions) -> int:
+    """The buckets that all tables ``names`` have in common, for an output like them."""
+    have = {tables.buckets_of(spark, n, BUCKET, o.db) for n in names}
+    return have.pop() if len(have) == 1 and not tables.is_path(output) and o.mode == "overwrite" else 0
+
+
 def _file_load(schema):
     def run(spark: SparkSession, a: list[str], o: StepOptions) -> str:
         delimited.load_file_to_table(spark, a[0], schema, a[1], db=o.db,
@@ -68,26 +93,38 @@ def _jdbc_load(spark: SparkSession, a: list[str], o: StepOptions) -> str:
     return a[1]
 
 
+def _dealt(taps: DataFrame, buckets: int) -> DataFrame:
+    return taps.repartition(buckets, BUCKET) if buckets else taps
+
+
 def _bus_clean(spark, a, o):
-    return _write(clean.clean_bus(_read(spark, a[0], o)), a[1], o)
+    rides = _read(spark, a[0], o)
+    buckets = _buckets_for(rides, a[1], o)
+    return _write(clean.clean_bus(_dealt(rides, buckets)), a[1], o, buckets=buckets)
 
 
 def _metro_clean(spark, a, o):
-    cleaned = clean.clean_metro(_read(spark, a[0], o), hot_threshold=o.hot_threshold,
+    taps = _read(spark, a[0], o)
+    buckets = _buckets_for(taps, a[1], o)
+    # no card is hot then, so no card-day is
+    cleaned = clean.clean_metro(_dealt(taps, buckets), hot_threshold=None if buckets else o.hot_threshold,
                                 rows_per_chunk=o.rows_per_chunk)
-    return _write(cleaned, a[1], o)
+    return _write(cleaned, a[1], o, buckets=buckets)
 
 
 def _bus_join(spark, a, o):
-    return _write(sites.attach_bus_sites(_read(spark, a[0], o), _read(spark, a[1], o)), a[2], o)
+    joined = sites.attach_bus_sites(_read(spark, a[0], o), _read(spark, a[1], o))
+    return _write(joined, a[2], o, buckets=_buckets_of(spark, a[:1], a[2], o))
 
 
 def _metro_join(spark, a, o):
-    return _write(sites.attach_metro_sites(_read(spark, a[0], o), _read(spark, a[1], o)), a[2], o)
+    joined = sites.attach_metro_sites(_read(spark, a[0], o), _read(spark, a[1], o))
+    return _write(joined, a[2], o, buckets=_buckets_of(spark, a[:1], a[2], o))
 
 
 def _merge(spark, a, o):
-    return _write(merge.merge_taps(_read(spark, a[0], o), _read(spark, a[1], o)), a[2], o)
+    merged = merge.merge_taps(_read(spark, a[0], o), _read(spark, a[1], o))
+    return _write(merged, a[2], o, buckets=_buckets_of(spark, a[:2], a[2], o))
 
 
 def _od_flow(spark, a, o):

@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION = "trade_date"
@@ -57,7 +58,8 @@ def register_parquet(spark: SparkSession, table: str, path: str, db: str | None
 def write_table(df: DataFrame, table: str, db: str | None = None,
                 partition_by: str | None = None, path: str | None = None,
                 mode: str = "overwrite", cluster: bool = True,
-                sort_by: Sequence[str] = (), max_file_rows: int | None = None) -> None:
+                sort_by: Sequence[str] = (), max_file_rows: int | None = None,
+                bucket_by: str | None = None, buckets: int = 0) -> None:
     """Save ``df`` as a Parquet catalog table, or in the folder ``table``.
 
     ``partition_by`` names the optional partition column (S6).  ``path`` makes the
@@ -65,10 +67,20 @@ def write_table(df: DataFrame, table: str, db: str | None = None,
     ``partitions`` (replace only the partitions that ``df`` holds; a table that does
     not exist is made) or one of Spark's.  ``cluster`` rebalances a partitioned
     write; ``sort_by`` orders the rows of each file, ``max_file_rows`` bounds them.
+
+    ``buckets`` > 0 makes a catalog table bucketed by ``bucket_by``: what groups,
+    joins or windows by that column reads it without a shuffle.  A bucket is read by
+    one task, so only a column without hot values will do.  ``cluster`` then deals
+    the rows out by bucket, so that each bucket of a partition is one file; a caller
+    whose rows are dealt out that way already passes False.
     """
     if mode == "partitions" and not partition_by:
         raise ValueError('mode="partitions" needs a partition column')
-    if partition_by and cluster:
+    if buckets and (not bucket_by or is_path(table) or mode != "overwrite"):
+        raise ValueError("a bucketed table needs a bucket column, a catalog name and a whole write")
+    if buckets and cluster:
+        df = df.repartition(buckets, bucket_by)
+    elif partition_by and cluster:
         df = df.hint("rebalance", partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
@@ -77,6 +89,8 @@ def write_table(df: DataFrame, table: str, db: str | None = None,
         _replace_partitions(df, name, partition_by, max_file_rows)
         return
     writer = _writer(df, partition_by, mode, max_file_rows)
+    if buckets:
+        writer = writer.bucketBy(buckets, bucket_by)
     if is_path(table):
         writer.save(table)
         return
@@ -96,9 +110,20 @@ def _writer(df: DataFrame, partition_by: str | None, mode: str, max_file_rows: i
     return writer.partitionBy(partition_by) if partition_by else writer
 
 
+def _described(spark: SparkSession, name: str, what: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == what).collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def table_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    return _described(spark, name, "Location")
+
+
+def buckets_of(spark: SparkSession, table: str, column: str, db: str | None = None) -> int:
+    """Buckets of a catalog table that is bucketed by ``column``; 0 for any other."""
+    if is_path(table) or _described(spark, qualified(db, table), "Bucket Columns") != f"[`{column}`]":
+        return 0
+    return int(_described(spark, qualified(db, table), "Num Buckets"))
 
 
 def _replace_partitions(df: DataFrame, name: str, partition_by: str, max_file_rows: int | None) -> None:
