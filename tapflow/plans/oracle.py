@@ -46,17 +46,21 @@ def _coord(base: int) -> str:
             f"* CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,7))")
 
 
+_TAP = f"""{_CARD} AS card_id, '01' AS card_type, {_LINE} AS line_id,
+               {_STATION} AS station_id, 'D1' AS device_id, ts AS trade_time,
+               CASE WHEN event_type IN ('click', 'view') THEN 'I'
+                    WHEN event_type IN ('purchase', 'signup') THEN 'O' END AS io_type,
+               {_DATE} AS trade_date"""
+
 _MERGED = ", ".join(MERGED_COLUMNS)
 
 # name -> (dependencies, body)
 CTES: dict[str, tuple[list[str], str]] = {
     "metro_taps": ([], f"""
-        SELECT {_CARD} AS card_id, '01' AS card_type, {_LINE} AS line_id,
-               {_STATION} AS station_id, 'D1' AS device_id, ts AS trade_time,
-               CASE WHEN event_type IN ('click', 'view') THEN 'I'
-                    WHEN event_type IN ('purchase', 'signup') THEN 'O' END AS io_type,
-               {_DATE} AS trade_date
-        FROM events WHERE event_id % 2 = 0"""),
+        SELECT {_TAP} FROM events WHERE event_id % 2 = 0"""),
+    "metro_lines": ([], f"""
+        SELECT *, event_id % 20 AS kind, concat_ws(chr(9), card_id, card_type, line_id, station_id, device_id) AS head
+        FROM (SELECT event_id, {_TAP} FROM events WHERE event_id % 2 = 0) t"""),
     "bus_rides": ([], f"""
         SELECT {_CARD} AS card_id, '01' AS card_type, '06' AS trade_type,
                {_board('ts')} AS mark_time,
@@ -219,6 +223,16 @@ def oracle_sql() -> dict[str, str]:
     out["table_scan"] = "SELECT * FROM events"
     out["delimited_scan"] = sql_for("bus_rides")
     out["file_to_table"] = sql_for("metro_taps")
+    out["file_rejects"] = sql_for("metro_lines", r"""
+        SELECT * EXCLUDE (event_id, kind, head), NULL AS line, NULL AS reason FROM metro_lines WHERE kind NOT IN (2, 4, 6)
+        UNION ALL BY NAME
+        SELECT CASE kind WHEN 2 THEN concat_ws(chr(9), head, 'no time', coalesce(io_type, ''), trade_date)
+                         WHEN 4 THEN head
+                         ELSE concat_ws(chr(9), head, regexp_replace(
+                              strftime(trade_time, '%Y-%m-%d %H:%M:%S.%f'), '\.?0+$', ''),
+                              coalesce(io_type, ''), trade_date, 'extra') END AS line,
+               CASE kind WHEN 2 THEN 'value' WHEN 4 THEN 'short' ELSE 'long' END AS reason
+        FROM metro_lines WHERE kind IN (2, 4, 6)""")
     out["table_sink_partitioned"] = sql_for("bus_cleaned")
     out["table_sink_day"] = sql_for("bus_cleaned", """
         SELECT * REPLACE (CASE WHEN trade_date = (SELECT min(trade_date) FROM bus_cleaned) THEN '99'

@@ -195,6 +195,16 @@ def q_file_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table_name("s_ods_metro"), table_path=_scratch(spark, "s_ods_metro"))
 
 
+def q_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8, X2 with reject routing: the good taps, and the lines set aside with their reason."""
+    path, root = _scratch(spark, "metro_lines"), _scratch(spark, "s_ods_metro_checked")
+    fixtures.metro_lines(fixtures.load_events(spark, sf_dir)).write.text(path)
+    delimited.load_with_rejects(spark, path, schemas.metro_tap_schema(T.TimestampNTZType()),
+                                f"{root}/good", f"{root}/rejects")
+    rejects = tables.read_table(spark, f"{root}/rejects").select("line", "reason")
+    return tables.read_table(spark, f"{root}/good").unionByName(rejects, allowMissingColumns=True)
+
+
 def q_table_sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned bus rides saved partitioned by trade_date, read back."""
     name = _table_name("f_bus_cleaned")
@@ -278,6 +288,7 @@ def queries() -> dict[str, Query]:
         "table_scan": q_table_scan,
         "delimited_scan": q_delimited_scan,
         "file_to_table": q_file_to_table,
+        "file_rejects": q_file_rejects,
         "table_sink_partitioned": q_table_sink_partitioned,
         "table_sink_plain": q_table_sink_plain,
         "table_sink_day": q_table_sink_day,

@@ -21,6 +21,7 @@ after it shuffle and split that card as they do without buckets.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tapflow.operators import clean, flow, merge, sites, skew, trips
 from tapflow.sources import delimited, jdbc, schemas, tables
 
+log = logging.getLogger("tapflow")
+
 PARTITION = tables.PARTITION
 BUCKET = "card_id"
 
@@ -40,6 +43,7 @@ class StepOptions:
     hot_threshold: int | None = skew.HOT_ROWS_PER_KEY
     rows_per_chunk: int = skew.ROWS_PER_CHUNK
     path: str | None = None  # optional external location of the output table
+    rejects: str | None = None  # table for the lines of a tap file that do not parse
     buckets: int = 0  # of card_id, for the tables between the clean steps and the OD cut
     mode: str = "overwrite"  # or "partitions": replace only the days that the input holds
 
@@ -80,6 +84,11 @@ def _buckets_of(spark: SparkSession, names: list[str], output: str, o: StepOptio
 
 def _file_load(schema):
     def run(spark: SparkSession, a: list[str], o: StepOptions) -> str:
+        if o.rejects:
+            counts = delimited.load_with_rejects(spark, a[0], schema, a[1], o.rejects, db=o.db, partition_by=PARTITION,
+                                                 table_path=o.path, mode=o.mode)
+            log.info("%s: %s", a[1], counts)
+            return a[1]
         delimited.load_file_to_table(spark, a[0], schema, a[1], db=o.db,
                                      partition_by=PARTITION, table_path=o.path, mode=o.mode)
         return a[1]

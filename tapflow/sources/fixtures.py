@@ -18,6 +18,9 @@ Fixed values (the derivation rule):
                null for signup events; alighting time = ts + floor(value)
                minutes; alighting station 'NATION_' || (event_id + 5) % 25;
                trip id string(event_id % 12); bus id 'B' || event_id % 12
+  tap lines  = the metro taps as lines of a tap file; of every 20 ids, one has a
+               time that is none (2), one its first five fields only (4), and
+               one a ninth field (6)
   stations   = one per nation row: line_no string(n_regionkey),
                line_name line_no || '号线', station_id string(n_nationkey),
                station_name n_name, longitude 116 + n_nationkey / 100,
@@ -61,8 +64,8 @@ def _station() -> Column:
     return F.concat(base, F.when(eid % 3 == 0, F.lit(" ")).otherwise(F.lit("")))
 
 
-def metro_taps(events: DataFrame) -> DataFrame:
-    """Metro gate taps (8 fields of the metro tap file) from ``events``."""
+def metro_taps(events: DataFrame, *more: str) -> DataFrame:
+    """Metro gate taps (8 fields of the metro tap file) from ``events``, and its columns ``more``."""
     et = F.col("event_type")
     io = (F.when(et.isin("click", "view"), F.lit("I"))
           .when(et.isin("purchase", "signup"), F.lit("O")))
@@ -75,9 +78,24 @@ def metro_taps(events: DataFrame) -> DataFrame:
         F.col("ts").alias("trade_time"),
         io.alias("io_type"),
         _trade_date().alias("trade_date"),
+        *more,
     )
 
 
+BAD_TIME, SHORT, LONG, OF_IDS = 2, 4, 6, 20
+
+
+def metro_lines(events: DataFrame) -> DataFrame:
+    """Lines (``value``) of a metro tap file, some of which do not parse."""
+    taps = metro_taps(events.withColumn("_kind", F.col("event_id") % OF_IDS), "_kind")
+    time = F.when(F.col("_kind") == BAD_TIME, F.lit("no time")).otherwise(F.col("trade_time").cast("string"))
+    head = ["card_id", "card_type", "line_id", "station_id", "device_id"]
+    rest = [time, F.coalesce("io_type", F.lit("")), F.col("trade_date")]
+    line = F.concat_ws("\t", *head, *rest)
+    return taps.select(F.when(F.col("_kind") == SHORT, F.concat_ws("\t", *head))
+                       .when(F.col("_kind") == LONG, F.concat(line, F.lit("\textra"))).otherwise(line).alias("value"))
+
+
 def bus_rides(events: DataFrame) -> DataFrame:
     """Bus rides (14 fields of the bus ride file) from ``events``."""
     eid = F.col("event_id")
