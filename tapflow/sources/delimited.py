@@ -59,14 +59,12 @@ def _reason(fields: int, sep: str) -> Column:
 def read_checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = SEPARATOR) -> DataFrame:
     """S1 with ``line``, ``reason`` and ``file`` (null for lines that parse whole).
 
-    One scan; lines are parsed with all their fields whatever is selected of them,
-    as a line is only known to be short or long when none is skipped.  Blank lines
-    (white space only) are no rows, as for the reader without checks.  Spark refuses a query
-    that reads nothing of the lines but whether they parse: write them first."""
+    One scan.  Take all columns of it, as ``load_with_rejects`` does: Spark converts
+    only what a query selects, so bad values of a column that is left out go unseen.
+    Blank lines (white space only) are no rows, as for the reader without checks."""
     lines = (spark.read
              .option("header", False).option("inferSchema", False).option("sep", sep)
              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
-             .option("columnPruning", False)
              .schema(T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())]))
              .csv(path))
     bad = F.col(_RAW).isNotNull()
