@@ -24,12 +24,14 @@ def _desc(cols: list[str]) -> str:
     return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
 
 
-_STATION = ("(CASE WHEN event_id % 7 = 0 THEN 'NATION_99' "
+_STATION = ("CASE WHEN twin = 2 THEN 'NATION_' || CAST((event_id + 7) % 25 AS VARCHAR) "
+            "ELSE (CASE WHEN event_id % 7 = 0 THEN 'NATION_99' "
             "ELSE 'NATION_' || CAST(event_id % 25 AS VARCHAR) END) "
-            "|| (CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END)")
+            "|| (CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END) END")
 _DATE = "strftime(ts, '%Y%m%d')"
 _CARD = "CAST(user_id % 25 AS VARCHAR)"
-_LINE = "CAST(event_id % 5 AS VARCHAR)"
+_LINE = ("CASE WHEN event_id % 33 = 0 THEN '' WHEN event_id % 34 = 0 THEN NULL "
+         "ELSE CAST(event_id % 5 AS VARCHAR) END")
 _TRIP = "CAST(event_id % 12 AS VARCHAR)"
 
 
@@ -48,19 +50,26 @@ def _coord(base: int) -> str:
 
 _TAP = f"""{_CARD} AS card_id, '01' AS card_type, {_LINE} AS line_id,
                {_STATION} AS station_id, 'D1' AS device_id, ts AS trade_time,
-               CASE WHEN event_type IN ('click', 'view') THEN 'I'
-                    WHEN event_type IN ('purchase', 'signup') THEN 'O' END AS io_type,
+               CASE WHEN event_type IN ('click', 'view') THEN (CASE WHEN twin = 2 THEN 'O' ELSE 'I' END)
+                    WHEN event_type IN ('purchase', 'signup') THEN (CASE WHEN twin = 2 THEN 'I' ELSE 'O' END)
+               END AS io_type,
                {_DATE} AS trade_date"""
+# a second row for copied (1) and twin (2) taps
+_METRO = """(SELECT *, unnest(CASE event_id % 40 WHEN 22 THEN [0, 1] WHEN 2 THEN [0, 2] ELSE [0] END) AS twin
+             FROM events WHERE event_id % 2 = 0)"""
+_BUS = """(SELECT *, unnest(CASE event_id % 40 WHEN 1 THEN [0, 1] WHEN 21 THEN [0, 2] ELSE [0] END) AS twin
+           FROM events WHERE event_id % 2 = 1)"""
 
 _MERGED = ", ".join(MERGED_COLUMNS)
 
 # name -> (dependencies, body)
 CTES: dict[str, tuple[list[str], str]] = {
     "metro_taps": ([], f"""
-        SELECT {_TAP} FROM events WHERE event_id % 2 = 0"""),
+        SELECT {_TAP} FROM {_METRO} e"""),
     "metro_lines": ([], f"""
-        SELECT *, event_id % 20 AS kind, concat_ws(chr(9), card_id, card_type, line_id, station_id, device_id) AS head
-        FROM (SELECT event_id, {_TAP} FROM events WHERE event_id % 2 = 0) t"""),
+        SELECT *, event_id % 20 AS kind, concat_ws(chr(9), card_id, card_type,
+               CASE WHEN line_id = '' THEN '""' ELSE coalesce(line_id, '') END, station_id, device_id) AS head
+        FROM (SELECT event_id, {_TAP} FROM {_METRO} e) t"""),
     "bus_rides": ([], f"""
         SELECT {_CARD} AS card_id, '01' AS card_type, '06' AS trade_type,
                {_board('ts')} AS mark_time,
@@ -70,17 +79,24 @@ CTES: dict[str, tuple[list[str], str]] = {
                {_board(_TRIP)} AS mark_tms_id,
                {_alight('ts + to_minutes(CAST(floor(value) AS BIGINT))')} AS trade_time,
                {_alight(_LINE)} AS trade_line_id,
-               {_alight("'NATION_' || CAST((event_id + 5) % 25 AS VARCHAR)")} AS trade_station,
+               {_alight("'NATION_' || CAST((event_id + 5 + (CASE WHEN twin = 2 THEN 7 ELSE 0 END)) % 25 AS VARCHAR)")} AS trade_station,
                {_alight("'B' || " + _TRIP)} AS trade_bus_id,
                {_alight(_TRIP)} AS trade_tms_id,
                {_DATE} AS trade_date
-        FROM events WHERE event_id % 2 = 1"""),
+        FROM {_BUS} e"""),
     "bus_stations": ([], f"""
-        SELECT CAST(n_regionkey AS VARCHAR) AS line_no,
-               CAST(n_regionkey AS VARCHAR) || '号线' AS line_name,
-               CAST(n_nationkey AS VARCHAR) AS station_id, n_name AS station_name,
+        SELECT CASE WHEN more < 200 THEN CAST(n_regionkey AS VARCHAR) WHEN more = 200 THEN '' END AS line_no,
+               CASE WHEN more < 200 THEN CAST(n_regionkey AS VARCHAR) || '号线' WHEN more = 200 THEN '八通线' END AS line_name,
+               CAST(n_nationkey + more AS VARCHAR) AS station_id, n_name AS station_name,
                {_coord(116)} AS station_longitude, {_coord(39)} AS station_latitude
-        FROM nation"""),
+        FROM (SELECT *, 0 AS more FROM nation
+              UNION ALL SELECT *, 100 FROM nation WHERE n_nationkey % 8 = 3
+              UNION ALL SELECT *, 0 FROM nation WHERE n_nationkey % 12 = 5
+              UNION ALL SELECT *, 200 FROM nation WHERE n_nationkey % 10 = 7
+              UNION ALL SELECT *, 300 FROM nation WHERE n_nationkey % 10 = 9) n"""),
+    "duplicate_site_keys": (["bus_stations"], """
+        SELECT trim(line_no) AS line_no, trim(station_name) AS station_name, count(*) AS "rows"
+        FROM bus_stations GROUP BY ALL HAVING count(*) > 1"""),
     "metro_stations": (["bus_stations"], """
         SELECT line_name, station_id, station_name, station_longitude, station_latitude
         FROM bus_stations"""),
@@ -215,16 +231,19 @@ _FLOW_KEY = "trade_date, od_desc, od_type, station_name, station_longitude, stat
 def oracle_sql() -> dict[str, str]:
     keys = ["bus_cleaned", "metro_trip_ids", "single_tap_trips", "anti_single_tap",
             "metro_cleaned", "site_line_no", "bus_with_site", "metro_with_site",
-            "metro_aligned", "all_taps", "tap_gaps", "trip_segments", "endpoint_marks",
+            "metro_aligned", "duplicate_site_keys", "all_taps", "tap_gaps", "trip_segments", "endpoint_marks",
             "od_records", "passenger_flow"]
     out = {k: sql_for(k) for k in keys}
     out["metro_cleaned_chunked"] = out["metro_cleaned"]
     out["od_records_chunked"] = out["od_records"]
     out["table_scan"] = "SELECT * FROM events"
-    out["delimited_scan"] = sql_for("bus_rides")
-    out["file_to_table"] = sql_for("metro_taps")
+    # an empty field of a file is read as null, quoted or not
+    out["delimited_scan"] = sql_for("bus_rides", """
+        SELECT * REPLACE (nullif(mark_line_id, '') AS mark_line_id, nullif(trade_line_id, '') AS trade_line_id) FROM bus_rides""")
+    out["file_to_table"] = sql_for("metro_taps", "SELECT * REPLACE (nullif(line_id, '') AS line_id) FROM metro_taps")
     out["file_rejects"] = sql_for("metro_lines", r"""
-        SELECT * EXCLUDE (event_id, kind, head), NULL AS line, NULL AS reason FROM metro_lines WHERE kind NOT IN (2, 4, 6)
+        SELECT * EXCLUDE (event_id, kind, head) REPLACE (nullif(line_id, '') AS line_id), NULL AS line, NULL AS reason
+        FROM metro_lines WHERE kind NOT IN (2, 4, 6)
         UNION ALL BY NAME
         SELECT CASE kind WHEN 2 THEN concat_ws(chr(9), head, 'no time', coalesce(io_type, ''), trade_date)
                          WHEN 4 THEN head

@@ -259,6 +259,10 @@ def q_site_line_no(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.site_line_no(TapFlow(spark, sf_dir).inputs["metro_stations"])
 
 
+def q_duplicate_site_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.duplicate_site_keys(TapFlow(spark, sf_dir).inputs["bus_stations"])
+
+
 def q_metro_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.align_metro(TapFlow(spark, sf_dir).metro_with_site)
 
@@ -301,6 +305,7 @@ def queries() -> dict[str, Query]:
         "bus_with_site": _chain("bus_with_site"),
         "metro_with_site": _chain("metro_with_site"),
         "metro_aligned": q_metro_aligned,
+        "duplicate_site_keys": q_duplicate_site_keys,
         "all_taps": _chain("all_taps"),
         "tap_gaps": _chain("tap_gaps"),
         "trip_segments": _chain("trip_segments"),

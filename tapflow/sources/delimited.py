@@ -2,7 +2,7 @@
 
 The reader takes a fixed schema (no header, no inference) and parses
 permissively: a bad timestamp becomes null, a short row gets nulls, extra
-fields are dropped and quotes are honoured.  Plain text files split into
+fields are dropped, quotes are honoured and an empty field is null, quoted or not.  Plain text files split into
 ``spark.sql.files.maxPartitionBytes`` chunks, so a large file is read by many
 tasks; compressed files (gzip) cannot be split, so prefer many files or a
 splittable codec for large loads.

@@ -8,7 +8,7 @@ derived tables grow with ``events``.
 Fixed values (the derivation rule):
   card_id    = string(user_id % 25)
   trade_date = yyyyMMdd of ts
-  line       = string(event_id % 5)
+  line       = string(event_id % 5); '' if event_id % 33 = 0, null if event_id % 34 = 0
   station    = 'NATION_99' if event_id % 7 = 0 else 'NATION_' || event_id % 25,
                plus one trailing blank if event_id % 3 = 0
   metro taps = even event_id; io_type I for click/view, O for purchase/signup,
@@ -21,10 +21,17 @@ Fixed values (the derivation rule):
   tap lines  = the metro taps as lines of a tap file; of every 20 ids, one has a
                time that is none (2), one its first five fields only (4), and
                one a ninth field (6)
+  repeats    = a tap whose event_id % 40 is 22 (metro) or 1 (bus) stands twice; one
+               where it is 2 (metro) or 21 (bus) has a twin at the same time whose
+               stations are 7 further on (no blank), a metro twin with I for O and
+               O for I
   stations   = one per nation row: line_no string(n_regionkey),
                line_name line_no || '号线', station_id string(n_nationkey),
                station_name n_name, longitude 116 + n_nationkey / 100,
-               latitude 39 + n_nationkey / 100, both decimal(10,7)
+               latitude 39 + n_nationkey / 100, both decimal(10,7); further rows for
+               n_nationkey % 8 = 3 (station_id + 100), % 12 = 5 (the same row), % 10 = 7
+               (line '', name '八通线', station_id + 200), % 10 = 9 (null line and line
+               name, station_id + 300)
 """
 
 from __future__ import annotations
@@ -38,6 +45,10 @@ STATIONS = 25
 BUS_TRIPS = 12
 UNKNOWN_STATION = "NATION_99"
 LINE_SUFFIX = "号线"
+DIGITLESS_LINE = "八通线"
+#: How a repeated tap or station row comes about.
+OWN, COPY, TWIN = 0, 1, 2
+TWIN_STEP = 7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,22 +65,37 @@ def _trade_date() -> Column:
 
 
 def _line() -> Column:
-    return (F.col("event_id") % LINES).cast("string")
+    eid = F.col("event_id")
+    return F.when(eid % 33 == 0, F.lit("")).when(eid % 34 == 0, F.lit(None)).otherwise((eid % LINES).cast("string"))
 
 
 def _station() -> Column:
     eid = F.col("event_id")
     base = F.when(eid % 7 == 0, F.lit(UNKNOWN_STATION)).otherwise(
         F.concat(F.lit("NATION_"), (eid % STATIONS).cast("string")))
-    return F.concat(base, F.when(eid % 3 == 0, F.lit(" ")).otherwise(F.lit("")))
+    own = F.concat(base, F.when(eid % 3 == 0, F.lit(" ")).otherwise(F.lit("")))
+    return F.when(F.col("_kind") == TWIN, _station_no(TWIN_STEP)).otherwise(own)
+
+
+def _station_no(step: int) -> Column:
+    return F.concat(F.lit("NATION_"), ((F.col("event_id") + step) % STATIONS).cast("string"))
+
+
+def _repeated(events: DataFrame, copy: int, twin: int) -> DataFrame:
+    """``events`` with ``_kind``: a second row for the copied and the twin taps."""
+    at = F.col("event_id") % 40
+    kinds = F.when(at == copy, F.array(F.lit(OWN), F.lit(COPY))).when(at == twin, F.array(F.lit(OWN), F.lit(TWIN))).otherwise(
+        F.array(F.lit(OWN)))
+    return events.withColumn("_kind", F.explode(kinds))
 
 
 def metro_taps(events: DataFrame, *more: str) -> DataFrame:
     """Metro gate taps (8 fields of the metro tap file) from ``events``, and its columns ``more``."""
     et = F.col("event_type")
-    io = (F.when(et.isin("click", "view"), F.lit("I"))
-          .when(et.isin("purchase", "signup"), F.lit("O")))
-    return events.where(F.col("event_id") % 2 == 0).select(
+    same, other = F.col("_kind") != TWIN, F.col("_kind") == TWIN
+    io = (F.when(et.isin("click", "view") & same | et.isin("purchase", "signup") & other, F.lit("I"))
+          .when(et.isin("purchase", "signup", "click", "view"), F.lit("O")))
+    return _repeated(events.where(F.col("event_id") % 2 == 0), copy=22, twin=2).select(
         _card().alias("card_id"),
         F.lit("01").alias("card_type"),
         _line().alias("line_id"),
@@ -87,13 +113,15 @@ BAD_TIME, SHORT, LONG, OF_IDS = 2, 4, 6, 20
 
 def metro_lines(events: DataFrame) -> DataFrame:
     """Lines (``value``) of a metro tap file, some of which do not parse."""
-    taps = metro_taps(events.withColumn("_kind", F.col("event_id") % OF_IDS), "_kind")
-    time = F.when(F.col("_kind") == BAD_TIME, F.lit("no time")).otherwise(F.col("trade_time").cast("string"))
-    head = ["card_id", "card_type", "line_id", "station_id", "device_id"]
+    taps = metro_taps(events.withColumn("_flaw", F.col("event_id") % OF_IDS), "_flaw")
+    flaw = F.col("_flaw")
+    time = F.when(flaw == BAD_TIME, F.lit("no time")).otherwise(F.col("trade_time").cast("string"))
+    line_id = F.when(F.col("line_id") == "", F.lit('""')).otherwise(F.coalesce("line_id", F.lit("")))
+    head = [F.col("card_id"), F.col("card_type"), line_id, F.col("station_id"), F.col("device_id")]
     rest = [time, F.coalesce("io_type", F.lit("")), F.col("trade_date")]
     line = F.concat_ws("\t", *head, *rest)
-    return taps.select(F.when(F.col("_kind") == SHORT, F.concat_ws("\t", *head))
-                       .when(F.col("_kind") == LONG, F.concat(line, F.lit("\textra"))).otherwise(line).alias("value"))
+    return taps.select(F.when(flaw == SHORT, F.concat_ws("\t", *head))
+                       .when(flaw == LONG, F.concat(line, F.lit("\textra"))).otherwise(line).alias("value"))
 
 
 def bus_rides(events: DataFrame) -> DataFrame:
@@ -111,8 +139,8 @@ def bus_rides(events: DataFrame) -> DataFrame:
     bus = F.concat(F.lit("B"), trip)
     alight_time = F.col("ts") + F.make_dt_interval(
         mins=F.floor("value").cast("int"))
-    alight_station = F.concat(F.lit("NATION_"), ((eid + 5) % STATIONS).cast("string"))
-    return events.where(eid % 2 == 1).select(
+    alight_station = F.when(F.col("_kind") == TWIN, _station_no(5 + TWIN_STEP)).otherwise(_station_no(5))
+    return _repeated(events.where(eid % 2 == 1), copy=1, twin=21).select(
         _card().alias("card_id"),
         F.lit("01").alias("card_type"),
         F.lit("06").alias("trade_type"),
@@ -138,11 +166,17 @@ def _coordinate(base: int) -> Column:
 
 def bus_stations(nation: DataFrame) -> DataFrame:
     """Bus station table (JDBC layout) from ``nation``."""
+    key = F.col("n_nationkey")
+    more = [F.when(key % 8 == 3, F.lit(100)), F.when(key % 12 == 5, F.lit(0)),
+            F.when(key % 10 == 7, F.lit(200)), F.when(key % 10 == 9, F.lit(300))]
+    rows = nation.withColumn("_more", F.explode(F.filter(F.array(F.lit(0), *more), lambda x: x.isNotNull())))
+    plain = F.col("_more") < 200
     line_no = F.col("n_regionkey").cast("string")
-    return nation.select(
-        line_no.alias("line_no"),
-        F.concat(line_no, F.lit(LINE_SUFFIX)).alias("line_name"),
-        F.col("n_nationkey").cast("string").alias("station_id"),
+    digitless = F.col("_more") == 200
+    return rows.select(
+        F.when(plain, line_no).when(digitless, F.lit("")).alias("line_no"),
+        F.when(plain, F.concat(line_no, F.lit(LINE_SUFFIX))).when(digitless, F.lit(DIGITLESS_LINE)).alias("line_name"),
+        (key + F.col("_more")).cast("string").alias("station_id"),
         F.col("n_name").alias("station_name"),
         _coordinate(116).alias("station_longitude"),
         _coordinate(39).alias("station_latitude"),

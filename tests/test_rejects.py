@@ -54,7 +54,7 @@ def test_empty_and_clean_files(spark, folder):
                                        partition_by=None) == delimited.LoadCounts(0, 0, {})
     delimited.write_delimited(TapFlow(spark, SF0001).inputs["bus_rides"], f"{folder}/bus")
     counts = delimited.load_with_rejects(spark, f"{folder}/bus", schemas.bus_ride_schema(), f"{folder}/g1", f"{folder}/b1")
-    assert counts.good == counts.lines == 500 and tables.read_table(spark, f"{folder}/b1").count() == 0
+    assert counts.good == counts.lines == 550 and tables.read_table(spark, f"{folder}/b1").count() == 0
 
 
 def test_checked_rows(spark, folder):
@@ -68,5 +68,5 @@ def test_step_loads_with_rejects(spark, folder):
     lines.write.text(f"{folder}/lines")
     out = run_step(spark, "metro-load", [f"{folder}/lines", f"{folder}/ods"], StepOptions(rejects=f"{folder}/bad"))
     bad = tables.read_table(spark, f"{folder}/bad")
-    assert out.count() + bad.count() == lines.count() == 500 and bad.count() == 150
+    assert out.count() + bad.count() == lines.count() == 550 and bad.count() == 200
     assert out.columns[-1] == "trade_date"
