@@ -116,13 +116,14 @@ class TripKeys:
       that of a plain card-day, which the string itself names.
 
     ``numbered(taps)`` numbers the trips of a subset of whole card-days.  Where
-    no ambiguous tap exists -- one narrow count says so -- nothing else runs.
+    no ambiguous tap exists -- one narrow count says so, unless the caller knows it
+    already (``any_odd`` False) -- nothing else runs.
     """
 
-    def __init__(self, taps: DataFrame, numbered):
+    def __init__(self, taps: DataFrame, numbered, any_odd: bool | None = None):
         self.strings = None
         odd = taps.where(ambiguous())
-        if odd.isEmpty():
+        if any_odd is False or odd.isEmpty():
             return
         shared_dir(taps.sparkSession)
         own = numbered(odd).groupBy("tct").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
@@ -251,9 +252,9 @@ def number_trips(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_
 
 
 def trip_keys(taps: DataFrame, hot_threshold: int | None, rows_per_chunk: int,
-              hot_keys: skew.HotKeys | None) -> TripKeys:
+              hot_keys: skew.HotKeys | None, any_odd: bool | None = None) -> TripKeys:
     """``TripKeys`` of all taps, numbering their subsets with the same hot split."""
-    return TripKeys(taps, lambda part: number_trips(part, hot_threshold, rows_per_chunk, hot_keys))
+    return TripKeys(taps, lambda part: number_trips(part, hot_threshold, rows_per_chunk, hot_keys), any_odd)
 
 
 def clean_part(taps: DataFrame, keys: TripKeys, chunks: int | None = None) -> DataFrame:

@@ -93,19 +93,18 @@ def hot_keys_by(counts: DataFrame, keys: list[str], rows: Column,
                 threshold: int) -> HotKeys | None:
     """Hot keys of a table of per-key counts: those with ``rows`` > threshold.
 
-    The count (a scan and a shuffle) runs once: its flagged keys are
-    checkpointed, and their number and row total come from that.
+    One aggregate job says whether there are any; only then are the flagged keys
+    checkpointed, and their number and row total taken from that.
     """
+    flagged = counts.where(rows > threshold)
+    if flagged.isEmpty():
+        return None
     shared_dir(counts.sparkSession)
-    flagged = (counts.where(rows > threshold)
-               .select(*[F.col(k).alias(_PREFIX + k) for k in keys], rows.alias("_rows"))
-               .checkpoint(eager=True))
+    flagged = flagged.select(*[F.col(k).alias(_PREFIX + k) for k in keys], rows.alias("_rows")).checkpoint(eager=True)
     stats = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("r")).first()
     if stats["n"] > MAX_HOT_KEYS:  # no more than that many keys have more than the mean
         flagged = flagged.where(F.col("_rows") > stats["r"] // MAX_HOT_KEYS)
         stats = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("r")).first()
-    if not stats["n"]:
-        return None
     ids = flagged.drop("_rows").withColumn(KID, F.monotonically_increasing_id())
     return HotKeys(ids, list(keys), int(stats["n"]), int(stats["r"]))
 

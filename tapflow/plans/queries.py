@@ -45,10 +45,30 @@ class TapFlow:
         self.hot_threshold = hot_threshold
         self.rows_per_chunk = rows_per_chunk
 
+    @property
+    def _card_days(self) -> DataFrame:
+        """Raw taps of both modes per card-day."""
+        raw = (self.inputs["bus_rides"].select(*CARD_DAY)
+               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY)))
+        return raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_n"))
+
+    @cached_property
+    def _facts(self) -> dict:
+        """What the plans depend on, in one job of narrow counts: station rows and key
+        multiplicity per mode; and the most raw taps of a card-day, with the number of
+        card-days whose trip keys may print like another's."""
+        stations = sites.site_fact_rows(self.inputs["bus_stations"], self.inputs["metro_stations"])
+        cards = self._card_days.agg(
+            F.lit("cards").alias("table"), F.coalesce(F.max("_n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(clean.ambiguous().cast("long")), F.lit(0)).alias("multiplicity"))
+        return {r["table"]: r for r in stations.unionByName(cards).collect()}
+
     @cached_property
     def site_facts(self) -> sites.SiteFacts:
-        """Station row counts (broadcast proofs) and key multiplicity: one job."""
-        return sites.site_facts(self.inputs["bus_stations"], self.inputs["metro_stations"])
+        """Station row counts (broadcast proofs) and key multiplicity."""
+        if self.hot_threshold is None and "_facts" not in self.__dict__:
+            return sites.site_facts(self.inputs["bus_stations"], self.inputs["metro_stations"])
+        return sites.facts_from_rows(self._facts)
 
     @cached_property
     def hot(self) -> skew.HotKeys | None:
@@ -64,11 +84,10 @@ class TapFlow:
         """
         if self.hot_threshold is None:
             return None
-        raw = (self.inputs["bus_rides"].select(*CARD_DAY)
-               .unionByName(self.inputs["metro_taps"].select(*CARD_DAY)))
-        counts = raw.groupBy(*CARD_DAY).agg(F.count(F.lit(1)).alias("_n"))
-        bound = F.col("_n") * max(1, self.site_facts.multiplicity)
-        return skew.hot_keys_by(counts, CARD_DAY, bound, self.hot_threshold)
+        k = max(1, self.site_facts.multiplicity)
+        if self._facts["cards"]["rows"] * k <= self.hot_threshold:
+            return None  # the usual case: one job for all facts
+        return skew.hot_keys_by(self._card_days, CARD_DAY, F.col("_n") * k, self.hot_threshold)
 
     def _chunks(self) -> int:
         return skew.chunk_count(self.hot.rows, self.rows_per_chunk)
@@ -96,7 +115,8 @@ class TapFlow:
 
     @cached_property
     def _trip_keys(self) -> clean.TripKeys:
-        return clean.trip_keys(self.inputs["metro_taps"], None, self.rows_per_chunk, self.hot)
+        any_odd = None if self.hot_threshold is None else self._facts["cards"]["multiplicity"] > 0
+        return clean.trip_keys(self.inputs["metro_taps"], None, self.rows_per_chunk, self.hot, any_odd)
 
     def _metro_cleaned(self, hot: bool) -> DataFrame:
         chunks = self._chunks() if hot else None

@@ -150,3 +150,18 @@ def test_one_second_is_cut_od(spark):
         want = trips.od_part(tagged.drop(skew.KID), step)
         assert same(want.select(*got.columns), got), step
     assert same(trips.od_records(taps, hot_threshold=None), trips.od_records(taps, hot_threshold=500, rows_per_chunk=200))
+
+
+def test_no_hot_card_day_takes_one_job(spark):
+    """Nothing hot: the facts of stations and card-days come from one query, and that is all."""
+    tf = TapFlow(spark, SF001)
+    facts = tf._facts
+    spark.sparkContext.setJobGroup("facts", "facts")
+    try:
+        assert tf.hot is None and tf.site_facts.bus_rows > 0 and tf._trip_keys.strings is None
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("facts")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    taps = tf.inputs["bus_rides"].select("card_id", "trade_date").unionByName(tf.inputs["metro_taps"].select("card_id", "trade_date"))
+    assert facts["cards"]["rows"] == taps.groupBy("card_id", "trade_date").count().agg(F.max("count")).first()[0]
+    assert facts["cards"]["multiplicity"] == 0
