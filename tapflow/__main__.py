@@ -38,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
                    help="rows above which a card-day is processed in chunks")
     p.add_argument("--rows-per-chunk", type=int, default=None,
                    help="target rows per chunk of a hot card-day")
+    p.add_argument("--restartable", action="store_true",
+                   help="publish the output whole, and skip a step whose inputs are unchanged")
     p.add_argument("--rejects", default=None,
                    help="table for the lines of a tap file that do not parse whole")
     p.add_argument("--buckets", type=int, default=0,
@@ -60,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.password_env:
         jdbc["password"] = os.environ[args.password_env]
     options = StepOptions(db=args.db, jdbc=jdbc, path=args.path, buckets=args.buckets,
-                          rejects=args.rejects)
+                          rejects=args.rejects, restartable=args.restartable)
     if args.replace_partitions:
         options.mode = "partitions"
     if args.hot_threshold is not None:

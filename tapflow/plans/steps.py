@@ -17,6 +17,11 @@ join moves no tap), the merge's distinct and every window of the OD cut read the
 place, so no card is shuffled again until the flow is counted.  A bucket is read by one
 task, so a step whose input has a hot card writes a plain table instead, and the steps
 after it shuffle and split that card as they do without buckets.
+
+With ``restartable`` a step can be killed at any time and run again: it writes a
+version of its table beside the one that readers see, publishes it in one catalog
+step together with a record of the inputs it was made from, and is skipped when that
+record says that it is done (``tapflow.sources.versions``).
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tapflow.operators import clean, flow, merge, sites, skew, trips
-from tapflow.sources import delimited, jdbc, schemas, tables
+from tapflow.sources import delimited, jdbc, schemas, tables, versions
 
 log = logging.getLogger("tapflow")
 
@@ -43,6 +48,7 @@ class StepOptions:
     hot_threshold: int | None = skew.HOT_ROWS_PER_KEY
     rows_per_chunk: int = skew.ROWS_PER_CHUNK
     path: str | None = None  # optional external location of the output table
+    restartable: bool = False  # publish versions, skip finished work (catalog names only)
     rejects: str | None = None  # table for the lines of a tap file that do not parse
     buckets: int = 0  # of card_id, for the tables between the clean steps and the OD cut
     mode: str = "overwrite"  # or "partitions": replace only the days that the input holds
@@ -172,5 +178,22 @@ def run_step(spark: SparkSession, name: str, args: list[str],
     if len(args) != step.inputs:
         raise ValueError(f"{name} takes {step.inputs} table names: {step.help}")
     o = options or StepOptions()
+    if o.restartable:
+        return _versioned(spark, name, step, args, o)
     out = step.run(spark, args, o)
     return tables.read_table(spark, out, o.db)
+
+
+def _versioned(spark: SparkSession, name: str, step: Step, args: list[str], o: StepOptions) -> DataFrame:
+    """The step into a version of its own, published when it is whole."""
+    if o.path or o.mode != "overwrite":
+        raise ValueError("a restartable step writes whole managed tables")
+    *inputs, target = args
+    made_from = versions.record(spark, name, inputs, o.db)
+    if versions.published_record(spark, target, o.db) == made_from:
+        log.info("%s: %s is up to date", name, target)
+        return tables.read_table(spark, target, o.db)
+    version = versions.new_version(spark, target, o.db)
+    step.run(spark, [*inputs, version], o)
+    versions.publish(spark, target, version, made_from, o.db)
+    return tables.read_table(spark, target, o.db)

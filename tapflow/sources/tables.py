@@ -120,7 +120,11 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 
 def buckets_of(spark: SparkSession, table: str, column: str, db: str | None = None) -> int:
-    """Buckets of a catalog table that is bucketed by ``column``; 0 for any other."""
+    """Buckets of a catalog table (or of the table that a plain view of all its columns
+    names in its properties) that is bucketed by ``column``; 0 for any other."""
+    if not is_path(table) and spark.catalog.getTable(qualified(db, table)).tableType == "VIEW":
+        named = spark.sql(f"SHOW TBLPROPERTIES {qualified(db, table)}").where("key = 'tapflow.version'").collect()
+        table = named[0]["value"] if named else table
     if is_path(table) or _described(spark, qualified(db, table), "Bucket Columns") != f"[`{column}`]":
         return 0
     return int(_described(spark, qualified(db, table), "Num Buckets"))
