@@ -248,3 +248,26 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
 
 def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, threshold=80)
+
+
+#: Plain form: every pair that shares a shingle, compared on full sets.
+ORACLE = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM worded),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT x, y FROM common c JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c.n >= 80 * (p.n + q.n - c.n)),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+component AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN component c ON d.doc_id = c.x LEFT JOIN size s ON s.doc_id = d.doc_id
+"""

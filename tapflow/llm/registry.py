@@ -34,6 +34,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_spaced_seeds": decontaminate.ORACLE,
         "op2_pigeonhole": embeddings.ORACLE,
+        "op3_superminhash": minhash.ORACLE,
         "op5_fm_index": substrings.ORACLE,
         "op12_filter_audit": audit.ORACLE,
         "op13_collocations": collocations.ORACLE,
