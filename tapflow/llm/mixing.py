@@ -20,8 +20,13 @@ blocks.
 Scale: word offsets come from bucketed prefix sums (``ranking.ranked``), so a
 source with a third of all rows is spread over many tasks; a document is
 exploded only into the blocks it touches; the slot table is generated in
-parallel from (shard, source, count) rows, in chunks.  Only one row per
-*source* reaches the driver (a category column: its values, not its rows).
+parallel from (shard, source, count) rows, in chunks.  Up to ``MAX_SOURCES``
+sources (counted) are planned on the driver.  Beyond, a source table stays on
+Spark: it is numbered by range buckets, the excess is reshared by one aggregate
+a round, and it meets the documents by shuffle.  Slots are dealt to the shards in
+two steps on both ways, so both give the same mix: groups of ``SOURCE_GROUP``
+sources draw from the group totals (at most ``MAX_GROUPS`` rows, on the driver),
+and each group's sources from the group's counts, in a task of its own.
 
 Defined cases: null source is one more source, last in order; null and empty
 texts have size 0 and nothing taken; a long text covers many blocks; repeated
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ranking
-from .tables import cut, keyed, table, with_rows
+from .tables import cut, key_groups, keyed, table, with_rows
 from .textkernel import mix64
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -49,6 +54,8 @@ CAP = 2
 BLOCK_WORDS = 128
 OUT_SHARDS = 8
 SEED = 29
+#: Sources that are planned on the driver at most, sources that draw together, and groups of them.
+MAX_SOURCES, SOURCE_GROUP, MAX_GROUPS = 10_000, 1_000, 10_000
 #: Slots that one row of the slot plan expands to.
 SLOT_CHUNK = 20_000
 
@@ -74,14 +81,15 @@ def targets(sizes: list[int], weights: list[float], share: float = SHARE,
     return want
 
 
-def shard_counts(slots: list[int], out_shards: int, seed: int) -> np.ndarray:
+def shard_counts(slots: list[int], out_shards: int, seed: int, needs: list[int] | None = None) -> np.ndarray:
     """(out_shards, sources) slot counts: each shard's row is a multinomial draw
-    over the slots that are left, cut at what is left; column sums equal ``slots``."""
+    over the slots that are left, cut at what is left; column sums equal ``slots``.
+    ``needs``: the slots of each shard; else all shards get about as many."""
     rng = np.random.default_rng(seed)
     left = np.array(slots, dtype=np.int64)
     out = np.zeros((out_shards, len(slots)), dtype=np.int64)
     for s in range(out_shards):
-        need = int(left.sum()) // (out_shards - s)
+        need = int(left.sum()) // (out_shards - s) if needs is None else int(needs[s])
         while need > 0:
             draw = np.minimum(rng.multinomial(need, left / left.sum()), left)
             out[s] += draw
@@ -90,6 +98,78 @@ def shard_counts(slots: list[int], out_shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def group_size(sources: int) -> int:
+    return max(SOURCE_GROUP, -(-sources // MAX_GROUPS))
+
+
+def group_needs(totals: list[int], out_shards: int, seed: int) -> list[list[int]]:
+    """Slots of every shard (inner) that each group of sources (outer) fills."""
+    if len(totals) == 1:
+        left, out = totals[0], []
+        for s in range(out_shards):
+            out.append(left // (out_shards - s))
+            left -= out[-1]
+        return [out]
+    return shard_counts(totals, out_shards, seed).T.tolist()
+
+
+def plan_rows(src: list[int], slots: list[int], blocks: list[int], needs: list[int], seed: int) -> list[tuple]:
+    """Rows (src, low, k, n, out_shard) of one group of sources: k slots from ``low`` on."""
+    out, done = [], [0] * len(src)
+    for s, counts in enumerate(shard_counts(slots, len(needs), seed, needs) if sum(slots) else []):
+        for i, k in enumerate(counts):
+            if k:
+                out.append((src[i], done[i], int(k), blocks[i], s))
+                done[i] += int(k)
+    return out
+
+
+_PLAN = "src int, low long, k long, n long, out_shard int"
+
+
+def _group_plans(needs, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in key_groups(batches, 1):
+            g = t.column(0)[0].as_py()
+            t = t.sort_by("src")
+            rows = plan_rows(*(t.column(i).to_pylist() for i in (1, 2, 3)), needs.value[g], seed + g)
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["src", "low", "k", "n", "out_shard"])
+    return run
+
+
+def _numbered(sources: DataFrame, n: int) -> DataFrame:
+    """``sources`` with ``src``: the place of each by code point, null last."""
+    none, parts = F.col("source").isNull(), ranking.buckets_for(n)
+    ranged = cut(sources.repartitionByRange(parts, none, "source").withColumn("_part", F.spark_partition_id()))
+    return cut(ranking.ranked(ranged, [], F.col("_part"), [none, F.col("source")], "src", 1, parts).drop("_part"))
+
+
+def source_table(sources: DataFrame, n: int, weights, share: float, cap: float, block_words: int) -> DataFrame:
+    """``targets`` and slots of any number of sources (source, size), on Spark: rows
+    (src, source, size, target, blocks, slots)."""
+    rows = _numbered(sources, n)
+    every = F.array(*[F.lit(float(w)) for w in weights])
+    rows = rows.withColumn("w", F.get(every, (F.col("src") % len(weights)).cast("int")))
+    some = F.col("size") > 0
+    total, words = rows.agg(F.coalesce(F.sum(F.when(some, F.col("w"))), F.lit(0.0)),
+                            F.coalesce(F.sum("size"), F.lit(0))).first()
+    left, most, full = share * words, (cap * F.col("size")).cast("double"), F.lit(False)
+    while total:
+        # one aggregate a round; a source that is full stays so, as shares only rise
+        over = some & ~full & (F.lit(left) * F.col("w") / F.lit(total) > most)
+        k, gone, their = rows.where(over).agg(F.count(F.lit(1)), F.sum(most), F.sum("w")).first()
+        if not k:
+            break
+        left, total, full = left - gone, total - their, full | over
+    want = F.when(~some, 0.0).when(full, most).otherwise(
+        F.lit(left) * F.col("w") / F.lit(total or 1.0))
+    rows = rows.select("src", "source", "size", want.alias("target"), F.ceil(F.col("size") / block_words).alias("blocks"))
+    slots = F.least((cap * F.col("blocks")).cast("long"), F.rint(F.col("target") * F.col("blocks") / F.col("size")).cast("long"))
+    return cut(rows.withColumn("slots", F.when(some, slots).otherwise(F.lit(0)).cast("long")))
+
+
 def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray, rounds: int = 4) -> np.ndarray:
     """A keyed pseudorandom permutation of ``range(n)`` at ``index``, elementwise:
     a Feistel network over the next even power of two, walked until inside."""
@@ -134,23 +214,16 @@ class Plan:
             F.size(words).cast("long").alias("size"), "_k1", "_k2")
         keys = cut(keys.withColumn("_h", F.shiftrightunsigned(
             F.xxhash64(F.lit(seed), "_k1", "_k2"), 2)))
-        rows = keys.groupBy("source").agg(F.sum("size"), F.count(F.lit(1))).collect()
-        rows.sort(key=lambda r: (r[0] is None, r[0] or ""))
-        sizes = [int(r[1]) for r in rows]
-        want = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], share, cap)
-        blocks = [-(-n // block_words) for n in sizes]
-        slots = [min(cap * b, round(t * b / n)) if n else 0
-                 for t, b, n in zip(want, blocks, sizes)]
-        named = spark.createDataFrame(
-            [(i, r[0], n, t) for i, (r, n, t) in enumerate(zip(rows, sizes, want))],
-            "src int, _source string, source_size long, target double")
-        # one row per source, as many as were just collected
-        keys = keys.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source")))
-        n = ranking.buckets_for(sum(int(r[2]) for r in rows), per_bucket)
+        sources = cut(keys.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")))
+        n_sources, n_rows = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+        make = self._small if n_sources <= MAX_SOURCES else self._large
+        named, ranges, n_slots = make(sources, n_sources, weights, share, cap, block_words, out_shards, seed)
+        keys = keys.join(named, F.col("source").eqNullSafe(F.col("_source")))
+        n = ranking.buckets_for(n_rows, per_bucket)
         step = -(-(1 << 62) // n)
         self.docs = ranking.ranked(
             keys, ["src"], F.expr(f"_h div {step}"),
-            [F.col("_h"), F.col("doc_id"), F.col("_k1"), F.col("_k2")], "start", len(rows), n,
+            [F.col("_h"), F.col("doc_id"), F.col("_k1"), F.col("_k2")], "start", n_sources, n,
             weight="size").drop("_h", "_source")
         first, last = F.col("start"), F.col("start") + F.col("size") - 1
         block = F.col("block") * block_words
@@ -160,21 +233,47 @@ class Plan:
                                                       F.expr(f"(start + size - 1) div {block_words}"))))
             .withColumn("_from", F.greatest(first, block) - first)
             .withColumn("_n", F.least(last + 1, block + block_words) - first - F.col("_from")))
-        plan, done = [], [0] * len(rows)
-        for s, counts in enumerate(shard_counts(slots, out_shards, seed) if sum(slots) else []):
-            for i, k in enumerate(counts):
-                if k:
-                    plan.append((i, done[i], int(k), blocks[i], s))
-                    done[i] += int(k)
-        ranges = spark.createDataFrame(plan, "src int, low long, k long, n long, out_shard int")
         chunk = (ranges.withColumn("_c", F.explode(F.expr(f"sequence(0, (k - 1) div {SLOT_CHUNK})")))
-                 .repartition(max(1, sum(slots) // (5 * SLOT_CHUNK)), "src", "low", "_c"))
+                 .repartition(max(1, n_slots // (5 * SLOT_CHUNK)), "src", "low", "_c"))
         low = F.col("low") + F.col("_c") * SLOT_CHUNK
         slot = F.explode(F.sequence(low, F.least(low + SLOT_CHUNK, F.col("low") + F.col("k")) - 1))
         self.slots = chunk.select(F.col("src").cast("long"), slot.alias("slot"), "n",
                                   F.col("out_shard").cast("long")).mapInArrow(
             _slot_blocks, "out_shard long, slot long, src long, block long")
 
+    @staticmethod
+    def _small(sources, n, weights, share, cap, block_words, out_shards, seed):
+        """The plan of a counted number of sources, on the driver."""
+        spark = sources.sparkSession
+        rows = sources.collect()
+        rows.sort(key=lambda r: (r[0] is None, r[0] or ""))
+        sizes = [int(r[1]) for r in rows]
+        want = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], share, cap)
+        blocks = [-(-n // block_words) for n in sizes]
+        slots = [min(cap * b, round(t * b / n)) if n else 0 for t, b, n in zip(want, blocks, sizes)]
+        step = group_size(n)
+        groups = [range(i, min(i + step, n)) for i in range(0, n, step)]
+        needs = group_needs([sum(slots[i] for i in g) for g in groups], out_shards, seed) if groups else []
+        plan = [row for at, g in enumerate(groups) for row in plan_rows(
+            list(g), [slots[i] for i in g], [blocks[i] for i in g], needs[at], seed + at)]
+        named = spark.createDataFrame([(i, r[0], n, t) for i, (r, n, t) in enumerate(zip(rows, sizes, want))],
+                                      "src int, _source string, source_size long, target double")
+        # one row per source, as many as were just collected
+        return F.broadcast(named), spark.createDataFrame(plan, _PLAN), sum(slots)
+
+    @staticmethod
+    def _large(sources, n, weights, share, cap, block_words, out_shards, seed):
+        """The same plan with the source table on Spark; only group totals are collected."""
+        rows = source_table(sources.select("source", "size"), n, weights, share, cap, block_words)
+        rows = rows.withColumn("grp", F.expr(f"src div {group_size(n)}"))
+        totals = [r[0] for r in rows.groupBy("grp").agg(F.sum("slots").alias("t"), F.col("grp").alias("g")).orderBy("g").select("t").collect()]
+        needs = sources.sparkSession.sparkContext.broadcast(group_needs(totals, out_shards, seed))
+        ranges = (rows.where("slots > 0").select("grp", "src", "slots", "blocks").repartition("grp").sortWithinPartitions("grp", "src")
+                  .mapInArrow(_group_plans(needs, seed), _PLAN))
+        named = rows.select(F.col("src").cast("int").alias("src"), F.col("source").alias("_source"),
+                            F.col("size").alias("source_size"), "target")
+        return named.hint("merge"), cut(ranges), sum(totals)
+
     def drawn(self) -> DataFrame:
         """Pieces of documents with ``times`` > 0, the number of slots that hold their block."""
         times = self.slots.groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
