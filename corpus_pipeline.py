@@ -57,11 +57,18 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage; every stage is written to the shared folder
-    named by ``spark.checkpoint.dir`` and read again by the next."""
-    root = f"{shared_dir(spark)}/corpus-pipeline-{uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    named by ``spark.checkpoint.dir`` and read again by the next.  A stage's folder
+    is deleted when the next one is written; the last one (and, after a failure,
+    what is there) when the driver ends."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/corpus-pipeline-{uuid4().hex}")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(root)
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
-        path = f"{root}/{i}-{name.replace(' ', '-')}"
+        path = f"{root.toString()}/{i}-{name.replace(' ', '-')}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(before), True)
+        before = path
     return docs

@@ -81,3 +81,16 @@ def test_mixing_and_sharding_stages(stages):
     assert sorted((r.doc_id, r.text) for r in stages[5]) == sorted((r.doc_id, r.text) for r in stages[4])
     counts = [sum(r.shard == s for r in stages[5]) for s in range(8)]
     assert max(counts) - min(counts) <= 1
+
+
+def test_stage_folders_are_deleted(spark):
+    """Only the last stage's folder is left, also of an earlier run."""
+    import glob
+    import os
+
+    from tapflow.session import shared_dir
+    root = shared_dir(spark).removeprefix("file:")
+    old = set(glob.glob(f"{root}/corpus-pipeline-*"))
+    corpus_pipeline.run(spark, SF0001)
+    new, = set(glob.glob(f"{root}/corpus-pipeline-*")) - old
+    assert [d for d in os.listdir(new) if not d.startswith(".")] == ["4-sharding"]
