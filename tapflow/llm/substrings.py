@@ -4,25 +4,32 @@ A window is ``WINDOW`` consecutive words of one document; words covered by a
 window that also starts in a document with a smaller id are removed.
 
 1. Documents with one word sequence are one class; its smallest id stands for
-   it, and every other copy is removed whole (its windows are in the first).
+   it.  A class with copies is cut into pieces of ``PIECE`` windows.
 2. Candidates: each window's minimizer (smallest hash of its ``KMER``-word
    runs) is dealt out by hash with its class; a minimizer seen in one class
    only cannot lie in a repeated window.  Minimizers that a task itself sees in
    several classes are settled there and send two rows at most, so a passage
    that a third of all documents hold is never gathered in one task.
 3. Segments: consecutive candidate windows with one minimizer.  Equal segments
-   are one, with the smallest id that has it (combined before the shuffle).
+   are one, with the smallest and the largest id that has it (combined before
+   the shuffle).
    A minimizer of more than ``HOT`` classes is split: its windows are single
    segments, sharded by their own hash.
-4. Per shard of segments a compressed FM-index (``fmindex``) is built, and the
-   segments are streamed through it: matching statistics by backward search
-   over the wavelet matrix give the windows that stand in an earlier document.
-5. The marked windows return to the documents, whose words are cut there.
+4. Per shard of segments (and of pieces) a compressed FM-index (``fmindex``) is
+   built, and they are streamed through it: matching statistics by backward
+   search over the wavelet matrix give the windows that stand in an earlier
+   document.  A segment is asked for its first owner and, where it has a later
+   one, once more for the last: what the index reports then holds for every
+   later owner.  A class's copies go where the index reports all its windows.
+5. The reported windows return to the documents, whose words are cut there.
+   Equality of words by hash only groups: nothing goes that no index reported.
 
 Scale: texts are shuffled twice (for candidates and for the cut); what else
 moves are 12 bytes per minimizer (48 bits of its hash, which may only make a
 candidate too many, and 48 of its class's) and the candidate segments.  Shards and
-buckets have bounded sizes, as their number grows with the words.
+buckets have bounded sizes, as their number grows with the words.  Segments,
+minimizers and classes with very many owners meet them by broadcast: those
+above one in ``HOT_KEYS`` of all rows are fewer than ``HOT_KEYS`` by count.
 
 Defined cases: null and empty texts have no words; texts under ``WINDOW``
 words keep all; very long texts are read whole; rows with one id do not count
@@ -48,6 +55,8 @@ KMER = 5
 #: Classes from which on a minimizer is split; minimizers per bucket, and words
 #: per shard, aimed at; minimizers that a task settles at once.
 HOT, PER_BUCKET, PER_SHARD, AT_ONCE = 2_000, 400_000, 250_000, 1_500_000
+#: Windows per piece of a class with copies; hot keys broadcast at most.
+PIECE, HOT_KEYS = 128, 10_000
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,14 +168,39 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, h1, marks of (mz, hot)) -> candidate segments."""
+    """(doc_id, text, h1, marks of (mz, hot), last) -> candidate segments, and the
+    pieces of a text that has copies up to the id ``last``."""
     for b in batches:
         for c in chunks(b):
             words = Words(c.column(1))
             h = words.hashes()
-            own, _ = sequence_hashes(words, h)
+            own, second = sequence_hashes(words, h)
+            run, _ = runs_of(words, h, WINDOW)
+            ids, last = c.column(0), c.column(4).to_numpy()
+            mine = own == c.column(2).to_numpy()
+            raw = words.buf.tobytes()
+
+            def rows(shard, s1, row, start, size, last, whole):
+                """Spans of ``size`` windows from the word ``start`` of the batch on."""
+                low, high = words.starts[start], words.ends[start + size + WINDOW - 2]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(shard.view(np.int64)), pa.array(s1.view(np.int64)), ids.take(pa.array(row)),
+                     pa.array(last), pa.array(own[row]), pa.array((start - words.first[row]).astype(np.int64)),
+                     pa.array(np.full(len(row), whole)),
+                     pa.array([raw[x:y] for x, y in zip(low.tolist(), high.tolist())], pa.binary())],
+                    names=["shard", "s1", "doc_id", "last", "h1", "start", "whole", "words"])
+
+            copied = np.flatnonzero(mine & (last > ids.to_numpy()))
+            if len(copied):
+                windows = np.diff(words.first)[copied] - WINDOW + 1
+                pieces = -(-windows // PIECE)
+                row = np.repeat(copied, pieces)
+                k = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                size = np.minimum(PIECE, np.repeat(windows, pieces) - k * PIECE)
+                salt = mix64(k.astype(np.uint64) + np.uint64(1))
+                yield rows(second.view(np.uint64)[row] ^ salt, own.view(np.uint64)[row] ^ salt, row,
+                           words.first[row] + k * PIECE, size, last[row], True)
             at, best, where = minimizers(words, h, WINDOW, KMER)
-            asked = c.column(2).to_numpy()
             marks = c.column(3)
             flat = marks.flatten()
             of = np.repeat(np.arange(c.num_rows), marks.value_lengths().to_numpy())
@@ -178,7 +212,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, hot = known[order], hot[order]
             key = (best >> np.uint64(16)) ^ salt[row]
             place = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-            candidate = (known[place] == key) & (own == asked)[row] if len(known) else np.zeros(len(at), bool)
+            candidate = (known[place] == key) & mine[row] if len(known) else np.zeros(len(at), bool)
             split = hot[place] & candidate if len(known) else candidate
             at, best, where, split = at[candidate], best[candidate], where[candidate], split[candidate]
             if not len(at):
@@ -188,39 +222,57 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.flatnonzero(new)
             size = np.diff(np.append(first, len(at)))  # windows per segment
             start = at[first]
-            last = start + size + WINDOW - 2
+            row = words.row[start]
             # a segment is known by its words: a hash of their running hashes
             total = np.zeros(len(h) + 1, dtype=np.uint64)
-            run, _ = runs_of(words, h, WINDOW)
             np.cumsum(mix64(run + np.uint64(1)), out=total[1:])
             s1 = mix64(run[start] ^ mix64(total[start + size] - total[start]) + size.astype(np.uint64))
-            shard = np.where(split[first], run[start], best[first])
-            low, high = words.starts[start], words.ends[last]
-            raw = words.buf.tobytes()
+            yield rows(np.where(split[first], run[start], best[first]), s1, row, start, size,
+                       ids.to_numpy()[row], False)
+
+
+def _indexing(report):
+    """Distinct segments and pieces of one shard -> which windows of a segment
+    (bits from the first on) ``report`` finds in an earlier document, for its
+    first owner and for later ones (0 without any); of a piece, whether all."""
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in key_groups(batches, 1):
+            words = Words(group.column("words").combine_chunks())
+            h = words.hashes()
+            doc, last = group.column("first").to_numpy(), group.column("last").to_numpy()
+            whole = group.column("whole").to_numpy().astype(bool)
+            index = FMIndex(h, words.first, doc)
+            sizes = np.diff(words.first)
+
+            def ask(rows: np.ndarray, as_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                """(row, place) of the reported windows of some rows."""
+                bounds = np.append(0, np.cumsum(sizes[rows]))
+                of = np.repeat(np.arange(len(rows)), sizes[rows])
+                place = np.arange(bounds[-1]) - bounds[of]
+                hit = report(index, h[words.first[rows][of] + place], bounds, as_doc[rows], WINDOW)
+                return rows[of[hit]], place[hit]
+
+            bits, later = np.zeros(len(doc), dtype=np.int64), np.zeros(len(doc), dtype=np.int64)
+            row, place = ask(np.flatnonzero(~whole), doc)
+            np.add.at(bits, row, np.int64(1) << place)
+            row, place = ask(np.flatnonzero(~whole & (last > doc)), last)
+            np.add.at(later, row, np.int64(1) << place)
+            row, _ = ask(np.flatnonzero(whole), last)
+            later[whole] = (np.bincount(row, minlength=len(doc)) == sizes - WINDOW + 1)[whole]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard.view(np.int64)), pa.array(s1.view(np.int64)),
-                 c.column(0).take(pa.array(words.row[start])), pa.array(own[words.row[start]]),
-                 pa.array((start - words.first[words.row[start]]).astype(np.int64)),
-                 pa.array(size.astype(np.int64)),
-                 pa.array([raw[x:y] for x, y in zip(low.tolist(), high.tolist())], pa.binary())],
-                names=["shard", "s1", "doc_id", "h1", "start", "n", "words"])
+                [*(group.column(k).combine_chunks() for k in ("key", "s1", "first", "n")),
+                 pa.array(bits), pa.array(later)], names=["shard", "s1", "first", "n", "bits", "later"])
+    return indexed
 
 
-def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct segments of one shard -> which of their windows (bits from the
-    first on) also stand in a segment of an earlier document."""
-    for group in key_groups(batches, 1):
-        words = Words(group.column("words").combine_chunks())
-        h = words.hashes()
-        doc = group.column("first").to_numpy()
-        index = FMIndex(h, words.first, doc)
-        hit = repeated_windows(index, h, words.first, doc, WINDOW)
-        place = np.arange(len(h)) - words.first[words.row]
-        bits = np.zeros(len(doc), dtype=np.int64)
-        np.add.at(bits, words.row[hit], np.int64(1) << place[hit])
-        yield pa.RecordBatch.from_arrays(
-            [group.column("key").combine_chunks(), group.column("s1").combine_chunks(),
-             group.column("first").combine_chunks(), pa.array(bits)], names=["shard", "s1", "first", "bits"])
+def _meet(rows: DataFrame, keys: DataFrame, on: list[str], hot: int, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keys``, whose column ``n`` counts each key's rows; ``total``
+    is no less than its sum, so that the keys above the bound, which are broadcast,
+    are fewer than HOT_KEYS and no task gathers the rows of one."""
+    often = F.col("n") > max(hot, total // HOT_KEYS)
+    top = F.broadcast(keys.where(often).drop("n"))
+    return rows.join(top, on).unionByName(
+        rows.join(top.select(*on), on, "left_anti").join(keys.where(~often).drop("n"), on, how))
 
 
 def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,38 +314,51 @@ def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT, report=repeated_windows) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words that
-    stay, joined by one space)."""
+    stay, joined by one space).  ``report`` searches a shard's index."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = cut(docs.where("doc_id is not null").mapInArrow(
         _named, "doc_id long, n_words long, h1 long, h2 long").where(f"n_words >= {WINDOW}"))
-    classes = cut(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"),
-                                                F.first("n_words").alias("n_words")))
-    total = classes.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    classes = cut(named.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words"),
+        F.count(F.lit(1)).alias("n")))
+    several = F.col("last") > F.col("rep")
+    total, twice, rows = classes.agg(
+        F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum(F.when(several, F.col("n_words"))), F.lit(0)),
+        F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = max(1, total // (4 * PER_BUCKET))  # about two minimizers for nine words
     dealt = docs.where("doc_id is not null").mapInArrow(_deal(buckets), "bucket long, mz binary, of binary")
     shared = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _shared, "of long, mz long").distinct())
-    often = shared.groupBy("mz").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select(
-        "mz", F.lit(True).alias("hot"))
-    marks = (shared.join(often, "mz", "left").groupBy("of").agg(F.collect_list(
-        F.struct("mz", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
-        .join(classes.withColumn("of", F.shiftrightunsigned("h1", 16)), "of")
-        .select(F.col("rep").alias("doc_id"), "h1", "marks"))
-    segments = written(docs.join(marks, "doc_id").select("doc_id", "text", "h1", "marks").mapInArrow(
-        _segments, "shard long, s1 long, doc_id long, h1 long, start long, n long, words binary"))
-    distinct = segments.groupBy("shard", "s1").agg(F.min(F.struct("doc_id", "words")).alias("_m"))
-    shards = max(1, total // PER_SHARD)
-    hits = (distinct.select(F.pmod(F.xxhash64("shard"), F.lit(shards)).alias("part"), F.col("shard").alias("key"),
-                            "s1", F.col("_m.doc_id").alias("first"), F.col("_m.words").alias("words"))
-            .repartition("part").sortWithinPartitions("part")
-            .mapInArrow(_indexed, "shard long, s1 long, first long, bits long"))
-    every = F.expr("shiftleft(1L, cast(n as int)) - 1")
-    found = (segments.select("shard", "s1", "doc_id", "h1", "start", "n").join(hits, ["shard", "s1"])
-             .select("doc_id", "h1", "start", F.when(F.col("doc_id") > F.col("first"), every)
-                     .otherwise(F.col("bits")).alias("bits")).where("bits <> 0"))
-    copies = named.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).where("doc_id > rep").select(
+    often = cut(shared.groupBy("mz").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select(
+        "mz", "n", F.lit(True).alias("hot")))
+    candidates = _meet(shared, often, ["mz"], hot, shared.count(), "left").groupBy("of").agg(
+        F.collect_list(F.struct("mz", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
+    marks = (classes.withColumn("of", F.shiftrightunsigned("h1", 16)).join(candidates, "of", "left")
+             .where(several | F.col("marks").isNotNull())
+             .select(F.col("rep").alias("doc_id"), "h1", "last", F.coalesce(
+                 "marks", F.array().cast("array<struct<mz:bigint,hot:boolean>>")).alias("marks")))
+    segments = written(docs.join(marks, "doc_id").select("doc_id", "text", "h1", "marks", "last").mapInArrow(
+        _segments, "shard long, s1 long, doc_id long, last long, h1 long, start long, whole boolean, words binary"))
+    distinct = segments.groupBy("shard", "s1", "whole").agg(
+        F.min(F.struct("doc_id", "words")).alias("_m"), F.max("last").alias("last"), F.count(F.lit(1)).alias("n"))
+    shards, apart = max(1, total // PER_SHARD), max(1, twice // PER_SHARD)
+    key = F.xxhash64("shard")
+    hits = written(distinct.select(
+        F.when(F.col("whole"), F.pmod(key, F.lit(apart)) + shards).otherwise(F.pmod(key, F.lit(shards))).alias("part"),
+        F.col("shard").alias("key"), "s1", F.col("_m.doc_id").alias("first"), "last", "n", "whole",
+        F.col("_m.words").alias("words")).repartition("part").sortWithinPartitions("part").mapInArrow(
+            _indexing(report), "shard long, s1 long, first long, n long, bits long, later long"))
+    owners = segments.select("shard", "s1", "doc_id", "h1", "start", "whole")
+    found = _meet(owners.where("not whole"), hits.where("bits <> 0 or later <> 0"), ["shard", "s1"], hot,
+                  owners.count()).select(
+        "doc_id", "h1", "start", F.when(F.col("doc_id") > F.col("first"), F.col("later"))
+        .otherwise(F.col("bits")).alias("bits")).where("bits <> 0")
+    confirmed = (owners.where("whole").join(hits.select("shard", "s1", "later"), ["shard", "s1"])
+                 .groupBy("h1", F.col("doc_id").alias("rep")).agg(F.min("later").alias("all")).where("all = 1"))
+    gone = cut(classes.where(several).join(confirmed, ["h1", "rep"]).select("h1", "h2", "rep", "n"))
+    copies = _meet(named.select("doc_id", "h1", "h2"), gone, ["h1", "h2"], hot, rows).where("doc_id > rep").select(
         "doc_id", "h1", F.lit(-1).cast("long").alias("start"), F.lit(0).cast("long").alias("bits"))
     cuts = found.union(copies).distinct().groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_list(F.struct("h1", "start", "bits")).alias("marks"))
