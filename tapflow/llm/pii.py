@@ -63,7 +63,7 @@ SUFFIXES = ("Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Drive|Dr|Boulevard|Blvd|Court|
             "Crescent|Parkway|Highway|Row|Alley")
 STREET = (rf"(?<![A-Za-z0-9.,-])[0-9]{{1,5}}+(?:(?:\x20{_CAP}){{1,3}}?\x20(?:{SUFFIXES})\b"
           rf"|(?:\x20{_CAP}){{2,3}}+)")
-PERSON = (r"(?<=\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20|\b(?i:name is|named|dear|regards,|signed by|author:?|patient|contact|"
+PERSON = (r"(?=[A-Z])(?<=\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20|\b(?i:name is|named|dear|regards,|signed by|author:?|patient|contact|"
           rf"customer|employee)\x20){_CAP}(?:\x20{_CAP}){{0,2}}+")
 
 # Gazetteers.
@@ -137,7 +137,7 @@ def _weak(text: Column) -> dict[str, Column]:
             "iban": spans(text, IBAN, text.rlike(r"[A-Z]{2}[0-9]{2}")),
             "ssn": spans(text, SSN, text.rlike(r"[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}")),
             "street": spans(text, STREET, text.rlike(r"[0-9]\x20[A-Z][a-z]")),
-            "person": spans(text, PERSON, text.rlike(r"\x20[A-Z][a-z]")),
+            "person": spans(text, PERSON, text.rlike(PERSON)),
             "card_grouped": spans(text, CARD_GROUPED, text.rlike(r"[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}")),
             "number_grouped": spans(text, GROUPED, text.rlike(r"[0-9](?:[\x20().-]{0,2}+[0-9]){6}"))}
 
