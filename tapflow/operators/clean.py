@@ -178,7 +178,7 @@ def _cleaned_columns(taps: DataFrame) -> list[str]:
     return [c for c in _id_columns(taps) if c != "device_id"] + ["last_io_type"]
 
 
-def _numbered_chunks(hot: DataFrame, chunks: int) -> DataFrame:
+def _numbered_chunks(hot: DataFrame, cut: skew.Cut) -> DataFrame:
     """Hot taps with trip number, key and ``_alone``: one edge table.
 
     The RANGE sum inside a chunk, plus the entries of earlier chunks, plus -- for
@@ -188,7 +188,7 @@ def _numbered_chunks(hot: DataFrame, chunks: int) -> DataFrame:
     """
     order = ["trade_time"]
     total = order + METRO_TIE
-    chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")), order, chunks, tie=METRO_TIE)
+    chunked = skew.assign_chunks(hot.withColumn("once_od", flag(F.col("io_type") == "I")), order, cut.chunks, METRO_TIE, cut.tasks)
     w = skew.in_chunk(total)
     rows = skew.heads(chunked.withColumn("_inner", F.sum("once_od").over(skew.in_chunk(order))), order, total)
     rows = rows.withColumn("_head_od", F.when(F.col("_head"), F.col("once_od")).otherwise(F.lit(0)))
@@ -215,11 +215,11 @@ def _numbered_chunks(hot: DataFrame, chunks: int) -> DataFrame:
             .select(*_id_columns(hot), "_alone", skew.KID, skew.CHUNK))
 
 
-def _clean_chunks(hot: DataFrame, chunks: int, keys: TripKeys) -> DataFrame:
+def _clean_chunks(hot: DataFrame, cut: skew.Cut, keys: TripKeys) -> DataFrame:
     """X6 for hot card-days: the window plan's rules as ordered chunk scans, with
     two edge tables (three reads of the checkpoint)."""
     total = ["trade_time"] + METRO_TIE
-    kept = keys.keep(_numbered_chunks(hot, chunks))
+    kept = keys.keep(_numbered_chunks(hot, cut))
     edge = skew.edges(kept, total, [], ["io_type"])
     across = skew.across_chunks()
     carry = F.when(F.row_number().over(across) == 1, F.lit(FIRST_PREVIOUS_DIRECTION)).otherwise(
@@ -247,7 +247,7 @@ def number_trips(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_
     cold = metro_trip_ids(split.cold)
     if split.hot is None:
         return cold
-    hot = _numbered_chunks(split.hot, skew.chunk_count(split.hot_rows, rows_per_chunk))
+    hot = _numbered_chunks(split.hot, skew.cut(taps.sparkSession, split.hot_rows, rows_per_chunk))
     return cold.unionByName(hot.select(*cold.columns))
 
 
@@ -257,11 +257,11 @@ def trip_keys(taps: DataFrame, hot_threshold: int | None, rows_per_chunk: int,
     return TripKeys(taps, lambda part: number_trips(part, hot_threshold, rows_per_chunk, hot_keys), any_odd)
 
 
-def clean_part(taps: DataFrame, keys: TripKeys, chunks: int | None = None) -> DataFrame:
-    """X6 of taps that are all of hot card-days (``chunks`` given, with key ids) or none."""
-    if chunks is None:
+def clean_part(taps: DataFrame, keys: TripKeys, cut: skew.Cut | None = None) -> DataFrame:
+    """X6 of taps that are all of hot card-days (``cut`` given, with key ids) or none."""
+    if cut is None:
         return drop_repeated_direction(keys.keep(with_alone(metro_trip_ids(taps))))
-    return _clean_chunks(taps, chunks, keys)
+    return _clean_chunks(taps, cut, keys)
 
 
 def clean_metro(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_KEY,
@@ -281,4 +281,4 @@ def clean_metro(taps: DataFrame, hot_threshold: int | None = skew.HOT_ROWS_PER_K
     if split.hot is None:
         return cold
     return cold.unionByName(
-        clean_part(split.hot, keys, skew.chunk_count(split.hot_rows, rows_per_chunk)))
+        clean_part(split.hot, keys, skew.cut(taps.sparkSession, split.hot_rows, rows_per_chunk)))

@@ -15,7 +15,10 @@ ordered scan in Spark:
    the original key, so a null card id can be hot too).
 3. **Chunk** the hot rows with ``repartitionByRange`` on (key, order, tie-break):
    the range partitioner samples the keys, so a hot key is cut into contiguous,
-   balanced chunks of its order; ``spark_partition_id`` names the chunk.  Also
+   balanced ranges of its order, one task each.  A task sorts its range and cuts it
+   into chunks by row count, so chunks may be far smaller than what a task takes:
+   tasks, files, shuffle blocks and the sample that the partitioner takes to the
+   driver follow the number of tasks (``Cut``), not that of chunks.  Also
    rows with an equal order key (peers of a RANGE frame) are cut, by the total
    order that the tie-break makes; copies of one row are cut by the task they
    come from.  The ranged rows are written to the
@@ -31,8 +34,8 @@ tables: each chunk reports what its first order key's rows add up to (``heads``)
 and ``continued`` gives every chunk the sum over the later chunks that begin with
 its last order key.
 
-Residual limit: copies of one whole row that one task reads are never split; a
-task reads no more rows than a file split holds.
+Residual limit: copies of one whole row that one task reads are never split between
+tasks when ranged; a task reads no more rows than a file split holds.
 """
 
 from __future__ import annotations
@@ -42,14 +45,14 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapflow.session import shared_dir
 
 # A card-day above this many rows is processed in chunks.
 HOT_ROWS_PER_KEY = 2_000_000
-# Target rows per chunk of a hot key (one task each).
+# Target rows per chunk of a hot key; also what a task takes of smaller chunks.
 ROWS_PER_CHUNK = 1_000_000
 # At most this many keys can be hot (beyond, the threshold rises to their mean size),
 # and edge tables up to this many rows are broadcast.
@@ -71,6 +74,14 @@ class HotKeys:
     rows: int
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Hot rows are cut into ``chunks`` chunks by ``tasks`` tasks."""
+
+    chunks: int
+    tasks: int
+
+
 @dataclass
 class HotSplit:
     """Result of ``split_hot``: ``hot`` is None when no key is hot."""
@@ -138,9 +149,21 @@ def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
     return max(1, math.ceil(hot_rows / max(1, rows_per_chunk)))
 
 
+def cut(spark: SparkSession, hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cut:
+    """Chunks for ``hot_rows``, and tasks for them: the session's shuffle partitions, or
+    more where a task would get over ``ROWS_PER_CHUNK`` rows, but not more than chunks."""
+    chunks = chunk_count(hot_rows, rows_per_chunk)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunk_count(hot_rows))
+    return Cut(chunks, min(chunks, tasks))
+
+
 def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
-                  tie: list[str] | None = None) -> DataFrame:
-    """Cut hot rows into ``chunks`` contiguous ranges of (``_kid``, order, tie).
+                  tie: list[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """Cut hot rows into about ``chunks`` contiguous ranges of (``_kid``, order, tie).
+
+    Each of ``tasks`` tasks (as many as chunks, if not given) sorts a range and cuts it
+    every so many rows.  A chunk's number is the place of its first row: the task's
+    number above 33 bits, then the row's in the task.
 
     Rows with an equal (key, order) may fall into neighbouring chunks; ``tie`` is
     what the rows are ordered by among them.  The result is a checkpoint in
@@ -152,15 +175,20 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
     """
     spark = hot.sparkSession
     path = f"{shared_dir(spark)}/tapflow-chunks/{uuid.uuid4().hex}"
+    tasks = tasks or chunks
     # the task's number is the same when the task runs again, so a chunk is too
+    place = [F.col(c).asc() for c in (KID, *order, *(tie or []), "_from")]
     ranged = (hot.withColumn("_from", F.xxhash64(F.spark_partition_id()))
-              .repartitionByRange(chunks, F.col(KID), *[F.col(c).asc() for c in (*order, *(tie or []), "_from")])
-              .drop("_from").withColumn(CHUNK, F.spark_partition_id()))
+              .repartitionByRange(tasks, *place).sortWithinPartitions(*place)
+              .drop("_from").withColumn(CHUNK, F.monotonically_increasing_id()))
     ranged.write.parquet(path)
     try:
         static = spark.newSession()
         static.conf.set("spark.sql.adaptive.enabled", "false")
-        return (static.read.schema(ranged.schema).parquet(path).repartition(chunks, KID, CHUNK)
+        rows = static.read.schema(ranged.schema).parquet(path)
+        size = max(1, math.ceil(rows.count() / chunks))  # from the files' footers
+        in_task = F.col(CHUNK).bitwiseAND(F.lit((1 << 33) - 1))
+        return (rows.withColumn(CHUNK, F.col(CHUNK) - in_task % size).repartition(tasks, KID, CHUNK)
                 .sortWithinPartitions(KID, CHUNK, *order, *(tie or []))
                 .checkpoint(eager=True))
     finally:  # the checkpoint holds the rows now

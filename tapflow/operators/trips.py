@@ -158,7 +158,7 @@ class _Chunks:
     card-day: four reads of the checkpoint for the OD records.
     """
 
-    def __init__(self, hot: DataFrame, chunks: int, gap_seconds: int = GAP_SECONDS,
+    def __init__(self, hot: DataFrame, cut: skew.Cut, gap_seconds: int = GAP_SECONDS,
                  hot_keys: int = 1):
         if gap_seconds < 0:
             raise ValueError("a gap below 0 would open trips among taps of one second")
@@ -167,7 +167,7 @@ class _Chunks:
         self.gap_seconds, self.hot_keys = gap_seconds, hot_keys
         base = (hot.withColumn(EPOCH, epoch_seconds(hot, "mark_trade_time"))
                 .withColumn("mask", flag(F.col("IO_TYPE") == "I")))
-        self.chunked = skew.assign_chunks(base, self.order, chunks, tie=GAP_TIE)
+        self.chunked = skew.assign_chunks(base, self.order, cut.chunks, GAP_TIE, cut.tasks)
         self.columns = [c for c in hot.columns if c != skew.KID]
 
     def segments(self) -> DataFrame:
@@ -273,7 +273,7 @@ def od_part(taps: DataFrame, step: str = "records", hot: skew.HotKeys | None = N
     that are all of the hot card-days ``hot``, or (``hot`` None) of none."""
     if hot is None:
         return _windows(taps, step, gap_seconds)
-    chunks = _Chunks(skew.split_hot(taps, hot).hot, skew.chunk_count(hot.rows, rows_per_chunk),
+    chunks = _Chunks(skew.split_hot(taps, hot).hot, skew.cut(taps.sparkSession, hot.rows, rows_per_chunk),
                      gap_seconds, hot.count)
     if step == "records":
         return chunks.od()
@@ -299,5 +299,5 @@ def od_records(taps: DataFrame, gap_seconds: int = GAP_SECONDS,
     cold = _windows(split.cold, "records", gap_seconds)
     if split.hot is None:
         return cold
-    chunks = skew.chunk_count(split.hot_rows, rows_per_chunk)
-    return cold.unionByName(_Chunks(split.hot, chunks, gap_seconds, split.hot_keys).od())
+    cut = skew.cut(taps.sparkSession, split.hot_rows, rows_per_chunk)
+    return cold.unionByName(_Chunks(split.hot, cut, gap_seconds, split.hot_keys).od())

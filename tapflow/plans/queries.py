@@ -89,8 +89,8 @@ class TapFlow:
             return None  # the usual case: one job for all facts
         return skew.hot_keys_by(self._card_days, CARD_DAY, F.col("_n") * k, self.hot_threshold)
 
-    def _chunks(self) -> int:
-        return skew.chunk_count(self.hot.rows, self.rows_per_chunk)
+    def _cut(self) -> skew.Cut:
+        return skew.cut(self.spark, self.hot.rows, self.rows_per_chunk)
 
     @property
     def _parts(self) -> list[bool]:
@@ -119,8 +119,8 @@ class TapFlow:
         return clean.trip_keys(self.inputs["metro_taps"], None, self.rows_per_chunk, self.hot, any_odd)
 
     def _metro_cleaned(self, hot: bool) -> DataFrame:
-        chunks = self._chunks() if hot else None
-        return clean.clean_part(self._raw("metro_taps", hot), self._trip_keys, chunks)
+        cut = self._cut() if hot else None
+        return clean.clean_part(self._raw("metro_taps", hot), self._trip_keys, cut)
 
     @cached_property
     def metro_cleaned(self) -> DataFrame:

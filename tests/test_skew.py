@@ -152,6 +152,26 @@ def test_one_second_is_cut_od(spark):
     assert same(trips.od_records(taps, hot_threshold=None), trips.od_records(taps, hot_threshold=500, rows_per_chunk=200))
 
 
+def test_small_chunks_share_tasks_od(spark):
+    """Chunks far beyond the session's shuffle partitions: no task, file or range of their own."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taps = skewed(TapFlow(spark, SF001, hot_threshold=None).all_taps, "mark_trade_time")
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=500)
+    tagged = skew.split_hot(taps, hot).hot.drop(skew.KID)
+    chunked = trips.od_part(tagged, "records", hot, rows_per_chunk=10)
+    assert hot.rows // 10 > 10 * parts
+    assert chunked.rdd.getNumPartitions() <= parts
+    assert same(trips.od_part(tagged), chunked)
+
+
+def test_large_chunks_keep_their_tasks(spark):
+    """Beyond a million rows a task, tasks grow with the rows, whatever the session's shuffle partitions."""
+    rows = 40 * skew.ROWS_PER_CHUNK
+    assert skew.cut(spark, rows) == skew.Cut(40, 40)
+    assert skew.cut(spark, rows, 1_000) == skew.Cut(40_000, 40)
+    assert skew.cut(spark, rows, 10 * skew.ROWS_PER_CHUNK) == skew.Cut(4, 4)
+
+
 def test_no_hot_card_day_takes_one_job(spark):
     """Nothing hot: the facts of stations and card-days come from one query, and that is all."""
     tf = TapFlow(spark, SF001)
