@@ -1,5 +1,6 @@
 """A card that holds a third of all taps: detected, chunked evenly, same result."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -164,6 +165,27 @@ def test_small_chunks_share_tasks_od(spark):
     assert same(trips.od_part(tagged), chunked)
 
 
+def test_small_chunks_share_tasks_metro(spark):
+    """The same of metro cleaning; a task's chunks follow each other and hold no more rows than asked for."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taps = one_time(TapFlow(spark, SF001).inputs["metro_taps"], "trade_time")
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=500)
+    split = skew.split_hot(taps, hot)
+    cut = skew.cut(spark, split.hot_rows, 10)
+    assert cut.chunks > 10 * parts and cut.tasks == parts
+    chunked = skew.assign_chunks(split.hot, ["trade_time"], cut.chunks, clean.METRO_TIE, cut.tasks)
+    assert chunked.rdd.getNumPartitions() == parts
+    order = F.struct("trade_time", *clean.METRO_TIE)
+    edges = chunked.groupBy(skew.CHUNK).agg(F.count("*").alias("n"), F.min(order).alias("low"), F.max(order).alias("high"))
+    assert edges.agg(F.sum("n"), F.max("n")).first() == (split.hot_rows, 10)
+    after = F.lead("low").over(Window.orderBy(skew.CHUNK))
+    assert edges.withColumn("after", after).where(F.col("high") > F.col("after")).isEmpty()
+    chunked = clean.number_trips(taps.join(F.broadcast(hot.ids), F.col("card_id") == F.col("_hk_card_id"), "left_semi"),
+                                 None, 10, hot)
+    assert chunked.rdd.getNumPartitions() <= 2 * parts  # those of the (empty) rest, and the chunks'
+    assert same(clean.clean_metro(taps, hot_threshold=None), clean.clean_metro(taps, hot_threshold=500, rows_per_chunk=10))
+
+
 def test_large_chunks_keep_their_tasks(spark):
     """Beyond a million rows a task, tasks grow with the rows, whatever the session's shuffle partitions."""
     rows = 40 * skew.ROWS_PER_CHUNK
