@@ -54,6 +54,9 @@ from tapflow.session import shared_dir
 HOT_ROWS_PER_KEY = 2_000_000
 # Target rows per chunk of a hot key; also what a task takes of smaller chunks.
 ROWS_PER_CHUNK = 1_000_000
+# Chunks smaller than that share at most this many tasks, however many shuffle partitions the
+# session has: the range partitioner takes 300 rows of each task's range to the driver.
+MAX_SHARED_TASKS = 1_000
 # At most this many keys can be hot (beyond, the threshold rises to their mean size),
 # and edge tables up to this many rows are broadcast.
 MAX_HOT_KEYS = 100_000
@@ -149,11 +152,17 @@ def chunk_count(hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> int:
     return max(1, math.ceil(hot_rows / max(1, rows_per_chunk)))
 
 
+def shared_tasks(spark: SparkSession) -> int:
+    """The session's shuffle partitions, at most ``MAX_SHARED_TASKS``."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SHARED_TASKS)
+
+
 def cut(spark: SparkSession, hot_rows: int, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cut:
-    """Chunks for ``hot_rows``, and tasks for them: the session's shuffle partitions, or
-    more where a task would get over ``ROWS_PER_CHUNK`` rows, but not more than chunks."""
+    """Chunks for ``hot_rows``, and tasks for them: the session's shuffle partitions, at most
+    ``MAX_SHARED_TASKS``, or more where a task would get over ``ROWS_PER_CHUNK`` rows, but
+    not more than chunks."""
     chunks = chunk_count(hot_rows, rows_per_chunk)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunk_count(hot_rows))
+    tasks = max(shared_tasks(spark), chunk_count(hot_rows))
     return Cut(chunks, min(chunks, tasks))
 
 
@@ -171,7 +180,8 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
     sorted in scan order.  A checkpoint taken under adaptive execution forgets
     its partitioning, so that last short job (read, shuffle, sort, write) runs
     in a session of its own with adaptive execution off; the caller's session
-    is not touched.
+    is not touched.  Edge tables are shuffled in that session, where nothing joins
+    small partitions, so their tasks are bounded as those of the rows are.
     """
     spark = hot.sparkSession
     path = f"{shared_dir(spark)}/tapflow-chunks/{uuid.uuid4().hex}"
@@ -185,6 +195,7 @@ def assign_chunks(hot: DataFrame, order: list[str], chunks: int,
     try:
         static = spark.newSession()
         static.conf.set("spark.sql.adaptive.enabled", "false")
+        static.conf.set("spark.sql.shuffle.partitions", str(max(tasks, shared_tasks(spark))))
         rows = static.read.schema(ranged.schema).parquet(path)
         size = max(1, math.ceil(rows.count() / chunks))  # from the files' footers
         in_task = F.col(CHUNK).bitwiseAND(F.lit((1 << 33) - 1))

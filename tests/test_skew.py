@@ -194,6 +194,26 @@ def test_large_chunks_keep_their_tasks(spark):
     assert skew.cut(spark, rows, 10 * skew.ROWS_PER_CHUNK) == skew.Cut(4, 4)
 
 
+def test_shared_tasks_are_bounded(spark, monkeypatch):
+    """A session of many shuffle partitions: tasks of small chunks, and the rows that the range partitioner
+    takes to the driver for each, do not grow with the rows until a task would get over a million."""
+    many = spark.newSession()
+    many.conf.set("spark.sql.shuffle.partitions", "100000")
+    for rows in (6_600_000, 39_600_000):
+        assert skew.cut(many, rows, 1_000) == skew.Cut(rows // 1_000, skew.MAX_SHARED_TASKS)
+    assert skew.cut(many, 2_000 * skew.ROWS_PER_CHUNK, 1_000).tasks == 2_000
+    monkeypatch.setattr(skew, "MAX_SHARED_TASKS", 3)
+    taps = one_time(TapFlow(spark, SF001).inputs["metro_taps"], "trade_time")
+    hot = skew.find_hot_keys(taps, ["trade_date", "card_id"], threshold=500)
+    split = skew.split_hot(taps, hot)
+    cut = skew.cut(spark, split.hot_rows, 10)
+    assert cut.tasks == 3
+    chunked = skew.assign_chunks(split.hot, ["trade_time"], cut.chunks, clean.METRO_TIE, cut.tasks)
+    assert chunked.rdd.getNumPartitions() == 3
+    assert chunked.groupBy(skew.KID).count().rdd.getNumPartitions() == 3  # an edge table
+    assert same(clean.clean_metro(taps, hot_threshold=None), clean.clean_metro(taps, hot_threshold=500, rows_per_chunk=10))
+
+
 def test_no_hot_card_day_takes_one_job(spark):
     """Nothing hot: the facts of stations and card-days come from one query, and that is all."""
     tf = TapFlow(spark, SF001)
