@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -27,17 +28,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """``df`` as a compressed table in the shared checkpoint folder, read back from
-    there: for wide or long intermediates, of which a checkpoint's plain rows take
-    several times the disk.  Hadoop deletes the folder when the driver ends."""
+    there, and what deletes it: for wide or long intermediates, of which a checkpoint's
+    plain rows take several times the disk.  Hadoop deletes it when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path), lambda: files.delete(place, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``stored``, kept until the driver ends."""
+    return stored(df)[0]
+
+
+@contextmanager
+def single_rows(spark: SparkSession) -> Iterator[None]:
+    """What runs inside gets Arrow batches of one row, for rows of many megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def keyed(df: DataFrame, seed: int = 5) -> DataFrame:
